@@ -40,3 +40,16 @@ def salted_join(
         .drop("_copies")
     )
     return null_safe_join(left, right, [*keys, "_salt"], how).drop("_salt")
+
+
+# A side of up to this many rows is broadcast (some tens of MB for a key and a few numbers).
+BROADCAST_ROWS = 200_000
+
+
+def lookup_join(
+    facts: DataFrame, side: DataFrame, side_rows: int, keys, how: str = "left", spread: str | None = None, counted: DataFrame | None = None
+) -> DataFrame:
+    """Join a side whose row count is known: broadcast up to ``BROADCAST_ROWS``, salted beyond."""
+    if side_rows <= BROADCAST_ROWS:
+        return null_safe_join(facts, F.broadcast(side), keys, how)
+    return salted_join(facts, side, keys, how, spread, counted)

@@ -12,9 +12,10 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssemble
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from episodica.functions.joins import salted_join
+from episodica.functions.joins import lookup_join
 from episodica.functions.ordered import exact_quantiles, null_safe_join, shuffle_hash
 from episodica.roles import FeatureSpec, require_columns
+from episodica.sources.shared import store
 
 # Fill text, rarity limit of one-hot levels, folds of the target encoder.
 MISSING = "UNKNOWN"
@@ -104,6 +105,7 @@ def cross_target_table(train: DataFrame, columns, label: str, fold: str) -> Data
 
 def apply_target(df: DataFrame, table: DataFrame, columns, default: dict[str, float], key: str, fold: str | None = None) -> DataFrame:
     """Add ``cat_high__<column>``; levels that the table does not hold get the default."""
+    sizes = {r.feature: r["count"] for r in table.groupBy("feature").count().collect()}
     out = df
     for c in columns:
         side = table.where(F.col("feature") == c).select(
@@ -114,7 +116,7 @@ def apply_target(df: DataFrame, table: DataFrame, columns, default: dict[str, fl
         if fold:
             facts = facts.withColumn("_fold", F.col(fold))
         counted = df.select(key, filled_text(c).alias("_level"), *([F.col(fold).alias("_fold")] if fold else []))
-        joined = salted_join(facts, side, keys, "left", key, counted)
+        joined = lookup_join(facts, side, sizes.get(c, 0), keys, "left", key, counted)
         out = joined.withColumn(f"cat_high__{c}", F.coalesce("_enc", F.lit(default[c]))).drop("_enc", *keys)
     return out
 
@@ -223,6 +225,7 @@ def fit_encoder(train: DataFrame, spec: FeatureSpec = FeatureSpec(), min_frequen
     default = {c: float(mean) for c in spec.cat_high}
     full, crossed = None, None
     if spec.cat_high:
-        full = target_table(train, spec.cat_high, spec.label)
-        crossed = cross_target_table(train.withColumn("_tfold", target_fold(spec.key)), spec.cat_high, spec.label, "_tfold")
+        folded = train.withColumn("_tfold", target_fold(spec.key))
+        full = store(target_table(train, spec.cat_high, spec.label), "target-means")
+        crossed = store(cross_target_table(folded, spec.cat_high, spec.label, "_tfold"), "target-means-crossed")
     return FittedEncoder(spec, numeric, modes, levels, default, full, crossed)

@@ -9,8 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from episodica.functions import scalars as S
-from episodica.functions.joins import salted_join
+from episodica.functions.joins import lookup_join
 from episodica.functions.ordered import average_ranks, exact_quantiles, null_safe_join
+from episodica.sources.shared import store
 
 
 def with_wilson(counts: DataFrame, hits: str = "k", total: str = "n") -> DataFrame:
@@ -103,11 +104,15 @@ def log_edges(low: float, high: float, count: int) -> list[float]:
     return [float(low), *inner, float(high)]
 
 
-def box_summary(df: DataFrame, value: str, by: str, cap: float | None = None) -> DataFrame:
-    """Median, quartiles and whiskers (furthest values within 1.5 IQR of the box) per class."""
+def box_summary(df: DataFrame, value: str, by: str, cap: int = 60) -> DataFrame:
+    """Median, quartiles and whiskers (furthest values within 1.5 IQR of the box) per class.
+
+    The values are whole numbers in [0, cap], so a class has at most cap + 1 distinct ones.
+    """
     capped = S.clamp(value, 0, cap)
     counts = df.where(F.col(value).isNotNull()).groupBy(by, capped.alias("_v")).agg(F.count(F.lit(1)).alias("n"))
-    quartiles = exact_quantiles(counts, "_v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by], weight="n")
+    quartiles = counts.groupBy(by).agg(F.percentile("_v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("_q"))
+    quartiles = quartiles.select(by, *[F.get("_q", F.lit(i)).alias(c) for i, c in enumerate(("q1", "median", "q3"))])
     joined = null_safe_join(counts, quartiles, [by])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("_v").between(F.col("q1") - reach, F.col("q3") + reach)
@@ -121,21 +126,25 @@ def box_summary(df: DataFrame, value: str, by: str, cap: float | None = None) ->
 def spearman(df: DataFrame, columns) -> DataFrame:
     """Rank correlation of every pair of columns (complete rows): ``(column_a, column_b, r)``.
 
-    Ranks come from the distinct values of each column, and are looked up by value.
+    Ranks come from the distinct values of all columns in one pass and are looked up by value.
     """
     columns = list(columns)
-    ranked = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    complete = ranked
+    complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
+    cells = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]))
+    ranks = store(average_ranks(complete.select(cells), "value", ["column"]), "ranks")
+    sizes = {r["column"]: r["count"] for r in ranks.groupBy("column").count().collect()}
+    ranked = complete
     for c in columns:
-        ranks = average_ranks(complete, c).withColumnRenamed("avg_rank", f"_rk_{c}")
-        ranked = salted_join(ranked, ranks, [c], "left", next(o for o in columns if o != c), complete)
+        side = ranks.where(F.col("column") == c).select(F.col("value").alias(c), F.col("avg_rank").alias(f"_rk_{c}"))
+        other = next(o for o in columns if o != c)
+        ranked = lookup_join(ranked, side, sizes.get(c, 0), [c], "left", other, complete)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     one = ranked.agg(*[F.corr(f"_rk_{a}", f"_rk_{b}").alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = []
+    rows = []
     for i, (a, b) in enumerate(pairs):
         for x, y in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(x).alias("column_a"), F.lit(y).alias("column_b"), F.col(f"r{i}").alias("r")))
-    return one.select(F.inline(F.array(*cells)))
+            rows.append(F.struct(F.lit(x).alias("column_a"), F.lit(y).alias("column_b"), F.col(f"r{i}").alias("r")))
+    return one.select(F.inline(F.array(*rows)))
 
 
 def percentile_caps(df: DataFrame, columns, low: float = 0.05, high: float = 0.95) -> DataFrame:

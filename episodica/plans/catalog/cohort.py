@@ -112,17 +112,17 @@ def flag_decode(spark, sf):
 
 @query("b12_age", f"WITH {V.FLAGGED} SELECT claim_id, age_at_admit FROM flagged")
 def age(spark, sf):
-    return P.flagged_episodes(V.raw_claims(spark, sf), V.raw_snapshots(spark, sf)).select("claim_id", "age_at_admit")
+    return V.flagged(spark, sf).select("claim_id", "age_at_admit")
 
 
 @query("b13_return_label", f"WITH {V.LAB} SELECT claim, days_to_next, y::BIGINT AS y FROM lab")
 def return_label(spark, sf):
-    return V.labelled(spark, sf).select("claim", "days_to_next", "y")
+    return V.build_labelled(spark, sf).select("claim", "days_to_next", "y")
 
 
 @query("b14_age_band", f"WITH {V.FLAGGED} SELECT claim_id, age_bin FROM flagged")
 def age_band(spark, sf):
-    flagged = P.flagged_episodes(V.raw_claims(spark, sf), V.raw_snapshots(spark, sf))
+    flagged = V.flagged(spark, sf)
     return flagged.select("claim_id", S.age_band("age_at_admit").alias("age_bin"))
 
 
@@ -131,7 +131,7 @@ _EXCL = ", ".join(f"excl_{n}" for n in C.EXCLUSIONS)
 
 @query("b15_exclusions", f"WITH {V.FLAGGED} SELECT claim_id, {_EXCL}, {V.INCLUDED} AS kept FROM flagged")
 def exclusions(spark, sf):
-    flagged = P.flagged_episodes(V.raw_claims(spark, sf), V.raw_snapshots(spark, sf))
+    flagged = V.build_flagged(spark, sf)
     names = [f"excl_{n}" for n in C.EXCLUSIONS]
     kept = ~F.expr(" OR ".join(names))
     return flagged.select("claim_id", *names, kept.alias("kept"))
@@ -145,7 +145,7 @@ def date_offset(spark, sf):
 @query("b17_cohort", f"WITH {V.COH} SELECT * FROM coh")
 def cohort(spark, sf):
     """Flagship: raw text claims and snapshots to the finished cohort."""
-    return V.cohort(spark, sf)
+    return P.build_cohort(V.raw_claims(spark, sf), V.raw_snapshots(spark, sf))
 
 
 @query("b18_flag_count", f"WITH {V.FEAT} SELECT claim_id, chronic_count FROM feat")
@@ -286,7 +286,7 @@ def year_join(spark, sf):
     f"WITH {V.FLAGGED} SELECT claim_id, birth_date, death_date, sex_code::BIGINT AS sex_code, state_code::BIGINT AS state_code, chronic_chf FROM attached",
 )
 def latest_year_fallback(spark, sf):
-    flagged = P.flagged_episodes(V.raw_claims(spark, sf), V.raw_snapshots(spark, sf))
+    flagged = V.build_flagged(spark, sf)
     return flagged.select("claim_id", "birth_date", "death_date", "sex_code", "state_code", "chronic_chf")
 
 
@@ -358,7 +358,7 @@ def cohort_summary(spark, sf):
     + "".join(f" UNION ALL SELECT '{n}', count(*) FILTER (WHERE excl_{n}) FROM flagged" for n in C.EXCLUSIONS),
 )
 def attrition(spark, sf):
-    return C.attrition(P.flagged_episodes(V.raw_claims(spark, sf), V.raw_snapshots(spark, sf)))
+    return C.attrition(V.flagged(spark, sf))
 
 
 @query(

@@ -9,6 +9,7 @@ from episodica.functions import scalars as S
 from episodica.operators import cohort as C
 from episodica.operators.splits import assign_splits
 from episodica.roles import CONDITION_FLAGS, EpisodeRoles, FeatureSpec, require_columns
+from episodica.sources.shared import store
 
 # Column names of the public synthetic claim files that the preset reads.
 DX_COLUMNS = tuple(f"ICD9_DGNS_CD_{i}" for i in range(1, 11))
@@ -115,8 +116,12 @@ def parse_snapshots(raw: DataFrame) -> DataFrame:
 
 
 def flagged_episodes(raw_claims: DataFrame, raw_snapshots: DataFrame) -> DataFrame:
-    """All episodes with label, history, attributes and exclusion flags, before anything is dropped."""
-    claims = parse_claims(raw_claims)
+    """All episodes with label, history, attributes and exclusion flags, before anything is dropped.
+
+    The typed claims are written to the shared folder first: four branches of the plan need them, each
+    with other columns, and text should be read and parsed once only.
+    """
+    claims = store(parse_claims(raw_claims), "claims")
     labelled = C.with_return_label(C.with_sequence(claims, ROLES), ROLES)
     joined = C.attach_snapshot(
         labelled,

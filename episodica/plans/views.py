@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from episodica.operators.cohort import keep_included, with_return_label, with_sequence
 from episodica.plans import claims as P
-from episodica.roles import CONDITION_FLAGS
+from episodica.roles import CONDITION_FLAGS, EpisodeRoles
+from episodica.sources.shared import shared_path
 
 FIRST_YEAR, LAST_YEAR = 1995, 2000
 
@@ -275,15 +277,33 @@ def score_sql(model: str, claim: str = "claim") -> str:
     return SCORE_SQL[model].format(k=claim)
 
 
-def labelled(spark: SparkSession, sf: str) -> DataFrame:
-    """Episodes from orders with order, history and label."""
-    from episodica.operators.cohort import with_return_label, with_sequence
-    from episodica.roles import EpisodeRoles
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+
+def staged(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    """A stage table: built from the given tables by the first query that needs it, then read from files.
 
+    Later stages read what earlier stages wrote, so an operator that uses its input several times does
+    not repeat the work before it, and a lost executor costs one file scan.
+    """
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STAGED:
+        path = shared_path(spark, name)
+        build(spark, sf).write.option("compression", "zstd").parquet(path)
+        _STAGED[key] = path
+    return spark.read.parquet(_STAGED[key])
+
+
+def build_labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """Episodes from orders with order, history and label."""
     roles = EpisodeRoles("id", "claim", "a", "d")
     return with_return_label(with_sequence(encounters(spark, sf), roles), roles)
 
 
+def labelled(spark: SparkSession, sf: str) -> DataFrame:
+    return staged(spark, sf, "labelled", build_labelled)
+
+
 def scores(spark: SparkSession, sf: str) -> DataFrame:
     """Keyed score table ``(claim, id, model, p, y)``."""
     base = labelled(spark, sf).select("claim", "id", "y")
@@ -304,8 +324,17 @@ SCORES = f"{LAB}, scores AS (" + " UNION ALL ".join(
 AUDIT_THRESHOLD = 0.3
 
 
+def build_flagged(spark: SparkSession, sf: str) -> DataFrame:
+    return P.flagged_episodes(raw_claims(spark, sf), raw_snapshots(spark, sf))
+
+
+def flagged(spark: SparkSession, sf: str) -> DataFrame:
+    """Episodes with exclusion flags, shared by the attrition report and the cohort."""
+    return staged(spark, sf, "flagged", build_flagged)
+
+
 def cohort(spark: SparkSession, sf: str) -> DataFrame:
-    return P.build_cohort(raw_claims(spark, sf), raw_snapshots(spark, sf))
+    return keep_included(flagged(spark, sf)).select(*P.COHORT_COLUMNS)
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
