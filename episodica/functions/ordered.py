@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from episodica.sources.shared import store
+
 BUCKET = "_range"
 
 
@@ -28,8 +30,13 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner")
 
 
 def value_counts(df: DataFrame, value: str, by=(), **aggregates: Column) -> DataFrame:
-    """One row per distinct (by, value) with ``n`` and further aggregates; NULL values are left out."""
-    return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"), *[e.alias(k) for k, e in aggregates.items()])
+    """One row per distinct (by, value) with ``n`` and further aggregates; NULL values are left out.
+
+    The counts are written to the shared folder: what follows uses them several times (ranges, range
+    totals, running sums), and the rows themselves should be read once.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"), *[e.alias(k) for k, e in aggregates.items()])
+    return store(counts, "value-counts")
 
 
 def range_edges(df: DataFrame, column: str, parts: int | None = None) -> list[float]:

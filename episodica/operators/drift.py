@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from episodica.functions.ordered import global_cumsum, null_safe_join
+from episodica.sources.shared import store
 
 # Per-column threshold, dataset share threshold, smallest usable reference deviation.
 COLUMN_THRESHOLD = 0.1
@@ -29,12 +30,13 @@ def normalise_types(df: DataFrame) -> DataFrame:
 
 
 def _side_counts(df: DataFrame, is_current: Column, columns, value_type: str) -> DataFrame:
-    """``(column, value, n_ref, n_cur)``: both sides in one pass, reduced before the shuffle."""
+    """``(column, value, n_ref, n_cur)``: both sides in one pass, reduced before the shuffle and written once."""
     cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast(value_type).alias("value")) for c in columns]
     long = df.select(is_current.alias("_cur"), F.inline(F.array(*cells)))
-    return long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(
+    counts = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(
         F.count_if(~F.col("_cur")).alias("n_ref"), F.count_if(F.col("_cur")).alias("n_cur")
     )
+    return store(counts, "drift-counts")
 
 
 def numeric_drift(df: DataFrame, is_current: Column, columns) -> DataFrame:

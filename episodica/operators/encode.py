@@ -41,7 +41,7 @@ def numeric_stats(train: DataFrame, columns) -> DataFrame:
     Works on (feature, value) counts, so imputing only shifts the weight of the median value.
     """
     long = _long(train, columns, lambda c: F.col(c).cast("double"))
-    counts = long.groupBy("feature", "level").agg(F.count(F.lit(1)).alias("n"))
+    counts = store(long.groupBy("feature", "level").agg(F.count(F.lit(1)).alias("n")), "numeric-counts")
     medians = exact_quantiles(counts, "level", {"median": 0.5}, ["feature"], weight="n")
     filled = null_safe_join(counts, medians, ["feature"], "left").withColumn("x", F.coalesce("level", "median", F.lit(0.0)))
     n, x = F.col("n"), F.col("x")
@@ -161,14 +161,11 @@ class FittedEncoder:
         low = list(self.spec.cat_low)
         stages, inputs = [], []
         if low:
-            indexer = StringIndexerModel.from_arrays_of_labels(
-                [self.kept_levels(c) for c in low],
-                inputCols=[f"cat_low__{c}" for c in low],
-                outputCols=[f"_ix__{c}" for c in low],
-                handleInvalid="keep",
-            )
-            hot = OneHotEncoder(inputCols=[f"_ix__{c}" for c in low], outputCols=[f"_oh__{c}" for c in low], dropLast=True)
-            stages += [indexer, hot]
+            for c in low:
+                stages.append(
+                    StringIndexerModel.from_labels(self.kept_levels(c), inputCol=f"cat_low__{c}", outputCol=f"_ix__{c}", handleInvalid="keep")
+                )
+            stages.append(OneHotEncoder(inputCols=[f"_ix__{c}" for c in low], outputCols=[f"_oh__{c}" for c in low], dropLast=True))
             inputs = [f"_oh__{c}" for c in low]
         numbers = [*[f"num__{c}" for c in self.spec.numeric], *[f"bin__{c}" for c in self.spec.binary]]
         high = [f"cat_high__{c}" for c in self.spec.cat_high]

@@ -76,24 +76,41 @@ def top_rows(df: DataFrame, roles: ScoreRoles = ROLES, by=(), fraction: float =
     return sure.unionByName(tied.drop("_cut", *extra, "shuffle_rank", "group_size"))
 
 
-def _score_sums(ranked: DataFrame, score: str, by) -> DataFrame:
-    """AP, ROC-AUC, Brier and log loss in one aggregation over the ranked counts."""
-    p = F.col(score)
-    clipped = S.clip_score(score)
-    total = F.sum("n")
+def _ranking_sums() -> dict[str, Column]:
+    """AP and ROC-AUC over ranked counts."""
     pos, neg = F.sum("pos"), F.sum("neg")
     ap = F.sum(F.col("pos") * F.col("cum_pos") / F.col("cum_n"))
     wrong_pairs = F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2))
+    return {"pr_auc": F.try_divide(ap, pos), "roc_auc": 1 - F.try_divide(wrong_pairs, pos.cast("double") * neg)}
+
+
+def _loss_sums(score: str) -> dict[str, Column]:
+    """Brier score and log loss over counts; they need no order."""
+    p, clipped, total = F.col(score), S.clip_score(score), F.sum("n")
     brier = F.sum(F.col("pos") * (p - 1) * (p - 1) + F.col("neg") * p * p)
     loss = -F.sum(F.col("pos") * F.log(clipped) + F.col("neg") * F.log(1 - clipped))
-    return ranked.groupBy(*by).agg(
-        F.try_divide(ap, pos).alias("pr_auc"),
-        (1 - F.try_divide(wrong_pairs, pos.cast("double") * neg)).alias("roc_auc"),
-        (brier / total).alias("brier"),
-        (loss / total).alias("log_loss"),
-        total.alias("n"),
-        pos.alias("n_pos"),
-    )
+    return {"brier": brier / total, "log_loss": loss / total}
+
+
+def _aggregate(df: DataFrame, by, columns: dict[str, Column]) -> DataFrame:
+    return df.groupBy(*by).agg(*[c.alias(name) for name, c in columns.items()])
+
+
+def ranking_scores(df: DataFrame, roles: ScoreRoles = ROLES, by=()) -> DataFrame:
+    """``(by, pr_auc, roc_auc)``."""
+    return _aggregate(ranked_counts(score_counts(df, roles, by), roles.score, by), by, _ranking_sums())
+
+
+def loss_scores(df: DataFrame, roles: ScoreRoles = ROLES, by=()) -> DataFrame:
+    """``(by, brier, log_loss)`` straight from the rows: one partial aggregation."""
+    case = F.col(roles.label).cast("bigint")
+    weighted = df.select(*by, roles.score, F.lit(1).alias("n"), case.alias("pos"), (1 - case).alias("neg"))
+    return _aggregate(weighted, by, _loss_sums(roles.score))
+
+
+def _score_sums(ranked: DataFrame, score: str, by) -> DataFrame:
+    counts = {"n": F.sum("n"), "n_pos": F.sum("pos")}
+    return _aggregate(ranked, by, {**_ranking_sums(), **_loss_sums(score), **counts})
 
 
 def metric_panel(

@@ -58,22 +58,22 @@ def cumulative_counts(spark, sf):
 
 @query("i1_average_precision", f"WITH {PANEL} SELECT model, {rnd('pr_auc', 'pr_auc')} FROM panel")
 def average_precision(spark, sf):
-    return panel(spark, sf).select("model", "pr_auc")
+    return M.ranking_scores(V.scores(spark, sf), ROLES, ["model"]).select("model", "pr_auc")
 
 
 @query("i2_roc_auc", f"WITH {PANEL} SELECT model, {rnd('roc_auc', 'roc_auc')} FROM panel")
 def roc_auc(spark, sf):
-    return panel(spark, sf).select("model", "roc_auc")
+    return M.ranking_scores(V.scores(spark, sf), ROLES, ["model"]).select("model", "roc_auc")
 
 
 @query("i3_brier", f"WITH {V.SCORES} SELECT model, {rnd('avg((p - y) * (p - y))', 'brier')} FROM scores GROUP BY model")
 def brier(spark, sf):
-    return panel(spark, sf).select("model", "brier")
+    return M.loss_scores(V.scores(spark, sf), ROLES, ["model"]).select("model", "brier")
 
 
 @query("i4_log_loss", f"WITH {PANEL} SELECT model, {rnd('log_loss', 'log_loss')} FROM panel")
 def log_loss(spark, sf):
-    return panel(spark, sf).select("model", "log_loss")
+    return M.loss_scores(V.scores(spark, sf), ROLES, ["model"]).select("model", "log_loss")
 
 
 @query("i5_recall_precision_at_top", f"WITH {PANEL} SELECT model, {rnd('recall_at_top10', 'recall_at_top10')}, {rnd('precision_at_top10', 'precision_at_top10')} FROM panel")
@@ -99,8 +99,8 @@ def top_fraction(spark, sf):
 
 def _points(m: str, points: str, x: str, y: str) -> str:
     return f"""lastp AS (SELECT max(idx) AS last FROM {points}),
-slots AS (SELECT j, CASE WHEN last < 200 THEN j ELSE j * last // 199 END AS at FROM lastp, range(0, 200) t(j) WHERE last >= 200 OR j <= last)
-SELECT '{m}' AS model, j AS idx, {rnd(x, x)}, {rnd(y, y)} FROM slots JOIN {points} ON {points}.idx = at"""
+slots AS (SELECT j, CASE WHEN last < 200 THEN j ELSE j * last // 199 END AS pos_at FROM lastp, range(0, 200) t(j) WHERE last >= 200 OR j <= last)
+SELECT '{m}' AS model, j AS idx, {rnd(x, x)}, {rnd(y, y)} FROM slots JOIN {points} ON {points}.idx = pos_at"""
 
 
 @query(
@@ -135,7 +135,8 @@ def _edges(n_bins: int, by: str) -> str:
     "i8_reliability",
     f"""WITH {V.SCORES}, e AS (SELECT model, {_edges(15, 'model')} AS edges FROM scores GROUP BY model),
  b AS (SELECT s.model, p, y, len(list_filter(edges, lambda x: x <= round(p, 9)))::BIGINT AS bin FROM scores s JOIN e ON e.model = s.model)
- SELECT model, bin, {rnd('avg(p)', 'mean_pred')}, {rnd('avg(y)', 'frac_pos')}, count(*) AS n FROM b GROUP BY model, bin""",
+ SELECT model, bin, {rnd('avg(p)', 'mean_pred', 6)}, {rnd('avg(y)', 'frac_pos', 6)}, count(*) AS n FROM b GROUP BY model, bin""",
+    digits=6,
 )
 def reliability(spark, sf):
     return M.quantile_reliability(V.scores(spark, sf), ROLES, ["model"], 15)
@@ -283,7 +284,8 @@ def parity_gaps(spark, sf):
  e AS (SELECT attribute, slice, {_edges(10, '')} AS edges FROM audl GROUP BY attribute, slice),
  b AS (SELECT a.attribute, a.slice, p, y, len(list_filter(edges, lambda x: x < round(p, 9)))::BIGINT AS bin FROM audl a
    JOIN s ON s.attribute = a.attribute AND s.slice = a.slice JOIN e ON e.attribute = a.attribute AND e.slice = a.slice)
- SELECT attribute, slice, bin, {rnd('avg(p)', 'mean_pred')}, {rnd('avg(y)', 'frac_pos')}, count(*) AS n FROM b GROUP BY attribute, slice, bin""",
+ SELECT attribute, slice, bin, {rnd('avg(p)', 'mean_pred', 6)}, {rnd('avg(y)', 'frac_pos', 6)}, count(*) AS n FROM b GROUP BY attribute, slice, bin""",
+    digits=6,
 )
 def slice_reliability(spark, sf):
     return A.slice_reliability(V.audit_rows(spark, sf), AUDIT_ROLES)

@@ -1 +1,305 @@
+"""Fitted models and what follows from them.  Their numbers depend on Spark ML, so most have no SQL."""
 
+from __future__ import annotations
+
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.sql import functions as F
+
+from episodica.operators import explain as X
+from episodica.operators import metrics as M
+from episodica.operators import models as L
+from episodica.operators import score as O
+from episodica.operators.splits import assign_halves, sample_entities
+from episodica.plans import train as T
+from episodica.plans import views as V
+from episodica.plans.catalog.decisions import _all, _train
+from episodica.plans.catalog.registry import query, rnd
+from episodica.roles import FeatureSpec, ScoreRoles
+from episodica.sources.shared import shared_path, store
+from episodica.streaming import scoring
+
+SPEC = FeatureSpec()
+V_ROLES = ScoreRoles("claim_id", "y", "p")
+# sizes for the registered queries; the registry's defaults are the full ones
+SMALL = {
+    "logistic_regression": {"maxIter": 50},
+    "random_forest": {"numTrees": 10, "maxDepth": 6},
+    "boosted_trees": {"maxIter": 6, "maxDepth": 3},
+}
+SMALL_SPACES = {
+    "boosted_trees": {"maxIter": ("int", 2, 4, 1), "maxDepth": ("int", 2, 3, 1), "stepSize": ("log", 0.02, 0.2)},
+    "logistic_regression": {"C": ("log", 0.01, 100.0)},
+}
+_FITTED: dict = {}
+
+
+def _once(spark, sf, name, build):
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _FITTED:
+        _FITTED[key] = build()
+    return _FITTED[key]
+
+
+def _val(spark, sf):
+    return _all(spark, sf).where("split = 'val'")
+
+
+def _model(spark, sf, name):
+    return _once(spark, sf, name, lambda: L.train_model(_train(spark, sf), name, SPEC, SMALL[name]))
+
+
+def _bench(spark, sf):
+    def build():
+        path = shared_path(spark, "benchmark-scores")
+        _, board = L.benchmark(_train(spark, sf), _val(spark, sf), [*SMALL, "xgboost"], path, SPEC, SMALL)
+        return path, board
+
+    return _once(spark, sf, "benchmark", build)
+
+
+def _calibration(spark, sf):
+    return _once(spark, sf, "calibration", lambda: T.calibrate_model(_model(spark, sf, "boosted_trees"), _val(spark, sf)))
+
+
+def _audit(spark, sf):
+    return _once(spark, sf, "audit", lambda: T.audit_model(_calibration(spark, sf), _val(spark, sf)))
+
+
+# ---------------------------------------------------------------- encoding to vectors
+@query("k7_feature_vector")
+def feature_vector(spark, sf):
+    """Non-zero slots of the assembled vector, by name."""
+    trained = _model(spark, sf, "logistic_regression")
+    names = F.array(*[F.lit(n) for n in trained.encoder.feature_names()])
+    from pyspark.ml.functions import vector_to_array
+
+    rows = trained.transform(_val(spark, sf)).select(vector_to_array("features").alias("x"))
+    cells = rows.select(F.inline(F.arrays_zip(names.alias("feature"), F.col("x").alias("value"))))
+    return cells.groupBy("feature").agg(F.count_if(F.col("value") != 0).alias("n_nonzero"), F.avg("value").alias("mean"))
+
+
+@query("k8_train_only_fit")
+def train_only_fit(spark, sf):
+    """Statistics of an encoder fitted on each training fold: they differ because the folds do."""
+    from episodica.operators.encode import numeric_stats
+    from episodica.operators.splits import assign_folds
+
+    folded = assign_folds(_train(spark, sf), "beneficiary_id", "claim_id")
+    out = None
+    for i in range(3):
+        part = numeric_stats(folded.where(F.col("fold") != i), SPEC.numeric).withColumn("held_out", F.lit(i))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# ---------------------------------------------------------------- models
+@query("l1_logistic_regression")
+def logistic_regression(spark, sf):
+    return _model(spark, sf, "logistic_regression").score(_val(spark, sf))
+
+
+@query("l2_random_forest")
+def random_forest(spark, sf):
+    return _model(spark, sf, "random_forest").score(_val(spark, sf))
+
+
+@query("l3_boosted_trees")
+def boosted_trees(spark, sf):
+    return _model(spark, sf, "boosted_trees").score(_val(spark, sf))
+
+
+@query("l4_neural_net")
+def neural_net(spark, sf):
+    trained = _once(spark, sf, "net", lambda: L.train_neural_net(_train(spark, sf), SPEC, hidden=(16, 8), max_iter=(10, 20)))
+    return trained.score(_val(spark, sf))
+
+
+@query("l6_benchmark")
+def benchmark(spark, sf):
+    return L.leaderboard(_bench(spark, sf)[1])
+
+
+def _trials(spark, sf):
+    def build():
+        return L.search(_train(spark, sf), ["boosted_trees", "logistic_regression"], 2, SPEC, spaces=SMALL_SPACES)
+
+    return _once(spark, sf, "trials", build)
+
+
+@query("l7_search")
+def search(spark, sf):
+    return _trials(spark, sf).withColumn("params", F.to_json("params"))
+
+
+@query("d24_fold_mean")
+def fold_mean(spark, sf):
+    """Mean over folds of a model's average precision."""
+    from episodica.operators.splits import assign_folds
+
+    folded = assign_folds(_train(spark, sf), "beneficiary_id", "claim_id").select("claim_id", "fold")
+    scores = _model(spark, sf, "logistic_regression").score(_train(spark, sf)).join(folded, "claim_id")
+    return M.ranking_scores(scores, V_ROLES, ["model", "fold"]).groupBy("model").agg(F.avg("pr_auc").alias("mean_pr_auc"))
+
+
+# a trial history derived from the supplier table: number, value and state per family
+_TRIALS = "tr AS (SELECT s_nationkey AS fam, s_suppkey AS number, s_acctbal AS value, CASE WHEN s_suppkey % 7 = 3 THEN 'FAIL' ELSE 'COMPLETE' END AS state FROM supplier)"
+
+
+def _trial_table(spark, sf):
+    state = F.when(F.col("s_suppkey") % 7 == 3, "FAIL").otherwise("COMPLETE")
+    return V.table(spark, sf, "supplier").select(
+        F.col("s_nationkey").alias("fam"), F.col("s_suppkey").alias("number"), F.col("s_acctbal").alias("value"), state.alias("state")
+    )
+
+
+@query(
+    "e5_running_best",
+    f"WITH {_TRIALS} SELECT fam::BIGINT AS fam, number, {rnd('value', 'value')}, {rnd('max(value) OVER (PARTITION BY fam ORDER BY number ROWS UNBOUNDED PRECEDING)', 'best_value')} FROM tr WHERE state = 'COMPLETE'",
+)
+def running_best(spark, sf):
+    return L.running_best(_trial_table(spark, sf), "fam").drop("state")
+
+
+@query(
+    "l8_best_trial",
+    f"WITH {_TRIALS} SELECT fam::BIGINT AS fam, number, {rnd('value', 'value')} FROM tr WHERE state = 'COMPLETE' QUALIFY row_number() OVER (PARTITION BY fam ORDER BY value DESC, number) = 1",
+)
+def best_trial(spark, sf):
+    return L.best_trial(_trial_table(spark, sf), "fam").drop("state")
+
+
+@query("l9_budgeted_search")
+def budgeted_search(spark, sf):
+    """Families take turns until the budget is over; at least one trial is made."""
+    trials = L.search(_train(spark, sf), ["logistic_regression", "boosted_trees"], 50, SPEC, budget_seconds=5.0, spaces=SMALL_SPACES)
+    return trials.groupBy("model", "state").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("best_value"))
+
+
+def _base_scores(spark, sf):
+    path, _ = _bench(spark, sf)
+    halves = assign_halves(_val(spark, sf), "beneficiary_id", "claim_id").select("claim_id", "half")
+    return spark.read.parquet(path).join(halves, "claim_id")
+
+
+@query("l11_stacking")
+def stacking(spark, sf):
+    used = ["boosted_trees", "logistic_regression", "random_forest"]
+    wide = _base_scores(spark, sf).groupBy("claim_id", "y", "half").pivot("model", used).agg(F.first("p"))
+    scored, _, _ = L.stack(wide.where("half = 'calib'"), wide.where("half = 'test'"), used)
+    return scored.select("claim_id", "y", "p")
+
+
+@query("l12_ensemble_report")
+def ensemble_report(spark, sf):
+    return L.ensemble_report(_base_scores(spark, sf), [*SMALL, "xgboost"], "beneficiary_id")[0]
+
+
+# ---------------------------------------------------------------- calibration, audit, scoring
+@query("j2_calibrators")
+def calibrators(spark, sf):
+    return _calibration(spark, sf).panel
+
+
+@query("j4_reliability_before_after")
+def reliability_before_after(spark, sf):
+    return _calibration(spark, sf).reliability
+
+
+@query("m1_audit")
+def audit(spark, sf):
+    return _audit(spark, sf)[1]
+
+
+@query("o2_batch_scores")
+def batch_scores(spark, sf):
+    """A scorer saved, loaded again, and applied to the test split."""
+    path = shared_path(spark, "scorer")
+    _calibration(spark, sf).scorer.save(spark, path)
+    return O.Scorer.load(spark, path).score(_all(spark, sf).where("split = 'test'"))
+
+
+@query("o3_stream_scores")
+def stream_scores(spark, sf):
+    """The test split as a stream of files; equal to the batch scores."""
+    out, checkpoint = shared_path(spark, "stream-out"), shared_path(spark, "stream-checkpoint")
+    source = shared_path(spark, "stream-in")
+    _all(spark, sf).where("split = 'test'").write.parquet(source)
+    requests = scoring.read_requests(spark, source, _all(spark, sf).schema)
+    running = scoring.score_stream(requests, _calibration(spark, sf).scorer.score, out, checkpoint)
+    running.awaitTermination()
+    return spark.read.parquet(f"{out}/scored").drop("batch")
+
+
+# ---------------------------------------------------------------- explanations
+def _linear(spark, sf):
+    trained = _model(spark, sf, "logistic_regression")
+    fitted = next(s for s in trained.model.stages if isinstance(s, LogisticRegressionModel))
+    rows = trained.transform(_val(spark, sf))
+    means = X.vector_mean(trained.transform(_train(spark, sf)))
+    return X.linear_attributions(rows, fitted, trained.encoder.feature_names(), means, "claim_id")
+
+
+def _phi(spark, sf):
+    """Tree attributions of whole entities of the validation split."""
+
+    def build():
+        trained = _model(spark, sf, "boosted_trees")
+        rows = trained.transform(sample_entities(_val(spark, sf), 5000, "beneficiary_id", "claim_id"))
+        phi, base = X.tree_attributions(rows, trained.model.stages[-1], trained.encoder.feature_names(), "claim_id")
+        return store(phi, "attributions"), base
+
+    return _once(spark, sf, "phi", build)
+
+
+@query("p1_tree_attributions")
+def tree_attributions(spark, sf):
+    return _phi(spark, sf)[0].where("phi <> 0")
+
+
+@query("p1_linear_attributions")
+def linear_attributions(spark, sf):
+    phi, _ = _linear(spark, sf)
+    return phi.where("phi <> 0")
+
+
+@query("d20_attribution_summary")
+def attribution_summary(spark, sf):
+    return X.importance(_phi(spark, sf)[0])
+
+
+@query("p2_importance")
+def importance(spark, sf):
+    return X.importance(_linear(spark, sf)[0])
+
+
+@query("d21_dependence_trend")
+def dependence_trend(spark, sf):
+    return X.dependence_trend(_phi(spark, sf)[0])
+
+
+@query("p3_trend_and_caps")
+def trend_and_caps(spark, sf):
+    """Value caps (5 % and 95 %) of the features that the trend is drawn for."""
+    from episodica.functions.ordered import exact_quantiles
+
+    return exact_quantiles(_phi(spark, sf)[0], "value", {"low": 0.05, "high": 0.95}, ["feature"])
+
+
+@query("p4_local_surrogate")
+def local_surrogate(spark, sf):
+    trained = _model(spark, sf, "boosted_trees")
+    return X.local_surrogate(_val(spark, sf), trained, background=_train(spark, sf), n_samples=300)
+
+
+@query("f9_top_contributions")
+def top_contributions(spark, sf):
+    return X.top_contributions(_phi(spark, sf)[0], "claim_id")
+
+
+@query("p6_row_explanation")
+def row_explanation(spark, sf):
+    """Top contributions and implied probability of the rows with the 10th lowest and highest score."""
+    phi, base = _phi(spark, sf)
+    implied = X.implied_probability(phi, base, "claim_id")
+    rows = X.nth_extremes(implied, "p", "claim_id", 10)
+    return X.top_contributions(phi.join(rows, "claim_id"), "claim_id").select("claim_id", "risk_bucket", "p", "feature", "value", "phi", "rank")
