@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from episodica.sources.shared import store
 
 BUCKET = "_range"
+# Up to this many distinct values are summed by one plain window per group; the count is checked first.
+SMALL_VALUES = 100_000
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
@@ -54,7 +56,7 @@ def range_edges(df: DataFrame, column: str, parts: int | None = None) -> list[fl
 
 def with_range(df: DataFrame, column: str, edges: list[float]) -> DataFrame:
     """Add the index of the range (left-closed) that holds the value."""
-    splits = [float("-inf"), *(edges or [0.0]), float("inf")]
+    splits = [float("-inf"), *edges, float("inf")]
     staged = df.withColumn("_range_in", F.col(column).cast("double"))
     bucketizer = Bucketizer(splits=splits, inputCol="_range_in", outputCol=BUCKET, handleInvalid="keep")
     return bucketizer.transform(staged).drop("_range_in")
@@ -73,9 +75,22 @@ def global_cumsum(
 
     ``(by, order_by)`` must be unique: aggregate with :func:`value_counts` first.  For each name in
     ``next_values`` a column ``next_<v>`` holds the value of the following row, NULL at the end.
+    Without ``edges`` the number of rows decides between one window per group and ranges.
     """
-    edges = range_edges(df, order_by) if edges is None else edges
     by = list(by)
+    if edges is None:
+        edges = [] if df.count() <= SMALL_VALUES else range_edges(df, order_by)
+    if not edges:
+        whole = (W.partitionBy(*by) if by else W.partitionBy(F.lit(0))).orderBy(
+            F.col(order_by).desc() if descending else F.col(order_by).asc()
+        )
+        so_far = whole.rowsBetween(W.unboundedPreceding, 0)
+        return df.withColumns(
+            {
+                **{f"cum_{v}": F.sum(v).over(so_far) for v in values},
+                **{f"next_{v}": F.lead(v).over(whole) for v in next_values},
+            }
+        )
     tagged = with_range(df, order_by, edges)
     cells = [*by, BUCKET]
     order = F.col(order_by).desc() if descending else F.col(order_by).asc()

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from episodica.operators.decide import probability
 from episodica.operators.encode import FittedEncoder, fit_encoder
-from episodica.operators.metrics import metric_panel
+from episodica.operators.metrics import metric_panel, ranking_scores
 from episodica.operators.splits import assign_folds, hold_out
 from episodica.roles import FeatureSpec, ScoreRoles
 
@@ -232,7 +232,7 @@ def search(
                     model = _fit(encoder, make_estimator(name, n_rows, **params), train, spec)
                     part = model.transform(val).select(spec.key, spec.label, probability().alias("p"), F.lit(i).alias("fold"))
                     scored = part if scored is None else scored.unionByName(part)
-                value, state = metric_panel(scored, roles, by=["fold"]).agg(F.avg("pr_auc")).first()[0], "COMPLETE"
+                value, state = ranking_scores(scored, roles, by=["fold"]).agg(F.avg("pr_auc")).first()[0], "COMPLETE"
             except Exception as error:  # noqa: BLE001 - a failed trial is recorded, not raised
                 logger.warning("trial %s/%s failed: %s", name, number, error)
                 value, state = None, "FAIL"
@@ -302,7 +302,7 @@ def train_neural_net(
             best = net
             break
         scored = net.transform(held).withColumn("p", probability())
-        value = metric_panel(scored, ScoreRoles(spec.key, spec.label, "p")).first().pr_auc or 0.0
+        value = ranking_scores(scored, ScoreRoles(spec.key, spec.label, "p")).first().pr_auc or 0.0
         if best_value is None or value > best_value:
             best, best_value = net, value
     vectors.unpersist()
