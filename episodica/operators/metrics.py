@@ -19,6 +19,7 @@ from episodica.functions.ordered import (
     value_counts,
 )
 from episodica.roles import ScoreRoles
+from episodica.sources.shared import store
 
 ROLES = ScoreRoles()
 TOP_FRACTION = 0.10
@@ -48,17 +49,21 @@ def _with_totals(counts: DataFrame, by) -> DataFrame:
 
 
 def top_cutoff(counts: DataFrame, ranked: DataFrame, score: str, by=(), fraction: float = TOP_FRACTION) -> DataFrame:
-    """Per group: the score at the k-th row, and how many rows and positives lie strictly above it."""
+    """Per group: the score at the k-th row, and how many rows and positives lie strictly above it.
+
+    Written to the shared folder: rows meet this table later, and Spark then knows that it is small.
+    """
     by = list(by)
-    totals = _with_totals(counts, by).withColumn("k", top_k(F.col("total_n"), fraction))
+    totals = _with_totals(counts, by).withColumn("_k", top_k(F.col("total_n"), fraction))
     if by:
         joined = null_safe_join(ranked, totals, by)
     else:
-        joined = ranked.withColumn("k", totals.select("k").scalar())
+        joined = ranked.withColumn("_k", totals.select("_k").scalar())
     above = F.col("cum_n") - F.col("n")
-    return joined.where((above < F.col("k")) & (F.col("k") <= F.col("cum_n"))).select(
-        *by, F.col(score).alias("cut_score"), "k", above.alias("n_above"), (F.col("cum_pos") - F.col("pos")).alias("pos_above")
+    cut = joined.where((above < F.col("_k")) & (F.col("_k") <= F.col("cum_n"))).select(
+        *by, F.col(score).alias("_cut_score"), "_k", above.alias("_n_above"), (F.col("cum_pos") - F.col("pos")).alias("_pos_above")
     )
+    return store(cut, "top-cut")
 
 
 def top_rows(df: DataFrame, roles: ScoreRoles = ROLES, by=(), fraction: float = TOP_FRACTION, seed=42) -> DataFrame:
@@ -69,10 +74,10 @@ def top_rows(df: DataFrame, roles: ScoreRoles = ROLES, by=(), fraction: float =
     if by:
         tagged = null_safe_join(df, cut, by)
     else:
-        tagged = df.withColumn("_cut", cut.select(F.struct("cut_score", "k", "n_above")).scalar()).select("*", "_cut.*")
-    extra = ["cut_score", "k", "n_above", "pos_above"]
-    sure = tagged.where(F.col(roles.score) > F.col("cut_score")).drop("_cut", *extra)
-    tied = shuffle_rank(tagged.where(F.col(roles.score) == F.col("cut_score")), roles.key, seed, by, at_most=F.col("k") - F.col("n_above"))
+        tagged = df.withColumn("_cut", cut.select(F.struct("_cut_score", "_k", "_n_above")).scalar()).select("*", "_cut.*")
+    extra = ["_cut_score", "_k", "_n_above", "_pos_above"]
+    sure = tagged.where(F.col(roles.score) > F.col("_cut_score")).drop("_cut", *extra)
+    tied = shuffle_rank(tagged.where(F.col(roles.score) == F.col("_cut_score")), roles.key, seed, by, at_most=F.col("_k") - F.col("_n_above"))
     return sure.unionByName(tied.drop("_cut", *extra, "shuffle_rank", "group_size"))
 
 
@@ -126,30 +131,30 @@ def metric_panel(
     if by:
         panel = null_safe_join(sums, selected, by)
     else:
-        panel = sums.withColumn("_sel", selected.select(F.struct("k", "pos_selected")).scalar()).select("*", "_sel.*").drop("_sel")
-    hits = F.col("pos_selected")
+        panel = sums.withColumn("_sel", selected.select(F.struct("_k", "_pos_selected")).scalar()).select("*", "_sel.*").drop("_sel")
+    hits = F.col("_pos_selected")
     return panel.withColumns(
         {
             "recall_at_top10": F.when(F.col("n_pos") > 0, hits / F.col("n_pos")).otherwise(0.0),
-            "precision_at_top10": F.when(F.col("n_pos") > 0, hits / F.col("k")).otherwise(0.0),
+            "precision_at_top10": F.when(F.col("n_pos") > 0, hits / F.col("_k")).otherwise(0.0),
         }
     ).select(*by, "pr_auc", "roc_auc", "brier", "log_loss", "recall_at_top10", "precision_at_top10", "n", "n_pos")
 
 
 def _selected_positives(df: DataFrame, cut: DataFrame, roles: ScoreRoles, by, seed) -> DataFrame:
     """Positives among the top k: those above the cut are known from the counts, only ties are ranked."""
-    want = F.col("k") - F.col("n_above")
+    want = F.col("_k") - F.col("_n_above")
     if by:
         ties = null_safe_join(
-            df.select(*by, roles.key, roles.label, F.col(roles.score).alias("cut_score")), cut, [*by, "cut_score"]
+            df.select(*by, roles.key, roles.label, F.col(roles.score).alias("_cut_score")), cut, [*by, "_cut_score"]
         )
     else:
-        one_row = cut.select(F.struct("cut_score", "k", "n_above", "pos_above")).scalar()
+        one_row = cut.select(F.struct("_cut_score", "_k", "_n_above", "_pos_above")).scalar()
         tagged = df.select(roles.key, roles.label, F.col(roles.score).alias("_s")).withColumn("_cut", one_row)
-        ties = tagged.where(F.col("_s") == F.col("_cut.cut_score")).select(roles.key, roles.label, "_cut.*")
+        ties = tagged.where(F.col("_s") == F.col("_cut._cut_score")).select(roles.key, roles.label, "_cut.*")
     picked = shuffle_rank(ties, roles.key, seed, by, at_most=want)
     return picked.groupBy(*by).agg(
-        F.max("k").alias("k"), (F.max("pos_above") + F.sum(F.col(roles.label).cast("bigint"))).alias("pos_selected")
+        F.max("_k").alias("_k"), (F.max("_pos_above") + F.sum(F.col(roles.label).cast("bigint"))).alias("_pos_selected")
     )
 
 

@@ -28,7 +28,7 @@ SMALL = {
 }
 SMALL_SPACES = {
     "boosted_trees": {"maxIter": ("int", 2, 4, 1), "maxDepth": ("int", 2, 3, 1), "stepSize": ("log", 0.02, 0.2)},
-    "logistic_regression": {"C": ("log", 0.01, 100.0)},
+    "logistic_regression": {"C": ("log", 0.01, 100.0), "maxIter": ("choice", (20, 30))},
 }
 _FITTED: dict = {}
 
