@@ -71,13 +71,17 @@ def count_true(columns) -> Column:
     return reduce(add, [F.coalesce(_c(c).cast("int"), F.lit(0)) for c in columns])
 
 
-def range_label(value: Column, ranges, default: str) -> Column:
-    """Label of the first inclusive range that holds ``value``."""
-    first, *rest = ranges
-    out = F.when(value.between(first[0], first[1]), first[2])
-    for lo, hi, name in rest:
-        out = out.when(value.between(lo, hi), name)
-    return out.otherwise(default)
+def range_label(number: Column, ranges, default: str) -> Column:
+    """Label of the inclusive range that holds a small non-negative number.
+
+    The ranges are spread over one constant array that is indexed by the number, so a row costs one
+    look-up however many ranges there are.
+    """
+    slots = [""] * (max(hi for _, hi, _ in ranges) + 1)
+    for lo, hi, name in ranges:
+        slots[lo : hi + 1] = [name] * (hi + 1 - lo)
+    label = F.get(F.split(F.lit(",".join(slots)), ","), number)
+    return F.coalesce(F.nullif(label, F.lit("")), F.lit(default))
 
 
 def dx_chapter(col) -> Column:

@@ -104,7 +104,14 @@ def train_model(train: DataFrame, name: str, spec: FeatureSpec = FeatureSpec(),
     estimator = make_estimator(name, train.count(), **(params or {}))
     if estimator is None:
         raise RuntimeError(f"{name} is not available")
-    return TrainedModel(name, encoder, _fit(encoder, estimator, encoder.prepare_train(train), spec))
+    return TrainedModel(name, encoder, _fit(encoder, estimator, spread(encoder.prepare_train(train), spec.key), spec))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Even partitions, at least one per core: training passes over these rows many times."""
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(parts, key)
 
 
 def _fit(encoder: FittedEncoder, estimator, prepared: DataFrame, spec: FeatureSpec) -> PipelineModel:
@@ -125,7 +132,7 @@ def benchmark(
     spark = train.sparkSession
     encoder = fit_encoder(train, spec)
     n_rows = train.count()
-    prepared = encoder.prepare_train(train).persist()
+    prepared = spread(encoder.prepare_train(train), spec.key).persist()
     models, timings = {}, []
     for name in names:
         estimator = make_estimator(name, n_rows, **((params or {}).get(name, {})))
@@ -196,7 +203,7 @@ def _cv_frames(df: DataFrame, spec: FeatureSpec, k: int, seed: int):
     for i in range(k):
         train, val = folded.where(F.col("fold") != i), folded.where(F.col("fold") == i)
         encoder = fit_encoder(train, spec)
-        frames.append((encoder, encoder.prepare_train(train).persist(), encoder.prepare(val).persist()))
+        frames.append((encoder, spread(encoder.prepare_train(train), spec.key).persist(), encoder.prepare(val).persist()))
     return folded, frames
 
 
@@ -290,7 +297,7 @@ def train_neural_net(
 ) -> TrainedModel:
     """Feed-forward net on class-balanced rows.  Rows held out at random choose among the iteration limits."""
     encoder = fit_encoder(train, spec)
-    prepared = hold_out(encoder.prepare_train(train), spec.key).withColumn("label", F.col(spec.label).cast("double"))
+    prepared = hold_out(spread(encoder.prepare_train(train), spec.key), spec.key).withColumn("label", F.col(spec.label).cast("double"))
     stages = Pipeline(stages=encoder.stages(train.sparkSession)).fit(prepared)
     vectors = stages.transform(prepared).select(spec.key, spec.label, "label", "features", "is_validation").persist()
     layers = [len(encoder.feature_names()), *hidden, 2]

@@ -78,12 +78,12 @@ COHORT_COLUMNS = (
 )
 
 
-def parse_claims(raw: DataFrame) -> DataFrame:
-    """Typed claim rows; rows without a start or an end date are dropped."""
+def type_claims(raw: DataFrame) -> DataFrame:
+    """Claim rows with typed columns, before any row is dropped."""
     require_columns(raw, [*(c for c in CLAIM_COLUMNS if c not in ("PRVDR_NUM", "CLM_UTLZTN_DAY_CNT")), "sample"])
     start = F.coalesce(S.parse_yyyymmdd("CLM_ADMSN_DT"), S.parse_yyyymmdd("CLM_FROM_DT"))
     end = F.coalesce(S.parse_yyyymmdd("NCH_BENE_DSCHRG_DT"), S.parse_yyyymmdd("CLM_THRU_DT"))
-    typed = raw.select(
+    return raw.select(
         F.col("DESYNPUF_ID").alias("beneficiary_id"),
         F.col("CLM_ID").alias("claim_id"),
         "sample",
@@ -94,12 +94,21 @@ def parse_claims(raw: DataFrame) -> DataFrame:
         F.col("CLM_DRG_CD").alias("drg_code"),
         S.count_present(DX_COLUMNS).alias("num_diagnoses"),
         S.count_present(PROCEDURE_COLUMNS).alias("num_procedures"),
-    ).dropna(subset=["admit_date", "discharge_date"])
-    return typed.withColumns(
+    )
+
+
+def dated_claims(typed: DataFrame) -> DataFrame:
+    """Rows with both dates, plus length of stay and year."""
+    return typed.dropna(subset=["admit_date", "discharge_date"]).withColumns(
         {"los_days": S.days_between("admit_date", "discharge_date"), "admit_year": F.year("admit_date")}
     )
 
 
+def parse_claims(raw: DataFrame) -> DataFrame:
+    """Typed claim rows; rows without a start or an end date are dropped."""
+    return dated_claims(type_claims(raw))
+
+
 def parse_snapshots(raw: DataFrame) -> DataFrame:
     """Typed yearly snapshots with decoded flags."""
     return raw.select(
@@ -119,9 +128,10 @@ def flagged_episodes(raw_claims: DataFrame, raw_snapshots: DataFrame) -> DataFra
     """All episodes with label, history, attributes and exclusion flags, before anything is dropped.
 
     The typed claims are written to the shared folder first: four branches of the plan need them, each
-    with other columns, and text should be read and parsed once only.
+    with other columns, and text should be read and parsed once only.  The date filter then reaches
+    the scan of that table instead of parsing every date a second time.
     """
-    claims = store(parse_claims(raw_claims), "claims")
+    claims = dated_claims(store(type_claims(raw_claims), "claims"))
     labelled = C.with_return_label(C.with_sequence(claims, ROLES), ROLES)
     joined = C.attach_snapshot(
         labelled,

@@ -23,6 +23,8 @@ def comparable(frame: pd.DataFrame) -> pd.DataFrame:
     for c in out.columns:
         if pd.api.types.is_datetime64_any_dtype(out[c]):
             out[c] = out[c].dt.strftime("%Y-%m-%d")
+        elif pd.api.types.is_bool_dtype(out[c]):
+            out[c] = out[c].astype(object).map(lambda v: None if pd.isna(v) else bool(v))
         elif pd.api.types.is_integer_dtype(out[c]):
             out[c] = out[c].astype("float64")
         elif out[c].map(type).isin([type(None), int, float]).all():
