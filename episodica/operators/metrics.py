@@ -41,36 +41,37 @@ def top_k(total: Column, fraction: float) -> Column:
     return F.greatest(F.lit(1), F.bround(total * F.lit(float(fraction)), 0)).cast("bigint")
 
 
-def _with_totals(counts: DataFrame, by) -> DataFrame:
-    sums = [F.sum("n").alias("total_n"), F.sum("pos").alias("total_pos")]
+def _with_k(counts: DataFrame, ranked: DataFrame, by, fraction: float) -> DataFrame:
+    """Ranked counts with ``_k``, the size of the top fraction of their group."""
+    totals = counts.groupBy(*by).agg(top_k(F.sum("n"), fraction).alias("_k"))
     if by:
-        return counts.groupBy(*by).agg(*sums)
-    return counts.agg(*sums)
+        return null_safe_join(ranked, totals, by)
+    return ranked.withColumn("_k", totals.select("_k").scalar())
 
 
-def top_cutoff(counts: DataFrame, ranked: DataFrame, score: str, by=(), fraction: float = TOP_FRACTION) -> DataFrame:
-    """Per group: the score at the k-th row, and how many rows and positives lie strictly above it.
-
-    Written to the shared folder: rows meet this table later, and Spark then knows that it is small.
-    """
-    by = list(by)
-    totals = _with_totals(counts, by).withColumn("_k", top_k(F.col("total_n"), fraction))
-    if by:
-        joined = null_safe_join(ranked, totals, by)
-    else:
-        joined = ranked.withColumn("_k", totals.select("_k").scalar())
+def _cut(score: str) -> Column:
+    """Aggregate: the score at the k-th row, and how many rows and positives lie strictly above it."""
     above = F.col("cum_n") - F.col("n")
-    cut = joined.where((above < F.col("_k")) & (F.col("_k") <= F.col("cum_n"))).select(
-        *by, F.col(score).alias("_cut_score"), "_k", above.alias("_n_above"), (F.col("cum_pos") - F.col("pos")).alias("_pos_above")
+    facts = F.struct(
+        F.col(score).alias("_cut_score"), "_k", above.alias("_n_above"), (F.col("cum_pos") - F.col("pos")).alias("_pos_above")
     )
-    return store(cut, "top-cut")
+    return F.max(F.when((above < F.col("_k")) & (F.col("_k") <= F.col("cum_n")), facts))
+
+
+def _rank_once(df: DataFrame, roles: ScoreRoles, by, fraction: float, columns: dict[str, Column]) -> DataFrame:
+    """``columns`` and the cut per group from a single pass over the ranked counts.
+
+    One row per group, written to the shared folder: rows meet it later, and Spark then knows its size.
+    """
+    counts = score_counts(df, roles, by)
+    ranked = _with_k(counts, ranked_counts(counts, roles.score, by), by, fraction)
+    return store(_aggregate(ranked, by, {**columns, "_cut": _cut(roles.score)}), "ranked-sums")
 
 
 def top_rows(df: DataFrame, roles: ScoreRoles = ROLES, by=(), fraction: float = TOP_FRACTION, seed=42) -> DataFrame:
     """The k highest-scored rows of each group; rows tied at the cut are taken in seeded md5 order of the key."""
     by = list(by)
-    counts = score_counts(df, roles, by)
-    cut = top_cutoff(counts, ranked_counts(counts, roles.score, by), roles.score, by, fraction)
+    cut = _rank_once(df, roles, by, fraction, {}).select(*by, "_cut.*")
     if by:
         tagged = null_safe_join(df, cut, by)
     else:
@@ -113,21 +114,14 @@ def loss_scores(df: DataFrame, roles: ScoreRoles = ROLES, by=()) -> DataFrame:
     return _aggregate(weighted, by, _loss_sums(roles.score))
 
 
-def _score_sums(ranked: DataFrame, score: str, by) -> DataFrame:
-    counts = {"n": F.sum("n"), "n_pos": F.sum("pos")}
-    return _aggregate(ranked, by, {**_ranking_sums(), **_loss_sums(score), **counts})
-
-
 def metric_panel(
     df: DataFrame, roles: ScoreRoles = ROLES, by=(), fraction: float = TOP_FRACTION, seed=42
 ) -> DataFrame:
     """One row per group: PR-AUC (average precision), ROC-AUC, Brier, log loss, recall and precision at top k, n, n_pos."""
     by = list(by)
-    counts = score_counts(df, roles, by)
-    ranked = ranked_counts(counts, roles.score, by)
-    sums = _score_sums(ranked, roles.score, by)
-    cut = top_cutoff(counts, ranked, roles.score, by, fraction)
-    selected = _selected_positives(df, cut, roles, by, seed)
+    counted = {"n": F.sum("n"), "n_pos": F.sum("pos")}
+    sums = _rank_once(df, roles, by, fraction, {**_ranking_sums(), **_loss_sums(roles.score), **counted})
+    selected = _selected_positives(df, sums.select(*by, "_cut.*"), roles, by, seed)
     if by:
         panel = null_safe_join(sums, selected, by)
     else:

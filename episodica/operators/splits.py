@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from episodica.functions.joins import salted_join
 from episodica.functions.ordered import null_safe_join, shuffle_rank
+from episodica.sources.shared import store
 
 
 def entity_strata(df: DataFrame, entity: str, label: str) -> DataFrame:
@@ -20,8 +21,11 @@ def entity_strata(df: DataFrame, entity: str, label: str) -> DataFrame:
 
 
 def ranked_entities(df: DataFrame, entity: str, label: str, seed=42, at_most: Column | None = None) -> DataFrame:
-    """Entities with ``shuffle_rank`` and ``group_size`` within their stratum."""
-    return shuffle_rank(entity_strata(df, entity, label), entity, seed, ["ever_pos"], at_most)
+    """Entities with ``shuffle_rank`` and ``group_size`` within their stratum.
+
+    The entity table is written once: counting the cells and ranking both read it.
+    """
+    return shuffle_rank(store(entity_strata(df, entity, label), "entities"), entity, seed, ["ever_pos"], at_most)
 
 
 def _label_rows(df: DataFrame, assignment: DataFrame, entity: str, key: str) -> DataFrame:
