@@ -17,10 +17,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from episodica.functions import scalars as S
-from episodica.functions.ordered import exact_quantiles, null_safe_join
+from episodica.functions.ordered import exact_quantiles, null_safe_join, shuffle_rank
 from episodica.operators.encode import filled_text
 from episodica.operators.splits import sample_rows
-from episodica.sources.shared import shared_path
+from episodica.sources.shared import shared_path, store
 
 PHI_SCHEMA = "feature string, value double, phi double"
 
@@ -192,11 +192,16 @@ def nth_extremes(df: DataFrame, score: str, key: str, n: int = 10) -> DataFrame:
     return extreme_rows(df, score, key, n).where(F.col("rank") == n - 1)
 
 
-def label_encoding(df: DataFrame, columns, missing: str = "__missing__") -> DataFrame:
-    """``(feature, level, code)``: levels in text order, NULL as its own level, one code list per column."""
+def label_encoding(df: DataFrame, columns, missing: str = "__missing__", seed: int = 42) -> DataFrame:
+    """``(feature, level, code)``: codes 0.. per column, NULL as its own level.
+
+    The order of the codes carries no meaning; it is the seeded md5 order, so that a column with very
+    many levels is numbered in parallel.
+    """
     cells = [F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c).cast("string"), F.lit(missing)).alias("level")) for c in columns]
-    levels = df.select(F.inline(F.array(*cells))).distinct()
-    return levels.withColumn("code", F.row_number().over(W.partitionBy("feature").orderBy("level")) - 1)
+    levels = store(df.select(F.inline(F.array(*cells))).distinct(), "levels")
+    ranked = shuffle_rank(levels, "level", seed, ["feature"])
+    return ranked.select("feature", "level", (F.col("shuffle_rank") - 1).alias("code"))
 
 
 def _background(df: DataFrame, spec, n: int):

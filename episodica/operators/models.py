@@ -98,9 +98,11 @@ class TrainedModel:
         return cls(name, FittedEncoder.load(spark, f"{path}/encoder", spec), PipelineModel.load(f"{path}/model"))
 
 
-def train_model(train: DataFrame, name: str, spec: FeatureSpec = FeatureSpec(), params: dict | None = None) -> TrainedModel:
-    """Encoder and classifier, both fitted on ``train`` only."""
-    encoder = fit_encoder(train, spec)
+def train_model(
+    train: DataFrame, name: str, spec: FeatureSpec = FeatureSpec(), params: dict | None = None, encoder: FittedEncoder | None = None
+) -> TrainedModel:
+    """Encoder and classifier, both fitted on ``train`` only; an encoder fitted on the same rows may be given."""
+    encoder = encoder or fit_encoder(train, spec)
     estimator = make_estimator(name, train.count(), **(params or {}))
     if estimator is None:
         raise RuntimeError(f"{name} is not available")

@@ -29,8 +29,7 @@ def rate_by(df: DataFrame, group, label: str = "y", min_rows: int = 0, overall:
         F.sum(F.col(label).cast("bigint")).alias("k"), F.count(label).alias("n")
     )
     if overall:
-        everything = W.partitionBy(F.lit(0))  # one row per group by now
-        counts = counts.withColumn("overall_rate", F.sum("k").over(everything) / F.sum("n").over(everything))
+        counts = counts.withColumn("overall_rate", df.select(F.avg(label)).scalar())
     return with_wilson(counts.where(F.col("n") >= max(min_rows, 1)))
 
 

@@ -315,6 +315,12 @@ def previous_end(spark, sf):
     return C.with_sequence(V.encounters(spark, sf), ROLES).select("claim", "prev_end")
 
 
+@query("f1_sequence_order", f"WITH {V.LAB} SELECT claim, next_start, prev_end, prior_count FROM lab")
+def sequence_order(spark, sf):
+    """Everything that depends on the order within the entity, without a global sort."""
+    return C.with_sequence(V.encounters(spark, sf), ROLES).select("claim", "next_start", "prev_end", "prior_count")
+
+
 @query("e3_prior_180d_count", f"WITH {V.LAB} SELECT claim, prior_count FROM lab")
 def prior_count(spark, sf):
     return C.with_sequence(V.encounters(spark, sf), ROLES).select("claim", "prior_count")

@@ -215,7 +215,7 @@ def top_chapters(spark, sf):
     "p5_label_encoding",
     f"WITH {V.COH}, l AS ("
     + " UNION ".join(f"SELECT '{c}' AS feature, coalesce(CAST({c} AS VARCHAR), '__missing__') AS level FROM coh" for c in ("sex", "race", "age_bin", "admit_dx_chapter", "admit_dx_code", "drg_code"))
-    + ") SELECT feature, level, row_number() OVER (PARTITION BY feature ORDER BY level) - 1 AS code FROM l",
+    + ") SELECT feature, level, row_number() OVER (PARTITION BY feature ORDER BY md5(level || '|42'), level) - 1 AS code FROM l",
 )
 def label_encoding(spark, sf):
     from episodica.operators.explain import label_encoding

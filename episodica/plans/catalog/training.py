@@ -9,6 +9,7 @@ from episodica.operators import explain as X
 from episodica.operators import metrics as M
 from episodica.operators import models as L
 from episodica.operators import score as O
+from episodica.operators.encode import fit_encoder
 from episodica.operators.splits import assign_halves, sample_entities
 from episodica.plans import train as T
 from episodica.plans import views as V
@@ -45,7 +46,8 @@ def _val(spark, sf):
 
 
 def _model(spark, sf, name):
-    return _once(spark, sf, name, lambda: L.train_model(_train(spark, sf), name, SPEC, SMALL[name]))
+    encoder = _once(spark, sf, "encoder", lambda: fit_encoder(_train(spark, sf), SPEC))
+    return _once(spark, sf, name, lambda: L.train_model(_train(spark, sf), name, SPEC, SMALL[name], encoder))
 
 
 def _bench(spark, sf):
