@@ -9,12 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``; only a session without that setting gets a temporary folder."""
+    """A fresh path below ``spark.checkpoint.dir``.
+
+    Only a local session, where driver and executors are one process, may go without that setting: it then gets a
+    temporary folder.  Anywhere else a missing setting is an error, as executors don't see each other's disks.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="episodica-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/episodica/{name}-{uuid.uuid4().hex}"
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = LOCAL.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="episodica-")
+        LOCAL[spark.sparkContext.applicationId] = base
+    return f"{base.rstrip('/')}/episodica/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+# temporary folders of local sessions without the setting, by application
+LOCAL: dict[str, str] = {}
 
 
 def store(df: DataFrame, name: str, partition_by=()) -> DataFrame:
