@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from episodica.llm.arrow import pick
+from episodica.llm.decontaminate import find_contamination
 from episodica.llm.language import identify_language
+from episodica.llm.lm import score_texts
+from episodica.llm.near_duplicates import find_near_duplicates
 from episodica.llm.quality import score_quality
 from episodica.llm.secrets import scan_secrets
 
@@ -31,13 +34,29 @@ def op1_secret_scan(spark, sf_dir):
     return pick(found, ["doc_id"], "n_assign", "n_access", "n_hex", "n_novel", "base_sha256", "spans")
 
 
+@query
+def op3_near_duplicates(spark, sf_dir):
+    return find_near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_quality(spark, sf_dir):
     scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
     return pick(scored, ["doc_id"], "held_out", "score", "predicted")
 
 
+@query
+def op6_decontamination(spark, sf_dir):
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return pick(found, ["doc_id"], "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 @query
 def op9_language(spark, sf_dir):
     named = identify_language(table(spark, sf_dir, "documents"), ["doc_id"])
     return pick(named, ["doc_id"], "held_out", "lang_pred", "score", "rejected")
+
+
+@query
+def op10_lm_score(spark, sf_dir):
+    return score_texts(table(spark, sf_dir, "documents"))
