@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from episodica.llm import mixture
 from episodica.llm.arrow import pick
 from episodica.llm.decontaminate import find_contamination
 from episodica.llm.language import identify_language
 from episodica.llm.lm import score_texts
 from episodica.llm.near_duplicates import find_near_duplicates
+from episodica.llm.neighbours import nearest
 from episodica.llm.quality import score_quality
 from episodica.llm.secrets import scan_secrets
 
@@ -34,11 +36,24 @@ def op1_secret_scan(spark, sf_dir):
     return pick(found, ["doc_id"], "n_assign", "n_access", "n_hex", "n_novel", "base_sha256", "spans")
 
 
+@query
+def op2_mixture(spark, sf_dir):
+    return mixture.mix_sources(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op2_mixture"] = mixture.ORACLE
+
+
 @query
 def op3_near_duplicates(spark, sf_dir):
     return find_near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_neighbours(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op5_quality(spark, sf_dir):
     scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
