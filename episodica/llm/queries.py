@@ -14,6 +14,7 @@ from episodica.llm.language import identify_language
 from episodica.llm.lm import score_texts
 from episodica.llm.near_duplicates import find_near_duplicates
 from episodica.llm.neighbours import nearest
+from episodica.llm.pii import find_personal_data
 from episodica.llm.quality import score_quality
 from episodica.llm.secrets import scan_secrets
 
@@ -66,6 +67,12 @@ def op6_decontamination(spark, sf_dir):
     return pick(found, ["doc_id"], "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query
+def op8_personal_data(spark, sf_dir):
+    found = find_personal_data(table(spark, sf_dir, "documents"), ["doc_id"])
+    return pick(found, ["doc_id"], "n_email", "n_ip", "n_card", "n_phone", "n_term", "base_sha256", "spans")
+
+
 @query
 def op9_language(spark, sf_dir):
     named = identify_language(table(spark, sf_dir, "documents"), ["doc_id"])
