@@ -17,6 +17,7 @@ from episodica.llm.neighbours import nearest
 from episodica.llm.pii import find_personal_data
 from episodica.llm.quality import score_quality
 from episodica.llm.secrets import scan_secrets
+from episodica.llm.substrings import remove_repeated_strings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -67,6 +68,12 @@ def op6_decontamination(spark, sf_dir):
     return pick(found, ["doc_id"], "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query
+def op7_repeated_strings(spark, sf_dir):
+    kept = remove_repeated_strings(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op8_personal_data(spark, sf_dir):
     found = find_personal_data(table(spark, sf_dir, "documents"), ["doc_id"])
