@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -9,10 +10,12 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 @pytest.fixture(scope="session")
 def spark():
+    shared = tempfile.mkdtemp(prefix="episodica-tests-")
     session = (
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", shared).config("spark.sql.warehouse.dir", f"{shared}/warehouse").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
