@@ -8,30 +8,36 @@ from pyspark.sql import functions as F
 from episodica.functions.ordered import null_safe_join
 
 
-def hot_keys(df: DataFrame, keys) -> DataFrame:
+def key_counts(df: DataFrame, keys) -> DataFrame:
+    """Rows per key as ``_n``."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def hot_keys(counts: DataFrame, keys) -> DataFrame:
     """Keys that hold more than 1/(2P) of the rows, P being the shuffle partitions, with ``_copies``.
 
-    At most 2P keys can pass, so the result is small whatever the size of ``df``.
+    ``counts`` has the rows per key as ``_n``.  At most 2P keys can pass, so the result is small whatever the data.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    limit = F.greatest(df.select(F.count(F.lit(1))).scalar() / (2 * parts), F.lit(1.0))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    limit = F.greatest(counts.select(F.sum("_n")).scalar() / (2 * parts), F.lit(1.0))
     return counts.where(F.col("_n") > limit).select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_copies"))
 
 
 def salted_join(
-    facts: DataFrame, side: DataFrame, keys, how: str = "left", spread: str | None = None, counted: DataFrame | None = None
+    facts: DataFrame, side: DataFrame, keys, how: str = "left", spread: str | None = None, counts: DataFrame | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join ``facts`` to ``side`` on ``keys`` so that no key lands in one task as a whole.
 
     Rows of hot keys are spread over as many salts as the key fills fair shares, and only the side
     rows of those keys are copied (at most 4P copies in all).  The list of hot keys is broadcast;
     its size is bounded by construction.  ``spread`` names the column whose hash picks the salt.
-    ``counted`` may be a cheaper frame with the same key frequencies as ``facts``.
+    ``counts`` may give the rows per key as ``_n``, if they are known.  NULL keys meet nothing, unless
+    ``null_safe`` makes NULL a key like others.
     """
     keys = list(keys)
     spread = spread or next(c for c in facts.columns if c not in keys)
-    hot = F.broadcast(hot_keys(counted if counted is not None else facts, keys))
+    hot = F.broadcast(hot_keys(key_counts(facts, keys) if counts is None else counts, keys))
     copies = F.coalesce(F.col("_copies"), F.lit(1))
     left = null_safe_join(facts, hot, keys, "left").withColumn("_salt", F.pmod(F.hash(spread), copies)).drop("_copies")
     right = (
@@ -39,17 +45,5 @@ def salted_join(
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1)))
         .drop("_copies")
     )
-    return null_safe_join(left, right, [*keys, "_salt"], how).drop("_salt")
-
-
-# A side of up to this many rows is broadcast (some tens of MB for a key and a few numbers).
-BROADCAST_ROWS = 200_000
-
-
-def lookup_join(
-    facts: DataFrame, side: DataFrame, side_rows: int, keys, how: str = "left", spread: str | None = None, counted: DataFrame | None = None
-) -> DataFrame:
-    """Join a side whose row count is known: broadcast up to ``BROADCAST_ROWS``, salted beyond."""
-    if side_rows <= BROADCAST_ROWS:
-        return null_safe_join(facts, F.broadcast(side), keys, how)
-    return salted_join(facts, side, keys, how, spread, counted)
+    both = [*keys, "_salt"]
+    return (null_safe_join(left, right, both, how) if null_safe else left.join(right, both, how)).drop("_salt")

@@ -9,6 +9,8 @@ supplies the offset of each range.  Repeated values cannot overload a range: the
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -17,8 +19,6 @@ from pyspark.sql import functions as F
 from episodica.sources.shared import store
 
 BUCKET = "_range"
-# Up to this many distinct values are summed by one plain window per group; the count is checked first.
-SMALL_VALUES = 100_000
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
@@ -48,10 +48,11 @@ def range_edges(df: DataFrame, column: str, parts: int | None = None) -> list[fl
     them.  They come back as plain numbers, so every branch of a plan uses the same ranges.
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(2, min(parts, 2000))
+    parts = max(2, parts)
     probs = [i / parts for i in range(1, parts)]
     error = 1.0 / (4 * parts)
-    return sorted(set(df.select(F.col(column).cast("double").alias("v")).approxQuantile("v", probs, error)))
+    # a table without values has one cut, anywhere
+    return sorted(set(df.select(F.col(column).cast("double").alias("v")).approxQuantile("v", probs, error))) or [0.0]
 
 
 def with_range(df: DataFrame, column: str, edges: list[float]) -> DataFrame:
@@ -75,23 +76,10 @@ def global_cumsum(
 
     ``(by, order_by)`` must be unique: aggregate with :func:`value_counts` first.  For each name in
     ``next_values`` a column ``next_<v>`` holds the value of the following row, NULL at the end.
-    Without ``edges`` the number of rows decides between one window per group and ranges.
+    Without ``edges`` a pass over the values finds cut points: the call itself runs a Spark job.
     """
     by = list(by)
-    if edges is None:
-        edges = [] if df.count() <= SMALL_VALUES else range_edges(df, order_by)
-    if not edges:
-        whole = (W.partitionBy(*by) if by else W.partitionBy(F.lit(0))).orderBy(
-            F.col(order_by).desc() if descending else F.col(order_by).asc()
-        )
-        so_far = whole.rowsBetween(W.unboundedPreceding, 0)
-        return df.withColumns(
-            {
-                **{f"cum_{v}": F.sum(v).over(so_far) for v in values},
-                **{f"next_{v}": F.lead(v).over(whole) for v in next_values},
-            }
-        )
-    tagged = with_range(df, order_by, edges)
+    tagged = with_range(df, order_by, edges or range_edges(df, order_by))
     cells = [*by, BUCKET]
     order = F.col(order_by).desc() if descending else F.col(order_by).asc()
     range_order = F.col(BUCKET).desc() if descending else F.col(BUCKET).asc()
@@ -156,9 +144,9 @@ def exact_quantiles(df: DataFrame, column: str, probs: dict[str, float], by=(),
 
 
 def average_ranks(df: DataFrame, column: str, by=()) -> DataFrame:
-    """Average rank (ties share the mean) of each distinct value: ``(by, column, avg_rank)``."""
+    """Average rank (ties share the mean) of each distinct value, with its count: ``(by, column, n, avg_rank)``."""
     ranked = global_cumsum(value_counts(df, column, by), column, ["n"], by)
-    return ranked.select(*by, column, (F.col("cum_n") - F.col("n") + (F.col("n") + 1) / 2).alias("avg_rank"))
+    return ranked.select(*by, column, "n", (F.col("cum_n") - F.col("n") + (F.col("n") + 1) / 2).alias("avg_rank"))
 
 
 def shuffle_hash(key: str, seed) -> Column:
@@ -166,15 +154,19 @@ def shuffle_hash(key: str, seed) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
 
 
-def shuffle_rank(df: DataFrame, key: str, seed=42, by=(), at_most: Column | None = None, prefix: int = 3) -> DataFrame:
+def shuffle_rank(df: DataFrame, key: str, seed=42, by=(), at_most: Column | None = None, prefix: int | None = None) -> DataFrame:
     """Rank rows in seeded random order within ``by``: adds ``shuffle_rank`` (from 1) and ``group_size``.
 
     ``key`` must be unique within ``by``.  Rows are ranked inside (by, hash prefix) cells, which are
-    equally full whatever ``by`` is, and shifted by the counts of the earlier prefixes.  With
+    equally full whatever ``by`` is, and shifted by the counts of the earlier prefixes.  The prefix has as many hex
+    digits as make sixteen cells for every shuffle partition.  With
     ``at_most`` (an expression on ``group_size`` and the ``by`` columns) only the rows with a rank up
     to it are returned, and cells that lie wholly behind it are never sorted.
     """
     by = list(by)
+    if prefix is None:
+        cells_wanted = 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        prefix = max(1, math.ceil(math.log2(cells_wanted) / 4))
     hashed = df.withColumn("_hash", shuffle_hash(key, seed)).withColumn("_cell", F.substring("_hash", 1, prefix))
     cells = [*by, "_cell"]
     outer = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))

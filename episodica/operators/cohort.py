@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from episodica.functions import scalars as S
 from episodica.functions.joins import salted_join
-from episodica.functions.ordered import null_safe_join
 from episodica.roles import EpisodeRoles
 
 # Exclusion rules of the claims preset, in reporting order.
@@ -26,10 +25,11 @@ def with_sequence(df: DataFrame, roles: EpisodeRoles = EpisodeRoles(), lookback_
 
     The window functions run on one row per (entity, start, end).  That table is bounded by the
     calendar however many episodes an entity has, is reduced before the shuffle, and is joined back
-    on all three columns, so an entity with a third of all rows does not end up in one task.
+    on all three columns with salts, so not even an entity with a third of all rows on one day ends up in one task.
     """
     entity, key, start, end = roles.entity, roles.key, roles.start, roles.end
-    stays = df.groupBy(entity, start, end).agg(
+    keys = [entity, start, end]
+    stays = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min(key).alias("_first"), F.max(key).alias("_last")
     )
     order = W.partitionBy(entity).orderBy(start, end)
@@ -39,6 +39,7 @@ def with_sequence(df: DataFrame, roles: EpisodeRoles = EpisodeRoles(), lookback_
         entity,
         start,
         end,
+        "_n",
         "_first",
         "_last",
         F.lead(start).over(order).alias("_next"),
@@ -46,7 +47,7 @@ def with_sequence(df: DataFrame, roles: EpisodeRoles = EpisodeRoles(), lookback_
         F.sum("_n").over(look).alias("_in_window"),
     )
     return (
-        null_safe_join(df, stays, [entity, start, end])
+        salted_join(df, stays.drop("_n"), keys, "inner", key, stays.select(*keys, "_n"), null_safe=True)
         .withColumns(
             {
                 "next_start": F.when(F.col(key) < F.col("_last"), F.col(start)).otherwise(F.col("_next")),
@@ -84,19 +85,24 @@ def attach_snapshot(
     columns,
     anchor: str,
     spread: str,
-    counted: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Attributes of the fact's own year, or the latest year's whole block where ``anchor`` is NULL.
 
     Both look-ups need one join: a key's yearly rows are packed into a map by year plus the latest
-    record.  ``snapshots`` must be unique per (keys, year), see :func:`duplicate_snapshots`.
+    record.  ``snapshots`` must be unique per (keys, year): a repeated year is an error, found by a Spark job before
+    the join.  Snapshots without a year are left out, and NULL keys meet nothing.
     """
+    snapshots = snapshots.where(F.col(snapshot_year).isNotNull())
+    repeated = duplicate_snapshots(snapshots, [*keys, snapshot_year]).head(1)
+    if repeated:
+        raise ValueError(f"more than one snapshot of a key and year, the first: {repeated[0].asDict()}")
     block = F.struct(*columns)
     packed = snapshots.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(snapshot_year), block))).alias("_by_year"),
         F.max_by(block, snapshot_year).alias("_latest"),
     )
-    joined = salted_join(df, packed, keys, "left", spread, counted)
+    joined = salted_join(df, packed, keys, "left", spread, counts)
     exact = F.try_element_at("_by_year", F.col(fact_year))
     use_exact = exact.getField(anchor).isNotNull()
     return joined.withColumns(

@@ -12,7 +12,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssemble
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from episodica.functions.joins import lookup_join
+from episodica.functions.joins import key_counts, salted_join
 from episodica.functions.ordered import exact_quantiles, null_safe_join, shuffle_hash
 from episodica.roles import FeatureSpec, require_columns
 from episodica.sources.shared import store
@@ -22,7 +22,6 @@ MISSING = "UNKNOWN"
 MIN_FREQUENCY = 20
 TARGET_FOLDS = 5
 RARE = "__infrequent__"
-MAX_ONE_HOT_LEVELS = 10_000
 
 
 def _long(df: DataFrame, columns, value, *keep) -> DataFrame:
@@ -105,7 +104,6 @@ def cross_target_table(train: DataFrame, columns, label: str, fold: str) -> Data
 
 def apply_target(df: DataFrame, table: DataFrame, columns, default: dict[str, float], key: str, fold: str | None = None) -> DataFrame:
     """Add ``cat_high__<column>``; levels that the table does not hold get the default."""
-    sizes = {r.feature: r["count"] for r in table.groupBy("feature").count().collect()}
     out = df
     for c in columns:
         side = table.where(F.col("feature") == c).select(
@@ -116,7 +114,7 @@ def apply_target(df: DataFrame, table: DataFrame, columns, default: dict[str, fl
         if fold:
             facts = facts.withColumn("_fold", F.col(fold))
         counted = df.select(key, filled_text(c).alias("_level"), *([F.col(fold).alias("_fold")] if fold else []))
-        joined = lookup_join(facts, side, sizes.get(c, 0), keys, "left", key, counted)
+        joined = salted_join(facts, side, keys, "left", key, key_counts(counted, keys))
         out = joined.withColumn(f"cat_high__{c}", F.coalesce("_enc", F.lit(default[c]))).drop("_enc", *keys)
     return out
 
@@ -124,8 +122,8 @@ def apply_target(df: DataFrame, table: DataFrame, columns, default: dict[str, fl
 class FittedEncoder:
     """The statistics of one training set, and the columns and ML stages that follow from them."""
 
-    def __init__(self, spec: FeatureSpec, numeric: dict, modes: dict, levels: dict, default: dict, table: DataFrame, train_table):
-        self.spec, self.numeric, self.modes, self.levels = spec, numeric, modes, levels
+    def __init__(self, spec: FeatureSpec, numeric: dict, modes: dict, levels: dict, rare: DataFrame | None, default: dict, table: DataFrame, train_table):
+        self.spec, self.numeric, self.modes, self.levels, self.rare = spec, numeric, modes, levels, rare
         self.default, self.table, self.train_table = default, table, train_table
 
     def _numbers_and_flags(self, df: DataFrame) -> DataFrame:
@@ -136,10 +134,15 @@ class FittedEncoder:
         for c in self.spec.binary:
             columns[f"bin__{c}"] = F.coalesce(F.col(c).cast("int"), F.lit(self.modes.get(c, 0))).cast("double")
         for c in self.spec.cat_low:
-            rare = [level for level, is_rare in self.levels[c] if is_rare]
-            text = filled_text(c)
-            columns[f"cat_low__{c}"] = F.when(text.isin(rare), RARE).otherwise(text) if rare else text
-        return df.withColumns(columns)
+            columns[f"cat_low__{c}"] = filled_text(c)
+        out = df.withColumns(columns)
+        # rare levels may be many: they stay a table
+        for c in self.spec.cat_low:
+            if RARE in self.levels[c]:
+                name = f"cat_low__{c}"
+                rare = self.rare.where(F.col("feature") == c).select(F.col("level").alias(name), F.lit(True).alias("_rare"))
+                out = out.join(rare, name, "left").withColumn(name, F.when(F.col("_rare"), RARE).otherwise(F.col(name))).drop("_rare")
+        return out
 
     def prepare(self, df: DataFrame) -> DataFrame:
         """Encoded columns for rows the encoder was not fitted on."""
@@ -153,8 +156,8 @@ class FittedEncoder:
         return apply_target(folded, self.train_table, self.spec.cat_high, self.default, self.spec.key, "_tfold").drop("_tfold")
 
     def kept_levels(self, c: str) -> list[str]:
-        kept = sorted(level for level, is_rare in self.levels[c] if not is_rare)
-        return [*kept, RARE] if any(is_rare for _, is_rare in self.levels[c]) else kept
+        """One-hot levels by name, the shared one of the rare levels last."""
+        return self.levels[c]
 
     def stages(self, spark) -> list:
         """ML stages from the prepared columns to the vector ``features``.  Unseen levels become all zeros."""
@@ -182,14 +185,16 @@ class FittedEncoder:
         ]
 
     def save(self, spark, path: str) -> None:
-        """Two Parquet tables: parameters (one row per feature and level) and target means."""
+        """Parquet tables: parameters (one row per feature and kept level), target means and rare levels."""
         rows = [("numeric", c, None, *map(float, v)) for c, v in self.numeric.items()]
         rows += [("mode", c, None, float(v), None, None) for c, v in self.modes.items()]
-        rows += [("level", c, level, float(rare), None, None) for c, pairs in self.levels.items() for level, rare in pairs]
+        rows += [("level", c, level, None, None, None) for c, kept in self.levels.items() for level in kept]
         rows += [("default", c, None, float(v), None, None) for c, v in self.default.items()]
         schema = "kind string, feature string, level string, a double, b double, c double"
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/parameters")
         self.table.write.mode("overwrite").parquet(f"{path}/target_means")
+        if self.rare is not None:
+            self.rare.write.mode("overwrite").parquet(f"{path}/rare_levels")
 
     @classmethod
     def load(cls, spark, path: str, spec: FeatureSpec = FeatureSpec()) -> "FittedEncoder":
@@ -200,24 +205,28 @@ class FittedEncoder:
             elif r.kind == "mode":
                 modes[r.feature] = int(r.a)
             elif r.kind == "level":
-                levels[r.feature].append((r.level, bool(r.a)))
+                levels[r.feature].append(r.level)
             else:
                 default[r.feature] = r.a
-        return cls(spec, numeric, modes, levels, default, spark.read.parquet(f"{path}/target_means"), None)
+        levels = {c: [*sorted(x for x in kept if x != RARE), *([RARE] if RARE in kept else [])] for c, kept in levels.items()}
+        rare = spark.read.parquet(f"{path}/rare_levels") if spec.cat_low else None
+        return cls(spec, numeric, modes, levels, rare, default, spark.read.parquet(f"{path}/target_means"), None)
 
 
 def fit_encoder(train: DataFrame, spec: FeatureSpec = FeatureSpec(), min_frequency: int = MIN_FREQUENCY) -> FittedEncoder:
-    """Fit all statistics.  Only parameters reach the driver: moments, modes and one-hot level names."""
+    """Fit all statistics.  Only parameters reach the driver: moments, modes and the names of kept one-hot levels."""
     numeric = {r.feature: (r.median or 0.0, r.mean, r.std) for r in numeric_stats(train, spec.numeric).collect()} if spec.numeric else {}
     modes = {r.feature: r.mode for r in flag_modes(train, spec.binary).collect()} if spec.binary else {}
-    levels: dict[str, list] = {c: [] for c in spec.cat_low}
+    levels: dict[str, list[str]] = {c: [] for c in spec.cat_low}
+    rare = None
     if spec.cat_low:
-        table = level_counts(train, spec.cat_low, min_frequency)
-        found = table.limit(MAX_ONE_HOT_LEVELS + 1).collect()
-        if len(found) > MAX_ONE_HOT_LEVELS:
-            raise ValueError("too many one-hot levels: list the column under cat_high instead")
-        for r in found:
-            levels[r.feature].append((r.level, r.rare))
+        table = store(level_counts(train, spec.cat_low, min_frequency), "levels")
+        rare = table.where("rare").select("feature", "level")
+        # a kept level is a slot of the vector, so the model bounds their number
+        for r in table.where("not rare").select("feature", "level").orderBy("feature", "level").collect():
+            levels[r.feature].append(r.level)
+        for r in rare.select("feature").distinct().collect():
+            levels[r.feature].append(RARE)
     mean = train.agg(F.avg(spec.label)).first()[0] or 0.0
     default = {c: float(mean) for c in spec.cat_high}
     full, crossed = None, None
@@ -225,4 +234,4 @@ def fit_encoder(train: DataFrame, spec: FeatureSpec = FeatureSpec(), min_frequen
         folded = train.withColumn("_tfold", target_fold(spec.key))
         full = store(target_table(train, spec.cat_high, spec.label), "target-means")
         crossed = store(cross_target_table(folded, spec.cat_high, spec.label, "_tfold"), "target-means-crossed")
-    return FittedEncoder(spec, numeric, modes, levels, default, full, crossed)
+    return FittedEncoder(spec, numeric, modes, levels, rare, default, full, crossed)

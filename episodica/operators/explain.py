@@ -17,9 +17,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from episodica.functions import scalars as S
-from episodica.functions.ordered import exact_quantiles, null_safe_join, shuffle_rank
+from episodica.functions.ordered import exact_quantiles, global_cumsum, null_safe_join, shuffle_rank
 from episodica.operators.encode import filled_text
-from episodica.operators.splits import sample_rows
 from episodica.sources.shared import shared_path, store
 
 PHI_SCHEMA = "feature string, value double, phi double"
@@ -204,41 +203,49 @@ def label_encoding(df: DataFrame, columns, missing: str = "__missing__", seed: i
     return ranked.select("feature", "level", (F.col("shuffle_rank") - 1).alias("code"))
 
 
-def _background(df: DataFrame, spec, n: int):
-    """Quartiles of the numbers and level shares of the rest, from ``n`` background rows."""
-    rows = sample_rows(df, n, spec.key).persist()
+SHARE_CELLS = 1024
+
+
+def _background(df: DataFrame, spec):
+    """Quartiles of the numbers, and a table of the levels of the rest with the stretch of [0, 1) each one fills.
+
+    ``levels`` has ``(f, cell, low, high, v)``: a level stands in every one of the 1,024 cells that its stretch
+    touches, so that a drawn number finds its level by an equality join on the cell.
+    """
     numbers = [*spec.numeric]
-    stacked = rows.select(F.inline(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).cast("double").alias("v")) for c in numbers])))
+    stacked = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).cast("double").alias("v")) for c in numbers])))
     quartiles = {
         r.f: [r.a, r.b, r.c, r.lo, r.hi]
         for r in exact_quantiles(stacked, "v", {"a": 0.25, "b": 0.5, "c": 0.75, "lo": 0.0, "hi": 1.0}, ["f"]).collect()
     }
     texts = [*spec.binary, *spec.cat_low, *spec.cat_high]
-    cells = rows.select(F.inline(F.array(*[F.struct(F.lit(c).alias("f"), filled_text(c).alias("v")) for c in texts])))
-    shares: dict[str, list] = {c: [] for c in texts}
-    for r in cells.groupBy("f", "v").count().orderBy("f", "v").collect():
-        shares[r.f].append((r.v, r["count"]))
-    rows.unpersist()
-    return quartiles, shares
+    cells = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("f"), filled_text(c).alias("v")) for c in texts])))
+    counts = store(cells.groupBy("f", "v").agg(F.count(F.lit(1)).alias("n")), "levels")
+    # the order of the levels carries no meaning: the shuffled rank cuts them into ranges that are summed apart
+    ranked = shuffle_rank(counts, "v", 42, ["f"]).drop("group_size")
+    summed = null_safe_join(global_cumsum(ranked, "shuffle_rank", ["n"], ["f"]), counts.groupBy("f").agg(F.sum("n").alias("_all")), ["f"])
+    low, high = (F.col("cum_n") - F.col("n")) / F.col("_all"), F.col("cum_n") / F.col("_all")
+    touched = F.sequence(F.floor(low * SHARE_CELLS).cast("int"), F.least(F.floor(high * SHARE_CELLS), F.lit(SHARE_CELLS - 1)).cast("int"))
+    levels = summed.select("f", F.explode(touched).alias("cell"), low.alias("low"), high.alias("high"), "v")
+    return quartiles, store(levels, "level-shares")
 
 
 def local_surrogate(
-    df: DataFrame, trained, n_each: int = 3, n_background: int = 5000, n_samples: int = 1500, n_features: int = 10, seed: int = 42,
-    background: DataFrame | None = None,
+    df: DataFrame, trained, n_each: int = 3, n_samples: int = 1500, n_features: int = 10, seed: int = 42, background: DataFrame | None = None,
 ) -> DataFrame:
     """Local linear explanation of the most extreme scored rows: ``(risk_bucket, rank, score, feature, weight)``.
 
-    Each chosen row is copied ``n_samples`` times; copies redraw each feature from the background (a
-    quartile of a number, a level of a text) by seeded hashing.  The copies are scored as one Spark job,
+    Each chosen row is copied ``n_samples`` times; copies redraw each feature from all rows of the background
+    (a quartile of a number, a level of a text by its share) by seeded hashing.  The copies are scored as one Spark job,
     and a kernel-weighted ridge regression on "same bin as the original" is solved per chosen row.
     """
     spec = trained.encoder.spec
     numbers, texts = list(spec.numeric), [*spec.binary, *spec.cat_low, *spec.cat_high]
     names = [*numbers, *texts]
-    quartiles, shares = _background(background if background is not None else df, spec, n_background)
+    quartiles, levels = _background(background if background is not None else df, spec)
     scored = trained.transform(df).select(*dict.fromkeys([spec.key, *names]), "p")
     chosen = extreme_rows(scored, "p", spec.key, n_each).withColumnRenamed("p", "score")
-    copies = chosen.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))))
+    copies = store(chosen.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1)))), "copies")
 
     def unit(name: str, salt: str) -> Column:
         draw = F.xxhash64(F.lit(f"{name}|{salt}|{seed}"), F.col("risk_bucket"), F.col("rank"), F.col("_i"))
@@ -262,19 +269,20 @@ def local_surrogate(
         new = F.when(keep, x).otherwise(value)
         fresh = (new > a).cast("int") + (new > b).cast("int") + (new > d).cast("int")
         drawn[c] = (new.cast(types[c]), F.coalesce((fresh == own).cast("double"), F.lit(1.0)))
+    ids = ("risk_bucket", "rank", "_i")
+    draws = copies.select(*ids, F.inline(F.array(*[F.struct(F.lit(c).alias("f"), unit(c, "level").alias("u")) for c in texts])))
+    draws = draws.withColumn("cell", F.least(F.floor(F.col("u") * SHARE_CELLS), F.lit(SHARE_CELLS - 1)).cast("int"))
+    hit = (F.col("u") >= F.col("low")) & ((F.col("u") < F.col("high")) | ((F.col("u") == 1) & (F.col("high") >= 1)))
+    drawn_levels = draws.join(levels, ["f", "cell"]).where(hit).groupBy(*ids).agg(F.map_from_entries(F.collect_list(F.struct("f", "v"))).alias("_levels"))
+    copies = copies.join(drawn_levels, list(ids))
     for c in texts:
-        levels = shares[c]
-        total = float(sum(n for _, n in levels)) or 1.0
-        cum = np.cumsum([n for _, n in levels]) / total
-        u = unit(c, "level")
-        index = F.size(F.filter(F.array(*[F.lit(float(v)) for v in cum]), lambda e: e < u))
-        text = F.get(F.array(*[F.lit(v) for v, _ in levels]), F.least(index, F.lit(len(levels) - 1)))
+        text = F.try_element_at("_levels", F.lit(c))
         new = F.when(keep, filled_text(c)).otherwise(text)
         drawn[c] = (new.try_cast(types[c]), (new == filled_text(c)).cast("double"))
     id_type = fields[spec.key]
     sampled = copies.select(
         F.concat_ws("|", "risk_bucket", "rank", "_i").alias(spec.key) if id_type.typeName() == "string"
-        else F.xxhash64("risk_bucket", "rank", "_i").cast(id_type).alias(spec.key),
+        else F.pmod(F.xxhash64("risk_bucket", "rank", "_i"), F.lit(2**31 - 1)).cast(id_type).alias(spec.key),
         "risk_bucket", "rank", "score", "_i",
         *[v.alias(c) for c, (v, _) in drawn.items()],
         F.array(*[z for _, z in drawn.values()]).alias("_z"),

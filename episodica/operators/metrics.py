@@ -85,7 +85,7 @@ def top_rows(df: DataFrame, roles: ScoreRoles = ROLES, by=(), fraction: float =
 def _ranking_sums() -> dict[str, Column]:
     """AP and ROC-AUC over ranked counts."""
     pos, neg = F.sum("pos"), F.sum("neg")
-    ap = F.sum(F.col("pos") * F.col("cum_pos") / F.col("cum_n"))
+    ap = F.sum(F.col("pos").cast("double") * F.col("cum_pos") / F.col("cum_n"))
     wrong_pairs = F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2))
     return {"pr_auc": F.try_divide(ap, pos), "roc_auc": 1 - F.try_divide(wrong_pairs, pos.cast("double") * neg)}
 

@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 
 from episodica.operators.decide import probability
 from episodica.operators.encode import FittedEncoder, fit_encoder
-from episodica.operators.metrics import metric_panel, ranking_scores
-from episodica.operators.splits import assign_folds, hold_out
+from episodica.operators.metrics import metric_panel, pr_curve, ranking_scores, roc_curve
+from episodica.operators.splits import assign_folds, hold_out, sample_entities
 from episodica.roles import FeatureSpec, ScoreRoles
+from episodica.sources.files import write_curves
+from episodica.sources.shared import store
 
 logger = logging.getLogger(__name__)
 SEED = 42
@@ -35,44 +37,21 @@ def logistic_regression(n_rows: int, C: float = 1.0, **params):
 
 
 def random_forest(n_rows: int, **params):
-    return RandomForestClassifier(**{"numTrees": 200, "maxDepth": 20, "minInstancesPerNode": 50, "seed": SEED, **params})
+    return RandomForestClassifier(**{"numTrees": 40, "maxDepth": 8, "minInstancesPerNode": 20, "seed": SEED, **params})
 
 
 def boosted_trees(n_rows: int, **params):
-    defaults = {"maxIter": 400, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.9, "maxBins": 255, "seed": SEED}
+    defaults = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.9, "maxBins": 64, "seed": SEED}
     return GBTClassifier(**{**defaults, **params})
 
 
-def xgboost(n_rows: int, **params):
-    from xgboost.spark import SparkXGBClassifier
-
-    return SparkXGBClassifier(**{"n_estimators": 400, "max_depth": 6, "learning_rate": 0.05, "subsample": 0.9, "colsample_bytree": 0.9, **params})
-
-
-def lightgbm(n_rows: int, **params):
-    from synapse.ml.lightgbm import LightGBMClassifier
-
-    return LightGBMClassifier(**{"numIterations": 400, "learningRate": 0.05, "numLeaves": 63, **params})
-
-
 REGISTRY = {
     "logistic_regression": logistic_regression,
     "random_forest": random_forest,
     "boosted_trees": boosted_trees,
-    "xgboost": xgboost,
-    "lightgbm": lightgbm,
 }
 
 
-def make_estimator(name: str, n_rows: int, **params):
-    """A fresh estimator, or None if its optional library is missing."""
-    try:
-        return REGISTRY[name](n_rows, **params)
-    except ImportError as error:
-        logger.warning("skipping %s: %s", name, error)
-        return None
-
-
 @dataclass
 class TrainedModel:
     name: str
@@ -103,9 +82,7 @@ def train_model(
 ) -> TrainedModel:
     """Encoder and classifier, both fitted on ``train`` only; an encoder fitted on the same rows may be given."""
     encoder = encoder or fit_encoder(train, spec)
-    estimator = make_estimator(name, train.count(), **(params or {}))
-    if estimator is None:
-        raise RuntimeError(f"{name} is not available")
+    estimator = REGISTRY[name](train.count(), **(params or {}))
     return TrainedModel(name, encoder, _fit(encoder, estimator, spread(encoder.prepare_train(train), spec.key), spec))
 
 
@@ -126,7 +103,7 @@ def _fit(encoder: FittedEncoder, estimator, prepared: DataFrame, spec: FeatureSp
 def benchmark(
     train: DataFrame, val: DataFrame, names, scores_path: str, spec: FeatureSpec = FeatureSpec(), params: dict | None = None
 ) -> tuple[dict[str, TrainedModel], DataFrame]:
-    """Fit each model on ``train``, write its validation scores, and return the models and the leaderboard.
+    """Fit each model on ``train``, write its validation scores and curves, and return the models and the leaderboard.
 
     A model that cannot be built or fitted is skipped; it is an error if none succeeds.  Scores are
     stored as Parquet partitioned by model, so later reports read them instead of fitting again.
@@ -137,11 +114,9 @@ def benchmark(
     prepared = spread(encoder.prepare_train(train), spec.key).persist()
     models, timings = {}, []
     for name in names:
-        estimator = make_estimator(name, n_rows, **((params or {}).get(name, {})))
-        if estimator is None:
-            continue
         started = time.time()
         try:
+            estimator = REGISTRY[name](n_rows, **((params or {}).get(name, {})))
             trained = TrainedModel(name, encoder, _fit(encoder, estimator, prepared, spec))
             fitted = time.time()
             trained.score(val).drop("model").write.mode("overwrite").parquet(f"{scores_path}/model={name}")
@@ -154,27 +129,34 @@ def benchmark(
     if not models:
         raise RuntimeError("no model could be trained")
     roles = ScoreRoles(spec.key, spec.label, "p")
-    board = metric_panel(spark.read.parquet(scores_path), roles, by=["model"])
+    scores = spark.read.parquet(scores_path)
+    board = metric_panel(scores, roles, by=["model"])
+    store_curves(scores, roles, f"{scores_path.rstrip('/')}-curves")
     return models, board.join(spark.createDataFrame(timings, "model string, fit_seconds double, predict_seconds double"), "model", "left")
 
 
+def store_curves(scores: DataFrame, roles: ScoreRoles, path: str) -> None:
+    """Precision-recall and ROC curve of every model in a table of scores."""
+    write_curves({"pr": pr_curve(scores, roles, ["model"]), "roc": roc_curve(scores, roles, ["model"])}, path)
+
+
 def leaderboard(panel: DataFrame, metric: str = "pr_auc", name: str = "model") -> DataFrame:
     return panel.orderBy(F.desc(metric), F.asc(name))
 
 
-# Search spaces as (kind, low, high[, step]) or (kind, choices).
+# Search spaces as (kind, low, high[, step]) or (kind, choices), around the defaults above.
 SPACES = {
     "boosted_trees": {
-        "maxIter": ("int", 200, 800, 100),
-        "maxDepth": ("int", 4, 10, 1),
+        "maxIter": ("int", 10, 40, 10),
+        "maxDepth": ("int", 3, 6, 1),
         "stepSize": ("log", 0.02, 0.2),
         "minInstancesPerNode": ("int", 1, 20, 1),
         "subsamplingRate": ("float", 0.6, 1.0),
-        "maxBins": ("choice", (64, 128, 254)),
+        "maxBins": ("choice", (32, 64, 128)),
     },
     "random_forest": {
-        "numTrees": ("int", 100, 400, 50),
-        "maxDepth": ("int", 6, 20, 1),
+        "numTrees": ("int", 20, 80, 20),
+        "maxDepth": ("int", 6, 10, 1),
         "minInstancesPerNode": ("int", 20, 200, 10),
     },
     "logistic_regression": {"C": ("log", 0.01, 100.0)},
@@ -200,13 +182,14 @@ def draw(space: dict, rng: random.Random) -> dict:
 
 def _cv_frames(df: DataFrame, spec: FeatureSpec, k: int, seed: int):
     """Per fold: encoder, prepared training rows and prepared validation rows.  Fitted once for all trials."""
-    folded = assign_folds(df, spec.entity, spec.key, spec.label, k, seed).persist()
+    folded = store(assign_folds(df, spec.entity, spec.key, spec.label, k, seed), "folds")
     frames = []
     for i in range(k):
         train, val = folded.where(F.col("fold") != i), folded.where(F.col("fold") == i)
         encoder = fit_encoder(train, spec)
-        frames.append((encoder, spread(encoder.prepare_train(train), spec.key).persist(), encoder.prepare(val).persist()))
-    return folded, frames
+        prepared = store(spread(encoder.prepare_train(train), spec.key), "fold-train")
+        frames.append((encoder, prepared.count(), prepared, store(encoder.prepare(val), "fold-val")))
+    return frames
 
 
 def search(
@@ -218,27 +201,30 @@ def search(
     seed: int = SEED,
     budget_seconds: float | None = None,
     spaces: dict | None = None,
+    sample: int | None = None,
 ) -> DataFrame:
     """Seeded random search with grouped, stratified folds, maximising average precision.
 
-    Returns the trial history ``(model, number, params, value, seconds, state)``.  With a budget the
-    families take turns until the time is over.  All statistics are refitted inside each fold.
+    Returns the trial history ``(model, number, params, value, seconds, state)``.  The families take turns; with a
+    budget in seconds no further trial begins when the time is over, but each family gets one.  All statistics are
+    refitted inside each fold.  ``sample`` bounds the rows of the search: whole entities are drawn.
     """
     spark, spaces = df.sparkSession, spaces or SPACES
-    n_rows = df.count()
-    folded, frames = _cv_frames(df, spec, k, seed)
+    if sample is not None:
+        df = sample_entities(df, sample, spec.entity, spec.key, spec.label, seed)
+    frames = _cv_frames(df, spec, k, seed)
     rngs = {name: random.Random(f"{name}|{seed}") for name in names}
     roles = ScoreRoles(spec.key, spec.label, "p")
     history, started = [], time.time()
     for number in range(n_trials):
         for name in names:
-            if budget_seconds is not None and history and time.time() - started > budget_seconds:
+            if budget_seconds is not None and number and time.time() - started > budget_seconds:
                 break
             params, begun = draw(spaces[name], rngs[name]), time.time()
             try:
                 scored = None
-                for i, (encoder, train, val) in enumerate(frames):
-                    model = _fit(encoder, make_estimator(name, n_rows, **params), train, spec)
+                for i, (encoder, n_rows, train, val) in enumerate(frames):
+                    model = _fit(encoder, REGISTRY[name](n_rows, **params), train, spec)
                     part = model.transform(val).select(spec.key, spec.label, probability().alias("p"), F.lit(i).alias("fold"))
                     scored = part if scored is None else scored.unionByName(part)
                 value, state = ranking_scores(scored, roles, by=["fold"]).agg(F.avg("pr_auc")).first()[0], "COMPLETE"
@@ -246,12 +232,31 @@ def search(
                 logger.warning("trial %s/%s failed: %s", name, number, error)
                 value, state = None, "FAIL"
             history.append((name, number, {k_: str(v) for k_, v in params.items()}, value, time.time() - begun, state))
-    for frame in [folded, *[f for _, a, b in frames for f in (a, b)]]:
-        frame.unpersist()
     schema = "model string, number int, params map<string,string>, value double, seconds double, state string"
     return spark.createDataFrame(history, schema)
 
 
+def refit_best(
+    trials: DataFrame, train: DataFrame, val: DataFrame, scores_path: str, spec: FeatureSpec = FeatureSpec(), spaces: dict | None = None
+) -> tuple[dict[str, TrainedModel], DataFrame]:
+    """The best trial of each family fitted on all of ``train``: the models and their validation panel.
+
+    Validation scores go to ``scores_path`` as in :func:`benchmark`, the curves of each model beside them.
+    """
+    chosen = {r.model: typed_params(r.params, (spaces or SPACES)[r.model]) for r in best_trial(trials).collect()}
+    models, board = benchmark(train, val, list(chosen), scores_path, spec, chosen)
+    return models, board
+
+
+def typed_params(params: dict[str, str], space: dict) -> dict:
+    """Parameters of a trial as numbers again."""
+    out = {}
+    for name, text in params.items():
+        kind, *bounds = space[name]
+        out[name] = type(bounds[0][0])(text) if kind == "choice" else int(text) if kind == "int" else float(text)
+    return out
+
+
 def running_best(trials: DataFrame, by: str = "model") -> DataFrame:
     """Completed trials with the best value so far; a search has a bounded number of trials."""
     window = W.partitionBy(by).orderBy("number").rowsBetween(W.unboundedPreceding, 0)
@@ -339,11 +344,11 @@ def stack(calib: DataFrame, test: DataFrame, models, label: str = "y"):
     return scored.drop("_v", "_pr", "_rw", "_pd"), coefficients, float(fitted.intercept)
 
 
-def ensemble_report(scores: DataFrame, models, entity: str, key: str = "claim_id", label: str = "y", half: str = "half"):
+def ensemble_report(scores: DataFrame, models, entity: str, key: str = "claim_id", label: str = "y", half: str = "half", curves_path: str | None = None):
     """Base models, vote and stack on the test half: ``(leaderboard, stack coefficients)``.
 
     ``scores`` is the keyed score table with a ``half`` column.  Missing base models are left out; at
-    least two must be there.
+    least two must be there.  The curves of all of them go to ``curves_path``.
     """
     present = {r.model for r in scores.select("model").distinct().collect()}
     used = [m for m in models if m in present]
@@ -359,4 +364,6 @@ def ensemble_report(scores: DataFrame, models, entity: str, key: str = "claim_id
         stacked.select(key, label, "p").withColumn("model", F.lit("stacking")),
     ]
     union = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    if curves_path:
+        store_curves(union, ScoreRoles(key, label, "p"), curves_path)
     return leaderboard(metric_panel(union, ScoreRoles(key, label, "p"), by=["model"])), coefficients

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from episodica.functions import scalars as S
-from episodica.functions.joins import lookup_join
+from episodica.functions.joins import salted_join
 from episodica.functions.ordered import average_ranks, exact_quantiles, null_safe_join
 from episodica.sources.shared import store
 
@@ -131,12 +131,12 @@ def spearman(df: DataFrame, columns) -> DataFrame:
     complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
     cells = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]))
     ranks = store(average_ranks(complete.select(cells), "value", ["column"]), "ranks")
-    sizes = {r["column"]: r["count"] for r in ranks.groupBy("column").count().collect()}
     ranked = complete
     for c in columns:
-        side = ranks.where(F.col("column") == c).select(F.col("value").alias(c), F.col("avg_rank").alias(f"_rk_{c}"))
+        own = ranks.where(F.col("column") == c)
+        side = own.select(F.col("value").alias(c), F.col("avg_rank").alias(f"_rk_{c}"))
         other = next(o for o in columns if o != c)
-        ranked = lookup_join(ranked, side, sizes.get(c, 0), [c], "left", other, complete)
+        ranked = salted_join(ranked, side, [c], "left", other, own.select(F.col("value").alias(c), F.col("n").alias("_n")))
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     one = ranked.agg(*[F.corr(f"_rk_{a}", f"_rk_{b}").alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     rows = []

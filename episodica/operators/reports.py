@@ -46,6 +46,6 @@ def slices_of(table: DataFrame, attribute: str) -> DataFrame:
 
 def against_previous_best(new: DataFrame, previous: DataFrame, metric: str = "pr_auc", name: str = "model") -> DataFrame:
     """New models with the best previous value and the difference to it."""
-    best = previous.agg(F.max_by(F.struct(F.col(name).alias("best_model"), F.col(metric).alias("best_value")), metric).alias("b")).scalar()
+    best = previous.agg(F.max_by(F.struct(F.col(name).alias("best_model"), F.col(metric).alias("best_value")), F.struct(F.col(metric), F.col(name))).alias("b")).scalar()
     out = new.select(name, metric).withColumn("_b", best).select("*", "_b.*").drop("_b")
     return out.withColumn("delta", F.col(metric) - F.col("best_value"))

@@ -83,11 +83,23 @@ def decisions(scored: DataFrame, threshold: float, score: str = "p") -> DataFram
 class Scorer:
     """Everything a new episode needs to be scored; stateless, so the same code runs batch and stream."""
 
-    def __init__(self, trained: TrainedModel, calibrator: Calibrator, threshold: float):
+    def __init__(self, trained: TrainedModel, calibrator: Calibrator, threshold: float, ranges: dict | None = None):
         self.trained, self.calibrator, self.threshold = trained, calibrator, threshold
+        self.ranges = RANGES if ranges is None else ranges
+
+    def checked(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows that may be scored, and those outside the allowed ranges with their broken rules.
+
+        Only ranges are checked: the encoder has a place for missing values.
+        """
+        known = {c: bounds for c, bounds in self.ranges.items() if c in df.columns}
+        broken = F.filter(failed_rules(known), lambda rule: rule.endswith(":range"))
+        judged = df.withColumn("failed", broken)
+        return judged.where(F.size("failed") == 0).drop("failed"), judged.where(F.size("failed") > 0)
 
     def score(self, df: DataFrame) -> DataFrame:
-        """``(key, p, threshold, decision, risk_band)``."""
+        """``(key, p, threshold, decision, risk_band)`` of the rows that pass :meth:`checked`, in batch and stream alike."""
+        df, _ = self.checked(df)
         key = self.trained.encoder.spec.key
         raw = self.trained.transform(to_feature_types(df, self.trained.encoder.spec)).select(key, "p")
         return decisions(self.calibrator.apply(raw), self.threshold)
@@ -96,7 +108,7 @@ class Scorer:
         self.trained.save(spark, path)
         if self.calibrator.model is not None:
             self.calibrator.model.write().overwrite().save(f"{path}/calibrator")
-        facts = {"model": self.trained.name, "calibrator": self.calibrator.method, "threshold": self.threshold}
+        facts = {"model": self.trained.name, "calibrator": self.calibrator.method, "threshold": self.threshold, "ranges": self.ranges}
         spark.createDataFrame([(json.dumps(facts),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/decision")
 
     @classmethod
@@ -105,4 +117,4 @@ class Scorer:
         kinds = {"isotonic": IsotonicRegressionModel, "platt": LogisticRegressionModel}
         kind = kinds.get(facts["calibrator"])
         model = kind.load(f"{path}/calibrator") if kind else None
-        return cls(TrainedModel.load(spark, path, facts["model"], spec), Calibrator(facts["calibrator"], model), facts["threshold"])
+        return cls(TrainedModel.load(spark, path, facts["model"], spec), Calibrator(facts["calibrator"], model), facts["threshold"], facts["ranges"])

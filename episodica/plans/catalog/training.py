@@ -10,7 +10,7 @@ from episodica.operators import metrics as M
 from episodica.operators import models as L
 from episodica.operators import score as O
 from episodica.operators.encode import fit_encoder
-from episodica.operators.splits import assign_halves, sample_entities
+from episodica.operators.splits import assign_halves
 from episodica.plans import train as T
 from episodica.plans import views as V
 from episodica.plans.catalog.decisions import _all, _train
@@ -21,16 +21,7 @@ from episodica.streaming import scoring
 
 SPEC = FeatureSpec()
 V_ROLES = ScoreRoles("claim_id", "y", "p")
-# sizes for the registered queries; the registry's defaults are the full ones
-SMALL = {
-    "logistic_regression": {"maxIter": 50},
-    "random_forest": {"numTrees": 10, "maxDepth": 6},
-    "boosted_trees": {"maxIter": 6, "maxDepth": 3},
-}
-SMALL_SPACES = {
-    "boosted_trees": {"maxIter": ("int", 2, 4, 1), "maxDepth": ("int", 2, 3, 1), "stepSize": ("log", 0.02, 0.2)},
-    "logistic_regression": {"C": ("log", 0.01, 100.0), "maxIter": ("choice", (20, 30))},
-}
+FAMILIES = ("logistic_regression", "random_forest", "boosted_trees")
 _FITTED: dict = {}
 
 
@@ -47,13 +38,13 @@ def _val(spark, sf):
 
 def _model(spark, sf, name):
     encoder = _once(spark, sf, "encoder", lambda: fit_encoder(_train(spark, sf), SPEC))
-    return _once(spark, sf, name, lambda: L.train_model(_train(spark, sf), name, SPEC, SMALL[name], encoder))
+    return _once(spark, sf, name, lambda: L.train_model(_train(spark, sf), name, SPEC, None, encoder))
 
 
 def _bench(spark, sf):
     def build():
         path = shared_path(spark, "benchmark-scores")
-        _, board = L.benchmark(_train(spark, sf), _val(spark, sf), [*SMALL, "xgboost"], path, SPEC, SMALL)
+        _, board = L.benchmark(_train(spark, sf), _val(spark, sf), FAMILIES, path, SPEC)
         return path, board
 
     return _once(spark, sf, "benchmark", build)
@@ -123,7 +114,7 @@ def benchmark(spark, sf):
 
 def _trials(spark, sf):
     def build():
-        return L.search(_train(spark, sf), ["boosted_trees", "logistic_regression"], 2, SPEC, spaces=SMALL_SPACES)
+        return L.search(_train(spark, sf), ["boosted_trees", "logistic_regression"], 2, SPEC)
 
     return _once(spark, sf, "trials", build)
 
@@ -133,6 +124,13 @@ def search(spark, sf):
     return _trials(spark, sf).withColumn("params", F.to_json("params"))
 
 
+@query("l7_refit")
+def refit(spark, sf):
+    """The best trial of each family on all training rows: its validation metrics."""
+    _, board = L.refit_best(_trials(spark, sf), _train(spark, sf), _val(spark, sf), shared_path(spark, "refit-scores"), SPEC)
+    return board.drop("fit_seconds", "predict_seconds")
+
+
 @query("d24_fold_mean")
 def fold_mean(spark, sf):
     """Mean over folds of a model's average precision."""
@@ -172,8 +170,8 @@ def best_trial(spark, sf):
 
 @query("l9_budgeted_search")
 def budgeted_search(spark, sf):
-    """Families take turns until the budget is over; at least one trial is made."""
-    trials = L.search(_train(spark, sf), ["logistic_regression", "boosted_trees"], 50, SPEC, budget_seconds=5.0, spaces=SMALL_SPACES)
+    """Families take turns until the budget is over; each gets one trial, which is all that this budget allows anywhere."""
+    trials = L.search(_train(spark, sf), ["logistic_regression", "boosted_trees"], 50, SPEC, budget_seconds=0.0)
     return trials.groupBy("model", "state").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("best_value"))
 
 
@@ -193,7 +191,7 @@ def stacking(spark, sf):
 
 @query("l12_ensemble_report")
 def ensemble_report(spark, sf):
-    return L.ensemble_report(_base_scores(spark, sf), [*SMALL, "xgboost"], "beneficiary_id")[0]
+    return L.ensemble_report(_base_scores(spark, sf), FAMILIES, "beneficiary_id", curves_path=shared_path(spark, "ensemble-curves"))[0]
 
 
 # ---------------------------------------------------------------- calibration, audit, scoring
@@ -220,6 +218,13 @@ def batch_scores(spark, sf):
     return O.Scorer.load(spark, path).score(_all(spark, sf).where("split = 'test'"))
 
 
+@query("o2_quarantine")
+def quarantine(spark, sf):
+    """Rows of the test split that the scorer refuses, per broken rule."""
+    _, refused = _calibration(spark, sf).scorer.checked(_all(spark, sf).where("split = 'test'"))
+    return refused.select(F.explode("failed").alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("o3_stream_scores")
 def stream_scores(spark, sf):
     """The test split as a stream of files; equal to the batch scores."""
@@ -227,7 +232,7 @@ def stream_scores(spark, sf):
     source = shared_path(spark, "stream-in")
     _all(spark, sf).where("split = 'test'").write.parquet(source)
     requests = scoring.read_requests(spark, source, _all(spark, sf).schema)
-    running = scoring.score_stream(requests, _calibration(spark, sf).scorer.score, out, checkpoint)
+    running = scoring.score_stream(requests, _calibration(spark, sf).scorer, out, checkpoint)
     running.awaitTermination()
     return spark.read.parquet(f"{out}/scored").drop("batch")
 
@@ -242,11 +247,11 @@ def _linear(spark, sf):
 
 
 def _phi(spark, sf):
-    """Tree attributions of whole entities of the validation split."""
+    """Tree attributions of the validation split."""
 
     def build():
         trained = _model(spark, sf, "boosted_trees")
-        rows = trained.transform(sample_entities(_val(spark, sf), 5000, "beneficiary_id", "claim_id"))
+        rows = trained.transform(_val(spark, sf))
         phi, base = X.tree_attributions(rows, trained.model.stages[-1], trained.encoder.feature_names(), "claim_id")
         return store(phi, "attributions"), base
 
@@ -290,7 +295,7 @@ def trend_and_caps(spark, sf):
 @query("p4_local_surrogate")
 def local_surrogate(spark, sf):
     trained = _model(spark, sf, "boosted_trees")
-    return X.local_surrogate(_val(spark, sf), trained, background=_train(spark, sf), n_samples=300)
+    return X.local_surrogate(_val(spark, sf), trained, background=_train(spark, sf))
 
 
 @query("f9_top_contributions")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from episodica.functions import scalars as S
+from episodica.functions.joins import key_counts
 from episodica.operators import cohort as C
 from episodica.operators.splits import assign_splits
 from episodica.roles import CONDITION_FLAGS, EpisodeRoles, FeatureSpec, require_columns
@@ -142,7 +143,7 @@ def flagged_episodes(raw_claims: DataFrame, raw_snapshots: DataFrame) -> DataFra
         columns=ATTRIBUTES,
         anchor="birth_date",
         spread="claim_id",
-        counted=claims,
+        counts=key_counts(claims, ["beneficiary_id", "sample"]),
     )
     typed = joined.withColumn("age_at_admit", S.age_in_years("birth_date", "admit_date")).withColumns(
         {
@@ -166,7 +167,10 @@ def derive_features(cohort: DataFrame) -> DataFrame:
 
 
 def build_features(cohort: DataFrame, spec: FeatureSpec = FeatureSpec(), seed: int = 42) -> DataFrame:
-    """Cohort plus derived features plus the entity-level split; all features are checked to be there."""
-    featured = assign_splits(derive_features(cohort), spec.entity, spec.key, spec.label, seed=seed)
+    """Cohort plus derived features plus the entity-level split; all features are checked to be there.
+
+    The cohort is stored once: the split reads it several times.
+    """
+    featured = assign_splits(derive_features(store(cohort, "cohort")), spec.entity, spec.key, spec.label, seed=seed)
     require_columns(featured, spec.features())
     return featured

@@ -68,12 +68,9 @@ def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("file_name")
 
 
-def parse_samples(text) -> list[int]:
-    """'1-5' or ['1', '3'] to a list of sample numbers."""
-    if isinstance(text, str):
-        low, dash, high = text.partition("-")
-        return list(range(int(low), int(high) + 1)) if dash else [int(low)]
-    return sorted({n for item in text for n in parse_samples(item)})
+def sample_numbers(spark: SparkSession, first: int, last: int | None = None) -> DataFrame:
+    """``(sample)``: the numbers from ``first`` to ``last``, or ``first`` alone."""
+    return spark.range(first, (first if last is None else last) + 1).select(F.col("id").cast("int").alias("sample"))
 
 
 def expected_files(spark: SparkSession, samples) -> DataFrame:

@@ -1,31 +1,29 @@
-"""Streaming scorer: files arrive, each row is validated, scored and appended.  No state, no watermark."""
+"""Streaming scorer: files arrive, each row is checked, scored and appended.  No state, no watermark."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from episodica.operators.score import split_valid
+from episodica.operators.score import Scorer
 
 
 def read_requests(spark: SparkSession, folder: str, schema, fmt: str = "parquet", files_per_trigger: int = 100) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).format(fmt).load(folder)
 
 
-def score_stream(requests: DataFrame, scorer, out: str, checkpoint: str, ranges=None, required=(), trigger=None) -> StreamingQuery:
+def score_stream(requests: DataFrame, scorer: Scorer, out: str, checkpoint: str, trigger=None) -> StreamingQuery:
     """Append scores of the valid rows to ``out/scored`` and the others with their reasons to ``out/quarantine``.
 
-    ``scorer`` is called on an ordinary DataFrame per micro-batch, so it may use joins and aggregates,
-    and the same object scores batches.  A batch that is run again after a failure overwrites the folder
-    of its own batch number, so no row is written twice.
+    The scorer's own checks and scores are used, so a stream gives what a batch of the same rows gives.
+    A batch that is run again after a failure overwrites the folder of its own batch number, so no row is written
+    twice.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
-        checked = batch.persist()
-        valid, rejected = split_valid(checked, ranges, required)
-        scorer(valid).write.mode("overwrite").parquet(f"{out}/scored/batch={number}")
+        _, rejected = scorer.checked(batch)
+        scorer.score(batch).write.mode("overwrite").parquet(f"{out}/scored/batch={number}")
         rejected.write.mode("overwrite").parquet(f"{out}/quarantine/batch={number}")
-        checked.unpersist()
 
     writer = requests.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

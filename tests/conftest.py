@@ -20,12 +20,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-@pytest.fixture(params=["window", "ranges"])
-def both_paths(request, monkeypatch):
-    """Run a test with one window per group and with the range-wise computation."""
-    from episodica.functions import ordered
-
-    monkeypatch.setattr(ordered, "SMALL_VALUES", 100_000 if request.param == "window" else 0)
-    return request.param

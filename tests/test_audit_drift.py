@@ -26,7 +26,7 @@ def audit_rows(spark):
     return spark.createDataFrame(rows, "k int, sex string, race string, age_bin string, y int, p double, yhat int").cache()
 
 
-def test_slice_table(audit_rows, both_paths):
+def test_slice_table(audit_rows):
     table = {(r.attribute, r.slice): r for r in A.slice_metrics(audit_rows, roles=ROLES).collect()}
     assert len(table) == 3 + 2 + 3 + 2
     pdf = audit_rows.toPandas()
@@ -63,7 +63,7 @@ def test_slice_order_and_reliability(audit_rows):
     assert ("race", "Other") not in shown and ("sex", "Male") in shown
 
 
-def test_drift(spark, both_paths):
+def test_drift(spark):
     rng = np.random.default_rng(1)
     ref, cur = np.round(rng.normal(0, 2, 500), 1), np.round(rng.normal(0.5, 2, 300), 1)
     levels_r, levels_c = rng.choice(list("abc"), 500), rng.choice(list("abcd"), 300, p=[0.6, 0.2, 0.1, 0.1])
@@ -109,7 +109,7 @@ def test_missing_share(spark):
     assert R.missing_share(df.select("z")).first().share == 0.0
 
 
-def test_spearman_against_ml(spark, both_paths):
+def test_spearman_against_ml(spark):
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.stat import Correlation
 

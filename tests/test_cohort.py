@@ -52,6 +52,25 @@ def test_sequence_against_loops_with_a_hot_entity(spark, seed):
     assert compute(spark, rows) == brute(rows)
 
 
+def attach(facts, snaps):
+    return C.attach_snapshot(facts, snaps, ["id"], "year", "syear", ["birth", "attr"], "birth", "claim")
+
+
+def test_snapshot_keys(spark):
+    """NULL keys meet nothing, snapshots without a year don't count, a repeated year is an error."""
+    facts = spark.createDataFrame([(None, 1, 2000), (7, 2, 2000)], "id int, claim int, year int")
+    schema = "id int, syear int, birth string, attr string"
+    got = attach(facts, spark.createDataFrame([(None, 2000, "b", "x"), (7, None, "c", "y"), (7, 1999, "d", "z")], schema)).collect()
+    assert {r.claim: (r.birth, r.attr) for r in got} == {1: (None, None), 2: ("d", "z")}
+    with pytest.raises(ValueError, match="more than one snapshot"):
+        attach(facts, spark.createDataFrame([(7, 2000, "b", "x"), (7, 2000, "c", "y")], schema))
+
+
+def test_one_day_of_one_entity_with_a_third_of_all_rows(spark):
+    rows = [(0, c, 10, 12) for c in range(500)] + [(c % 40, c, c % 300, c % 300 + 3) for c in range(500, 1500)]
+    assert compute(spark, rows) == brute(rows)
+
+
 def test_snapshot_fallback(spark):
     facts = spark.createDataFrame([(1, 10, 2000), (2, 11, 2000), (3, 12, 2003), (4, 13, 2000)], "id int, claim int, year int")
     snaps = spark.createDataFrame(

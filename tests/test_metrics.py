@@ -45,7 +45,7 @@ def by_hand(rows):
 
 
 @pytest.mark.parametrize("seed", [3, 4])
-def test_panel(spark, both_paths, seed):
+def test_panel(spark, seed):
     rows = scored(seed=seed)
     got = {r.g: r for r in M.metric_panel(frame(spark, rows), ROLES, ["g"]).collect()}
     for g in ("m0", "m1"):
@@ -68,7 +68,7 @@ def test_top_k_rounds_half_to_even(spark):
     assert M.top_rows(frame(spark, rows), ROLES).count() == round(65 * 0.1)
 
 
-def test_curves(spark, both_paths):
+def test_curves(spark):
     rows = scored(300)
     df = frame(spark, rows)
     y, p = np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
@@ -90,7 +90,7 @@ def test_curves(spark, both_paths):
 
 
 @pytest.mark.parametrize("upper", [True, False])
-def test_reliability(spark, both_paths, upper):
+def test_reliability(spark, upper):
     rows = scored(500)
     y, p = np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
     edges = np.round(np.quantile(p, np.linspace(0, 1, 16)), 9)[1:-1]
@@ -151,3 +151,12 @@ def test_calibrators(spark):
         w += np.linalg.solve(design.T @ (design * (q * (1 - q))[:, None]), design.T @ (t - q))
     model = fitted["platt"].model
     assert np.allclose([model.intercept, model.coefficients[0]], w, atol=1e-3)
+
+
+def test_sums_beyond_long(spark):
+    """Ten billion rows on each of two scores: the products of counts exceed 64 bits."""
+    half = 5 * 10**9
+    counts = spark.createDataFrame([(0.2, 2 * half, half, half), (0.7, 2 * half, half, half)], "p double, n long, pos long, neg long")
+    ranked = M.ranked_counts(counts, "p")
+    got = M._aggregate(ranked, [], M._ranking_sums()).first()
+    assert got.pr_auc == pytest.approx(0.5) and got.roc_auc == pytest.approx(0.5)

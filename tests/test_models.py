@@ -97,24 +97,26 @@ def test_encoder_vectors(spark, data, split):
 
 
 def test_registry_and_search_space():
-    assert L.make_estimator("logistic_regression", 100, C=2.0).getRegParam() == pytest.approx(0.005)
-    assert L.make_estimator("xgboost", 100) is None
+    assert L.REGISTRY["logistic_regression"](100, C=2.0).getRegParam() == pytest.approx(0.005)
     rng = random.Random(0)
     for _ in range(50):
         p = L.draw(L.SPACES["boosted_trees"], rng)
-        assert p["maxIter"] in range(200, 801, 100) and 0.02 <= p["stepSize"] <= 0.2 and p["maxBins"] in (64, 128, 254)
+        assert p["maxIter"] in range(10, 41, 10) and 0.02 <= p["stepSize"] <= 0.2 and p["maxBins"] in (32, 64, 128)
+        assert L.typed_params({k: str(v) for k, v in p.items()}, L.SPACES["boosted_trees"]) == p
 
 
 def test_benchmark_calibrate_score_stream(spark, data, split, tmp_path):
     train, val = split
     small = {"logistic_regression": {"maxIter": 20}, "boosted_trees": {"maxIter": 3, "maxDepth": 3}}
-    models, board = L.benchmark(train, val, ["logistic_regression", "boosted_trees", "xgboost"], str(tmp_path / "scores"), SPEC, small)
+    models, board = L.benchmark(train, val, ["logistic_regression", "boosted_trees", "unknown"], str(tmp_path / "scores"), SPEC, small)
+    assert {(r.model, r.curve) for r in spark.read.parquet(str(tmp_path / "scores-curves")).select("model", "curve").distinct().collect()} == {(m, c) for m in models for c in ("pr", "roc")}
     assert set(models) == {"logistic_regression", "boosted_trees"} and board.count() == 2
     assert all(r.roc_auc > 0.55 for r in board.collect())
     done = T.calibrate_model(models["boosted_trees"], val)
     picked = done.picked.first()
     assert picked.cost <= min(picked.always_cost, picked.never_cost)
     path = str(tmp_path / "scorer")
+    done.scorer.ranges = {"age": (0, 120), "los": (0, None)}
     done.scorer.save(spark, path)
     loaded = O.Scorer.load(spark, path, SPEC)
     batch = {r.k: (round(r.p, 9), r.decision, r.risk_band) for r in loaded.score(val).collect()}
@@ -122,24 +124,26 @@ def test_benchmark_calibrate_score_stream(spark, data, split, tmp_path):
     val.repartition(3).write.parquet(str(tmp_path / "in"))
     spark.createDataFrame([("bad", 5000, 150, 1, True, "M", 1, "c1", 0), ("bad", 5001, 30, None, True, "M", 1, "c1", 0)], SCHEMA).write.mode("append").parquet(str(tmp_path / "in"))
     requests = scoring.read_requests(spark, str(tmp_path / "in"), data.schema, files_per_trigger=2)
-    ranges = {"age": (0, 120), "los": (0, None)}
-    scoring.score_stream(requests.na.fill(50, ["age"]), loaded.score, str(tmp_path / "out"), str(tmp_path / "cp"), ranges).awaitTermination()
+    scoring.score_stream(requests, loaded, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     streamed = {r.k: (round(r.p, 9), r.decision, r.risk_band) for r in spark.read.parquet(str(tmp_path / "out/scored")).collect()}
-    want = {r.k: (round(r.p, 9), r.decision, r.risk_band) for r in loaded.score(val.na.fill(50, ["age"])).collect()}
-    assert streamed == want
+    want = {r.k: (round(r.p, 9), r.decision, r.risk_band) for r in loaded.score(spark.read.parquet(str(tmp_path / "in"))).collect()}
+    assert streamed == want and 5001 in streamed
     bad = {r.k: r.failed for r in spark.read.parquet(str(tmp_path / "out/quarantine")).collect()}
-    assert bad == {5000: ["age:range"], 5001: ["los:required"]}
+    assert bad == {5000: ["age:range"]}
 
 
 def test_benchmark_without_any_model(split, tmp_path):
     with pytest.raises(RuntimeError):
-        L.benchmark(*split, ["xgboost"], str(tmp_path / "none"), SPEC)
+        L.benchmark(*split, ["unknown"], str(tmp_path / "none"), SPEC)
 
 
-def test_search_and_trials(spark, split):
+def test_search_and_trials(spark, split, tmp_path):
     spaces = {"logistic_regression": {"C": ("log", 0.1, 10.0), "maxIter": ("choice", (5,))}}
     trials = L.search(split[0], ["logistic_regression"], 2, SPEC, k=2, spaces=spaces)
     assert trials.where("state = 'COMPLETE' and value > 0.2").count() == 2
+    models, board = L.refit_best(trials, *split, str(tmp_path / "refit"), SPEC, spaces)
+    assert set(models) == {"logistic_regression"} and board.first().roc_auc > 0.55
+    assert L.search(split[0], ["logistic_regression"], 9, SPEC, k=2, spaces=spaces, budget_seconds=0.0, sample=100).count() == 1
     history = spark.createDataFrame([("m", i, v, s) for i, (v, s) in enumerate([(0.1, "COMPLETE"), (0.3, "COMPLETE"), (None, "FAIL"), (0.3, "COMPLETE"), (0.2, "COMPLETE")])], "model string, number int, value double, state string")
     assert [r.best_value for r in L.running_best(history).orderBy("number").collect()] == [0.1, 0.3, 0.3, 0.3]
     assert L.best_trial(history).first().number == 1

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from episodica.functions import ordered as O
-from episodica.functions.joins import hot_keys, lookup_join, salted_join
+from episodica.functions.joins import hot_keys, key_counts, salted_join
 
 
 def skewed(spark, n=3000, seed=5):
@@ -16,7 +16,7 @@ def skewed(spark, n=3000, seed=5):
 
 
 @pytest.mark.parametrize("descending", [False, True])
-def test_global_cumsum(spark, both_paths, descending):
+def test_global_cumsum(spark, descending):
     rows, df = skewed(spark)
     counts = O.value_counts(df, "x", ["g"])
     got = O.global_cumsum(counts, "x", ["n"], ["g"], descending, next_values=["n"])
@@ -36,7 +36,7 @@ def test_ranges_split_the_work(spark):
     assert len(sizes) >= 6 and max(sizes) < 0.4 * counts.count()
 
 
-def test_exact_quantiles(spark, both_paths):
+def test_exact_quantiles(spark):
     rows, df = skewed(spark)
     probs = {"q0": 0.0, "q1": 0.1, "q5": 0.5, "q9": 0.937, "q10": 1.0}
     got = {r.g: r for r in O.exact_quantiles(df, "x", probs, ["g"]).collect()}
@@ -64,19 +64,24 @@ def test_salted_join_equals_plain_join(spark, how):
     rows = [("hot" if i % 3 else None if i % 5 == 0 else f"k{i % 50}", i) for i in range(2000)]
     facts = spark.createDataFrame(rows, "key string, i int")
     side = spark.createDataFrame([("hot", 1), (None, 2), ("k3", 3), ("k6", 4), ("none", 5)], "key string, v int")
-    assert hot_keys(facts, ["key"]).where("key = 'hot'").first()._copies > 1
-    plain = O.null_safe_join(facts, side, ["key"], how)
-    want = sorted(map(str, plain.collect()))
-    assert sorted(map(str, salted_join(facts, side, ["key"], how, "i").collect())) == want
-    assert sorted(map(str, lookup_join(facts, side, 5, ["key"], how).collect())) == want
-    assert sorted(map(str, lookup_join(facts, side, 10**9, ["key"], how, "i").collect())) == want
+    counts = key_counts(facts, ["key"])
+    assert hot_keys(counts, ["key"]).where("key = 'hot'").first()._copies > 1
+    for null_safe, plain in ((True, O.null_safe_join(facts, side, ["key"], how)), (False, facts.join(side, "key", how))):
+        want = sorted(map(str, plain.collect()))
+        assert sorted(map(str, salted_join(facts, side, ["key"], how, "i", null_safe=null_safe).collect())) == want
+        assert sorted(map(str, salted_join(facts, side, ["key"], how, "i", counts, null_safe).collect())) == want
 
 
 def test_hot_keys_are_bounded(spark):
     facts = spark.range(5000).select((F.col("id") % 7).alias("key"))
-    assert hot_keys(facts, ["key"]).count() <= 2 * 4
+    assert hot_keys(key_counts(facts, ["key"]), ["key"]).count() <= 2 * 4
 
 
-def test_average_ranks(spark, both_paths):
+def test_empty_table(spark):
+    none = spark.createDataFrame([], "g string, x double, k int")
+    assert O.average_ranks(none, "x", ["g"]).count() == 0 and O.exact_quantiles(none, "x", {"q": 0.5}, ["g"]).count() == 0
+
+
+def test_average_ranks(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (2.0,), (5.0,)], "x double")
     assert {r.x: r.avg_rank for r in O.average_ranks(df, "x").collect()} == {1.0: 1.0, 2.0: 2.5, 5.0: 4.0}
