@@ -1,4 +1,4 @@
-"""Connected components of a table of links, by smallest labels and pointer jumping."""
+"""Connected components of a table of links, by smallest neighbours and contraction."""
 
 from __future__ import annotations
 
@@ -8,23 +8,33 @@ from pyspark.sql import functions as F
 from episodica.sources.shared import store
 
 
+def renamed(table: DataFrame, roots: DataFrame) -> DataFrame:
+    """``id``, ``label`` with every label replaced by its root, if it has one."""
+    roots = roots.select(F.col("id").alias("label"), F.col("label").alias("root"))
+    return table.join(roots, "label", "left").select("id", F.coalesce("root", "label").alias("label"))
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``id`` and ``label`` (smallest id reachable) of every end of a link.
+    """``id`` and ``label`` of every end of a link between two nodes; nodes that links connect have one label, one of their ids.
 
-    Each round every node takes the smallest label around it and then the label of its label, so rounds grow with
-    the logarithm of a component's width.  Minima are partial aggregates before their shuffle, and the joins have
-    nothing but shuffles below them, so that Spark splits the rows of a node with very many links over tasks.
-    Every round is written to the shared folder.
+    Every node takes the smallest id among itself and its neighbours.  Links between different labels make the
+    graph of the next round, whose nodes are labels: it has at most half the nodes, so rounds grow with the
+    logarithm of the nodes, and a star is finished in one.  Minima are partial aggregates before their shuffle, and the
+    joins have nothing but shuffles below them, so Spark can split the rows of a node with very many links over
+    tasks.  Every round is written to the shared folder.
     """
-    ends = store(
-        links.select(F.col(a).alias("id"), F.col(b).alias("other")).union(links.select(b, a)).where("id != other").distinct(), "links"
-    )
-    labels = store(ends.groupBy("id").agg(F.least(F.col("id"), F.min("other")).alias("label")), "labels")
+    rounds = []
     while True:
-        around = ends.join(labels.select(F.col("id").alias("other"), "label"), "other").groupBy("id").agg(F.min("label").alias("near"))
-        taken = store(labels.join(around, "id").select("id", F.least("label", "near").alias("label"), F.col("label").alias("was")), "labels")
-        onward = taken.select(F.col("id").alias("label"), F.col("label").alias("next"))
-        labels = store(taken.join(onward, "label", "left").select("id", F.coalesce("next", "label").alias("label"), "was"), "labels")
-        if labels.where("label != was").isEmpty():
-            return labels.select("id", "label")
-        labels = labels.select("id", "label")
+        ends = store(
+            links.select(F.col(a).alias("id"), F.col(b).alias("other")).union(links.select(b, a)).where("id != other").distinct(), "links"
+        )
+        labels = store(ends.groupBy("id").agg(F.least(F.col("id"), F.min("other")).alias("label")), "labels")
+        rounds.append(labels)
+        here, there = labels.toDF("id", a), labels.toDF("other", b)
+        links = store(ends.where("id < other").join(here, "id").join(there, "other").where(F.col(a) != F.col(b)).select(a, b).distinct(), "links")
+        if links.isEmpty():
+            break
+    out = rounds.pop()
+    while rounds:
+        out = store(renamed(rounds.pop(), out), "labels")
+    return out

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from episodica.llm.arrow import annotate
-from episodica.llm.components import components
+from episodica.llm.components import components, renamed
 from episodica.llm.words import SPACED, U, Words, mix, text_words, window_hashes
 from episodica.sources.shared import store
 
 WIDTH = 5
 BUCKET_BITS, MANTISSA_BITS = 7, 10
 BUCKETS = 1 << BUCKET_BITS
+BOTTOM = 256
 BANDS, PER_BAND = 32, 4  # four registers of 16 bits make one band key of 64
 REST = U((1 << (64 - BUCKET_BITS)) - 1)
 BUCKET_STARTS = (np.arange(BUCKETS, dtype=np.uint64) << U(64 - BUCKET_BITS))
@@ -160,18 +161,81 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, group: int = 64)
     return left.join(right, ["a", "salt"]).select("a", "b", "members_a", "members_b").mapInArrow(run, "a long, b long")
 
 
-def find_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, floor: float = 0.5, stars: int = 3) -> DataFrame:
+def smallest_shared(p: np.ndarray, q: np.ndarray, percent: int, errors: float = 4.0) -> bool:
+    """Whether two sorted sets, given by their BOTTOM smallest members, may share ``percent`` % of their union.
+
+    Sets that are given whole are judged exactly; for others, the share among the smallest members of the union may
+    fall short by ``errors`` standard errors.
+    """
+    both = np.sort(np.concatenate([p, q]))
+    twice = np.flatnonzero(both[1:] == both[:-1])
+    if len(p) < BOTTOM and len(q) < BOTTOM:
+        return 100 * len(twice) >= percent * (len(both) - len(twice))
+    union = len(both) - len(twice)
+    if union > BOTTOM:
+        # position in the union of what is in both
+        twice = twice[twice - np.arange(len(twice)) < BOTTOM]
+        union = BOTTOM
+    return 100 * len(twice) >= union * (percent - 100 * errors * (0.25 * 0.75 / BOTTOM) ** 0.5)
+
+
+def across_parts(groups: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, floor: float, block: int = 1024, per_task: int = 1 << 13) -> DataFrame:
+    """Pairs of nodes around one hub that share a band, have different labels and may be similar enough.
+
+    ``groups`` has ``hub``, ``id`` and ``label``.  A hub's nodes outside its smallest label are compared with all of
+    its nodes, in blocks of about ``block`` on both sides: by the estimate from their registers, then by their 256
+    smallest members (a small set as a whole).  Only pairs that pass both leave a task.
+    """
+    size = groups.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
+    size = store(size.where("low != high").withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).drop("high"), "split")
+    crowd = groups.join(size, "hub")
+    own, others = F.pmod(F.hash("id"), F.col("blocks")), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    asking = crowd.where("label != low").select("hub", "id", "label", F.lit(True).alias("asks"), own.alias("x"), others.alias("y"))
+    asked = crowd.select("hub", "id", "label", F.lit(False).alias("asks"), others.alias("x"), own.alias("y"))
+    rows = size.agg(F.coalesce(F.sum(F.col("size") * F.col("blocks") * 2), F.lit(0))).first()[0]
+    known = nodes.select("id", "bands", "n_shingles").join(sets.select("id", F.expr(f"substring(members, 1, {8 * BOTTOM})").alias("bottom")), "id")
+    dealt = asking.unionByName(asked).join(known, "id").withColumn("task", F.pmod(F.xxhash64("hub", "x", "y"), F.lit(rows // per_task + 1)))
+
+    def run(table: pa.Table) -> pa.Table:
+        columns = {c: table[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("hub", "x", "y", "id", "label", "asks", "n_shingles")}
+        bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        bottom = [np.frombuffer(b.as_buffer(), np.uint64) for b in table["bottom"].combine_chunks()]
+        sizes = columns["n_shingles"].astype(float)
+        keys = [columns[c] for c in ("y", "x", "hub")]
+        order = np.lexsort(keys)
+        new = np.zeros(len(order), bool)
+        for k in keys:
+            new[1:] |= k[order][1:] != k[order][:-1]
+        pairs = []
+        for group in np.split(order, np.flatnonzero(new)):
+            left, right = group[columns["asks"][group]], group[~columns["asks"][group]]
+            for at in range(0, len(left), 64):
+                some = left[at : at + 64]
+                p, q = np.nonzero(columns["label"][some][:, None] > columns["label"][right])
+                a, b = some[p], right[q]
+                meet = (bands[a] == bands[b]).any(axis=1)
+                a, b = a[meet], b[meet]
+                if len(a):
+                    good = estimate(bands[a], bands[b], sizes[a], sizes[b]) >= floor
+                    pairs += [(columns["id"][i], columns["id"][j]) for i, j in zip(a[good], b[good], strict=True) if smallest_shared(bottom[i], bottom[j], percent)]
+        made = np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1)
+        return pa.table({"a": made[:, 0], "b": made[:, 1]})
+
+    return dealt.groupBy("task").applyInArrow(run, "a long, b long").distinct()
+
+
+def find_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, floor: float = 0.6) -> DataFrame:
     """Per row: the key, ``n_shingles``, ``component_id`` (smallest key of its group) and ``kept`` (the key is that one).
 
     Documents are linked if the sets of five-word shingles share ``percent`` % of their union; a group is what links
     connect.  Equal sets become one node first.  A node has 128 HyperMinHash registers of 16 bits (leading zeros and
     ten mantissa bits), in 32 bands of four; nodes that share a band are candidates (two sets at 0.75 miss each
-    other in all bands with a chance of about 5 in a million).  Candidates below an estimate of ``floor`` (six
+    other in all bands with a chance of about 5 in a million).  Candidates below an estimate of ``floor`` (four
     standard errors under 0.75) go, the others are confirmed on full sets.
 
-    Within a crowded bucket not all pairs are made: every node is compared with one hub, a bucket whose nodes then
-    have one label is finished, and others get a new hub ``stars`` times.  What is still split after that is
-    compared across its parts, so no link between different groups is lost.
+    Within a bucket not all pairs are made: every node is compared with the bucket's hub, the node that shares
+    most bands with others.  A hub around which all nodes then have one label is finished.  Around the others,
+    nodes that share a band and have different labels are compared too (``across_parts``), so no link is lost.
 
     Texts without words (null, empty) have an empty set and are linked with nothing.  Rows with the same key are one
     document to ``kept``.  Null keys can be linked, but a group's id is null only if all its keys are.
@@ -184,49 +248,25 @@ def find_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
         .withColumn("id", F.monotonically_increasing_id()), "nodes",
     )
     banded = nodes.select("id", F.posexplode("bands").alias("band", "value"))
-    buckets = store(banded.groupBy("band", "value").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
-    crowd = store(banded.join(buckets, ["band", "value"]).select("band", "value", "id", "hub"), "crowd")
-    crowded = nodes.join(crowd.select("id").distinct(), "id", "left_semi")
-    sets = store(set_table(docs, crowded, key, text), "sets")
-
-    pairs = crowd.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    links, labels = None, None
-    compared = None
-    for turn in range(stars + 1):
-        pairs = store(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            break
-        compared = pairs if compared is None else store(compared.union(pairs), "compared")
-        fresh = store(confirmed(store(likely(pairs, nodes, floor), "likely"), sets, percent), "confirmed")
-        links = fresh if links is None else store(links.union(fresh), "confirmed")
-        labels = components(links)
-        if turn == stars:
-            break
-        placed = store(
-            crowd.select("band", "value", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")), "placed"
-        )
-        split = store(
-            placed.groupBy("band", "value").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min_by("id", "label").alias("x"), F.max_by("id", "label").alias("hub"))
-            .where("low != high"), "split",
-        )
-        members = placed.join(split, ["band", "value"])
-        if turn < stars - 1:
-            # the next hub comes from the part with the largest label: stragglers have a part of their own
-            pairs = members.where("label != high").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-        else:
-            # the rest: what is outside a bucket's first part against all other parts
-            outside = members.where("label != low").select("band", "value", F.col("id").alias("b"), F.col("label").alias("label_b"))
-            inside = members.select("band", "value", F.col("id").alias("a"), F.col("label").alias("label_a"))
-            pairs = outside.join(inside, ["band", "value"]).where("label_a < label_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    if labels is None:
-        grouped = nodes.select("f1", "f2", F.col("first_key").alias("component"))
-    else:
-        named = store(
-            nodes.select("id", "f1", "f2", "first_key").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")), "named"
-        )
-        least = store(named.groupBy("label").agg(F.min("first_key").alias("component")), "least")
-        grouped = named.join(least, "label").select("f1", "f2", "component")
-    grouped = store(grouped, "groups")
+    buckets = store(banded.groupBy("band", "value").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
+    crowd = store(banded.join(buckets, ["band", "value"]).select("band", "value", "id", "size"), "crowd")
+    popular = store(crowd.groupBy("id").agg(F.sum("size").alias("weight")), "popular")
+    sets = store(set_table(docs, nodes.join(popular, "id", "left_semi"), key, text), "sets")
+    hubs = store(crowd.join(popular, "id").groupBy("band", "value").agg(F.max_by("id", "weight").alias("hub")), "hubs")
+    pairs = crowd.join(hubs, ["band", "value"]).where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    pairs = store(pairs, "pairs")
+    links = store(confirmed(store(likely(pairs, nodes, floor), "likely"), sets, percent), "confirmed")
+    labels = store(renamed(popular.select("id", F.col("id").alias("label")), components(links)), "labels")
+    groups = store(pairs.select(F.col("a").alias("hub"), F.col("b").alias("id")).join(labels, "id"), "groups")
+    links = store(confirmed(store(across_parts(groups, nodes, sets, percent, floor), "likely"), sets, percent), "confirmed")
+    here, there = labels.toDF("a", "label_a"), labels.toDF("b", "label_b")
+    between = links.join(here, "a").join(there, "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    labels = store(renamed(labels, components(between)), "labels")
+    named = store(
+        nodes.select("id", "f1", "f2", "first_key").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")), "named"
+    )
+    least = store(named.groupBy("label").agg(F.min("first_key").alias("component")), "least")
+    grouped = store(named.join(least, "label").select("f1", "f2", "component"), "groups")
     out = rows.select("key", "f1", "f2", "n_shingles").join(grouped, ["f1", "f2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("key"))
     return out.select(
