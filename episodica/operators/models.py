@@ -147,8 +147,8 @@ def leaderboard(panel: DataFrame, metric: str = "pr_auc", name: str = "model") -
 # Search spaces as (kind, low, high[, step]) or (kind, choices), around the defaults above.
 SPACES = {
     "boosted_trees": {
-        "maxIter": ("int", 10, 40, 10),
-        "maxDepth": ("int", 3, 6, 1),
+        "maxIter": ("int", 10, 20, 5),
+        "maxDepth": ("int", 3, 5, 1),
         "stepSize": ("log", 0.02, 0.2),
         "minInstancesPerNode": ("int", 1, 20, 1),
         "subsamplingRate": ("float", 0.6, 1.0),
@@ -300,7 +300,7 @@ def balanced_copies(df: DataFrame, label: str = "y") -> DataFrame:
 
 
 def train_neural_net(
-    train: DataFrame, spec: FeatureSpec = FeatureSpec(), hidden=(256, 128, 64), max_iter=(25, 50, 100), block_size: int = 256
+    train: DataFrame, spec: FeatureSpec = FeatureSpec(), hidden=(64, 32), max_iter=(15, 30), block_size: int = 256
 ) -> TrainedModel:
     """Feed-forward net on class-balanced rows.  Rows held out at random choose among the iteration limits."""
     encoder = fit_encoder(train, spec)

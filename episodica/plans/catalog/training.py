@@ -103,7 +103,7 @@ def boosted_trees(spark, sf):
 
 @query("l4_neural_net")
 def neural_net(spark, sf):
-    trained = _once(spark, sf, "net", lambda: L.train_neural_net(_train(spark, sf), SPEC, hidden=(16, 8), max_iter=(10, 20)))
+    trained = _once(spark, sf, "net", lambda: L.train_neural_net(_train(spark, sf), SPEC))
     return trained.score(_val(spark, sf))
 
 
