@@ -51,6 +51,12 @@ def split_valid(df: DataFrame, ranges=None, required=()) -> tuple[DataFrame, Dat
     return checked.where(F.size("failed") == 0).drop("failed"), checked.where(F.size("failed") > 0)
 
 
+def in_range(df: DataFrame, ranges: dict) -> tuple[DataFrame, DataFrame]:
+    """Rows within all ranges, and the others with the ranges they break; NULL breaks none."""
+    judged = df.withColumn("failed", F.filter(failed_rules(ranges), lambda rule: rule.endswith(":range")))
+    return judged.where(F.size("failed") == 0).drop("failed"), judged.where(F.size("failed") > 0)
+
+
 def add_request_fields(df: DataFrame, flags=CONDITION_FLAGS, age: str = "age_at_admit") -> DataFrame:
     """Fields derived from a request, with the bins the model was trained on."""
     return df.withColumns({"chronic_count": S.count_true(flags), "age_bin": S.age_band(age)})
@@ -92,10 +98,7 @@ class Scorer:
 
         Only ranges are checked: the encoder has a place for missing values.
         """
-        known = {c: bounds for c, bounds in self.ranges.items() if c in df.columns}
-        broken = F.filter(failed_rules(known), lambda rule: rule.endswith(":range"))
-        judged = df.withColumn("failed", broken)
-        return judged.where(F.size("failed") == 0).drop("failed"), judged.where(F.size("failed") > 0)
+        return in_range(df, {c: bounds for c, bounds in self.ranges.items() if c in df.columns})
 
     def score(self, df: DataFrame) -> DataFrame:
         """``(key, p, threshold, decision, risk_band)`` of the rows that pass :meth:`checked`, in batch and stream alike."""

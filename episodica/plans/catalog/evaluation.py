@@ -196,7 +196,8 @@ _TUNED = "tuned AS (SELECT claim, id, y, model, 0.9::DOUBLE * p + 0.1::DOUBLE *
  tp AS (SELECT * FROM panel), {panel_sql('base', 'model').replace('pg AS', 'qg AS').replace('FROM pg', 'FROM qg').replace('pc AS', 'qc AS').replace('FROM pc', 'FROM qc').replace('pa AS', 'qa AS').replace('pb AS', 'qb AS').replace('pr AS', 'qr AS').replace('FROM pr ', 'FROM qr ').replace('pk AS', 'qk AS').replace('panel AS', 'bp AS').replace('FROM pa JOIN pb', 'FROM qa JOIN qb').replace('JOIN pk', 'JOIN qk')}, """
     + "j AS ("
     + " UNION ALL ".join(f"SELECT t.model, '{m}' AS metric, t.{m} AS tuned, b.{m} AS baseline, {-1 if m == 'brier' else 1} AS s FROM tp t LEFT JOIN bp b ON b.model = t.model" for m in ("pr_auc", "roc_auc", "brier"))
-    + f") SELECT model, metric, {rnd('tuned', 'tuned')}, {rnd('baseline', 'baseline')}, {rnd('tuned - baseline', 'delta')}, s * (tuned - baseline) > 0 AS improved FROM j",
+    + f") SELECT model, metric, {rnd('tuned', 'tuned', 9)}, {rnd('baseline', 'baseline', 9)}, {rnd('tuned - baseline', 'delta', 9)}, s * (tuned - baseline) > 0 AS improved FROM j",
+    digits=9,
 )
 def tuned_vs_baseline(spark, sf):
     scores = V.scores(spark, sf)

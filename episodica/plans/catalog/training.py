@@ -218,13 +218,6 @@ def batch_scores(spark, sf):
     return O.Scorer.load(spark, path).score(_all(spark, sf).where("split = 'test'"))
 
 
-@query("o2_quarantine")
-def quarantine(spark, sf):
-    """Rows of the test split that the scorer refuses, per broken rule."""
-    _, refused = _calibration(spark, sf).scorer.checked(_all(spark, sf).where("split = 'test'"))
-    return refused.select(F.explode("failed").alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("o3_stream_scores")
 def stream_scores(spark, sf):
     """The test split as a stream of files; equal to the batch scores."""
