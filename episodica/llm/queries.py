@@ -51,6 +51,22 @@ def op3_near_duplicates(spark, sf_dir):
     return find_near_duplicates(table(spark, sf_dir, "documents"))
 
 
+_LOWER = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op3_near_duplicates"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(list_slice(w, i, i + 4), ' ')) AS g FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) t(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT l.b, r.c FROM reach r JOIN both_ways l ON l.a = r.doc_id),
+least_id AS (SELECT doc_id, min(c) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, CAST(COALESCE(n.n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN least_id USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
 @query
 def op4_neighbours(spark, sf_dir):
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -68,6 +84,22 @@ def op6_decontamination(spark, sf_dir):
     return pick(found, ["doc_id"], "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE["op6_decontamination"] = rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), b AS (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, list_slice(w, i, least(i + 12, len(w))) AS win FROM b, unnest(range(1, greatest(len(w) - 12, 1) + 1)) t(i) WHERE len(w) > 0),
+lengths AS (SELECT DISTINCT len(win) AS n FROM bw),
+dw AS (SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS win FROM d, lengths, unnest(range(1, len(w) - n + 2)) t(i) WHERE len(w) >= n),
+m AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (win)),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, i, n FROM m), unnest(range(i, i + n)) t(p) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM m) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(n_hit, 0) AS BIGINT) AS n_hit, CAST(COALESCE(n_items, 0) AS BIGINT) AS n_items,
+  sha256(COALESCE(names, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AND 20 * COALESCE(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 @query
 def op7_repeated_strings(spark, sf_dir):
     kept = remove_repeated_strings(table(spark, sf_dir, "documents"))
