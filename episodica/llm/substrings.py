@@ -122,12 +122,13 @@ def cut_ranges(chunks: DataFrame, found: DataFrame) -> DataFrame:
             known = np.unique(gathered(row, "entries_found", np.uint64))
             heads, first, offsets = numbers(row, "heads", np.uint64), numbers(row, "first", np.int64), numbers(row, "offsets", np.int64)
             data = np.frombuffer(unpack.decompress(row.column("data")[0].as_py()), np.uint8)
-            shared = np.append(0, np.cumsum(np.isin(heads, known)))
+            repeated = np.isin(heads, known)
+            shared = np.append(0, np.cumsum(repeated))
             text_of, starts, pieces = [], [], []
             for t in np.flatnonzero(shared[first[1:]] > shared[first[:-1]]).tolist():
                 body = data[offsets[t] : offsets[t + 1]]
-                _, own, begins = anchors_of(byte_hashes(body), 0, len(body))
-                edges = np.diff(np.append(False, np.append(np.isin(own, known), False)).astype(np.int8))
+                _, _, begins = anchors_of(byte_hashes(body), 0, len(body))
+                edges = np.diff(np.concatenate([[0], repeated[first[t] : first[t + 1]], [0]]).astype(np.int8))
                 for a, b in zip(begins[np.flatnonzero(edges == 1)].tolist(), begins[np.flatnonzero(edges == -1)].tolist(), strict=True):
                     text_of.append(t)
                     starts.append(a)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,19 +38,24 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 BASE = 0x9E3779B97F4A7C15  # odd, hence invertible modulo 2**64
+INVERSE = pow(BASE, -1, 1 << 64)
 VALUES = mix(np.arange(1, 257, dtype=np.uint64) * U(0xD1B54A32D192ED03))
 
 
-@lru_cache(maxsize=4)
-def _powers(base: int, n: int) -> np.ndarray:
-    steps = np.full(n, base, np.uint64)
-    steps[:1] = 1
-    return np.cumprod(steps, dtype=np.uint64)
+_TABLES: dict[int, np.ndarray] = {}
+KEPT = 1 << 22
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 ... base ** (n - 1) modulo 2**64; tables are shared by calls of similar size."""
-    return _powers(base, 1 << max(n - 1, 1).bit_length())[:n]
+    """base ** 0 ... base ** (n - 1) modulo 2**64, from a table that grows to ``KEPT`` entries."""
+    table = _TABLES.get(base)
+    if table is None or len(table) < n:
+        steps = np.full(max(1 << 12, 1 << max(n - 1, 1).bit_length()), base, np.uint64)
+        steps[:1] = 1
+        table = np.cumprod(steps, dtype=np.uint64)
+        if len(table) <= KEPT:
+            _TABLES[base] = table
+    return table[:n]
 
 
 def byte_hashes(data: np.ndarray) -> np.ndarray:
@@ -63,7 +67,7 @@ def byte_hashes(data: np.ndarray) -> np.ndarray:
 
 def stretch_hashes(running: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the stretches [start, end), equal for equal bytes wherever they stand."""
-    inverse = powers(pow(BASE, -1, 1 << 64), len(running))
+    inverse = powers(INVERSE, len(running))
     return mix((running[ends] - running[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
