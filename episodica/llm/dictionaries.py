@@ -9,17 +9,21 @@ from pyspark.sql import functions as F
 BLOCK = 4096
 
 
-def sample_dictionaries(docs: DataFrame, key: Column, text: Column, label: Column, size: int = 1 << 17, pieces: int = 512) -> dict[str, bytes]:
+def sample_dictionaries(docs: DataFrame, key: Column, text: Column, label: Column, size: int = 1 << 17, pieces: int = 512, most: int = 256) -> dict[str, bytes]:
     """Up to ``size`` bytes of text per label: a bounded sample of labelled rows for fitting.
 
     The keys of each label fall into ``pieces`` hash buckets, the smallest hash of each bucket is taken (one
     partial aggregation, no text read), and a slice of the chosen texts at a hash-chosen place is collected.
-    The driver receives at most ``size`` characters a label.
+    Of more than ``most`` labels the most frequent ones are learned.  The driver receives at most ``size`` characters
+    a label, and all labels share 16,384 pieces.
     """
     spread = F.xxhash64(key.cast("string"), F.lit("dictionary"))
     rows = docs.select(text.alias("text"), label.cast("string").alias("label"), spread.alias("spread"))
+    names = [r.label for r in rows.where(F.col("label").isNotNull()).groupBy("label").count().orderBy(F.desc("count"), "label").limit(most).collect()]
+    pieces = max(16, min(pieces, 16384 // max(len(names), 1)))
+    rows = rows.where(F.col("label").isin(names))
     firsts = (
-        rows.where(F.col("label").isNotNull()).groupBy("label", F.pmod("spread", F.lit(pieces)).alias("bucket"))
+        rows.groupBy("label", F.pmod("spread", F.lit(pieces)).alias("bucket"))
         .agg(F.min("spread").alias("spread")).collect()
     )
     if not firsts:
@@ -27,7 +31,7 @@ def sample_dictionaries(docs: DataFrame, key: Column, text: Column, label: Colum
     length = max(size // pieces, 16)
     at = F.lit(1) + F.pmod(F.shiftright("spread", 16), F.greatest(F.length("text") - length, F.lit(1))).cast("int")
     chosen = (
-        rows.where(F.col("label").isNotNull() & F.col("text").isNotNull() & F.col("spread").isin([r.spread for r in firsts]))
+        rows.where(F.col("text").isNotNull() & F.col("spread").isin([r.spread for r in firsts]))
         .select("label", "spread", F.substring(F.col("text"), at, F.lit(length)).alias("piece"))
         .groupBy("label", "spread").agg(F.min("piece").alias("piece")).collect()
     )
