@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -39,15 +40,44 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def sensitive_strings(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, bytes]]:
-    """Strings after sensitive words that no base span touches, with their surroundings (the string cut out)."""
-    out = []
+def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
+    """Disjoint stretches that cover the same places, in order."""
+    out: list[list[int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end])
+    return out
+
+
+def cut_out(text: str, low: int, high: int, cuts: list[list[int]]) -> str:
+    """The text from ``low`` to ``high`` with a space in the place of each of the disjoint ``cuts``."""
+    out, at = [], low
+    for start, end in cuts[bisect_right(cuts, low, key=lambda c: c[1]) :]:
+        if start >= high:
+            break
+        out += [text[at:start], " "]
+        at = end
+    return "".join([*out, text[at:high]])
+
+
+def sensitive_strings(text: str, base: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int, bytes]], list[str]]:
+    """Strings after sensitive words that no base span touches, each with its surroundings, and the stretches of all surroundings.
+
+    All such strings and all base spans are cut out of every surrounding.  Surroundings that overlap are one stretch.
+    """
+    found = []
     for m in SENSITIVE.finditer(text):
         start, end = m.span(1)
         if DIGIT.search(text, start, end) and not any(s < end and start < e for s, _, e in base):
-            near = text[max(0, start - AROUND) : start] + text[end : end + AROUND]
-            out.append((start, end, near.encode("utf-8", "replace")))
-    return out
+            found.append((start, end))
+    cuts = merged([*found, *((s, e) for s, _, e in base)])
+    out = []
+    for start, end in found:
+        near = cut_out(text, max(0, start - AROUND), start, cuts) + cut_out(text, end, end + AROUND, cuts)
+        out.append((start, end, near.encode("utf-8", "replace")))
+    return out, [cut_out(text, s, e, cuts) for s, e in merged([(max(0, s - AROUND), e + AROUND) for s, e in found])]
 
 
 def primed_compressor(dictionary: bytes, level: int = 3) -> zstandard.ZstdCompressor:
@@ -75,8 +105,10 @@ def scan_secrets(
     The fixed patterns give the base spans.  Beyond them, every string of 12 characters or more with a digit after
     a sensitive word is a candidate: it is reported as ``novel`` if its marginal compressed bytes, against
     its surroundings and a dictionary of identifiers, reach ``least_share`` of its length.  The dictionary holds the
-    identifiers in the surroundings of all candidates of the table that occur with ``least_rows`` candidates or more,
-    most frequent last (closest to the string), up to ``dictionary_bytes``: that bounds what is broadcast.
+    identifiers that occur in ``least_rows`` or more different stretches around candidates of the table, most frequent
+    last (closest to the string), up to ``dictionary_bytes``: that bounds what is broadcast.  Base spans and all
+    candidates are cut out of the surroundings first, so that no secret is known from its neighbours or copies;
+    surroundings that overlap are one stretch, and equal ones count once.
 
     The text is read once; spans and candidates are stored in the shared folder.  ``found`` holds all spans as
     structs (start and end in code points, end exclusive).  Null and empty texts have no spans; repeated rows give
@@ -85,24 +117,24 @@ def scan_secrets(
 
     def read():
         def work(batch):
-            bases, candidates = [], []
+            bases, candidates, stretches = [], [], []
             for value in batch.column("_text").to_pylist():
                 base = base_spans(value or "")
                 bases.append([{"start": s, "kind": k, "stop": e} for s, k, e in base])
-                candidates.append([
-                    {"start": s, "stop": e, "value": value[s:e], "near": near} for s, e, near in sensitive_strings(value or "", base)
-                ])
-            return bases, candidates
+                found, around = sensitive_strings(value or "", base)
+                candidates.append([{"start": s, "stop": e, "value": value[s:e], "near": near} for s, e, near in found])
+                stretches.append(around)
+            return bases, candidates, stretches
 
         return work
 
     outputs = (
         "base array<struct<start:int,kind:int,stop:int>>, "
-        "candidates array<struct<start:int,stop:int,value:string,near:binary>>"
+        "candidates array<struct<start:int,stop:int,value:string,near:binary>>, stretches array<string>"
     )
     rows = store(annotate(docs, keep, {"_text": F.col(text)}, outputs, read), "secrets")
-    words = rows.select(F.explode("candidates").alias("c")).select(
-        F.explode(F.array_distinct(F.expr(rf"regexp_extract_all(decode(c.near, 'UTF-8'), '{IDENTIFIER.pattern}', 0)"))).alias("word")
+    words = rows.select(F.explode("stretches").alias("stretch")).distinct().select(
+        F.explode(F.array_distinct(F.regexp_extract_all("stretch", F.lit(IDENTIFIER.pattern), F.lit(0)))).alias("word")
     )
     common = words.groupBy("word").count().where(F.col("count") >= least_rows).orderBy(F.desc("count"), "word")
     dictionary = b""

@@ -38,6 +38,33 @@ def test_novel_secrets(spark):
     assert all(got[k].spans == "" for k in range(5))
 
 
+def test_novel_secrets_near_each_other(spark):
+    """Four new secrets in one block, and pairs of neighbours in copies and in different texts: none is known from the others."""
+    from episodica.llm.secrets import scan_secrets
+
+    rng = np.random.default_rng(8)
+    make = lambda: "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"), 22)) + "A7"
+    values = [make() for _ in range(8)]
+    block = "\n".join(f"{name}: {value}" for name, value in zip(("db_login", "mail_auth", "session_key", "signature"), values, strict=False))
+    pair = f"the login {values[4]} and the session {values[5]} are kept"
+    again = f"bearer {values[6]} or access {values[7]}"
+    rows = [(0, block)] + [(k, pair) for k in range(1, 5)] + [(k, f"{make()} text {again} number {make()}") for k in range(5, 9)]
+    got = {r.doc.k: r for r in scan_secrets(spark.createDataFrame(rows, "k long, text string"), ["k"]).collect()}
+    for k, text in rows:
+        want = [(text.index(v), text.index(v) + 24) for v in values if v in text]
+        assert [(f.start, f.stop) for f in got[k].found if f.kind == "novel"] == want and got[k].n_novel == len(want)
+
+
+def test_words_around_secrets_count_by_stretch():
+    from episodica.llm.secrets import sensitive_strings
+
+    text = "name one key: abcdefghijk1 name two key: abcdefghijk2 " + "x " * 400 + "password=hunter2hunter2 key: abcdefghijk3 end"
+    found, stretches = sensitive_strings(text, [(text.index("password"), 0, text.index(" key: abcdefghijk3"))])
+    assert [text[s:e] for s, e, _ in found] == ["abcdefghijk1", "abcdefghijk2", "abcdefghijk3"]
+    assert len(stretches) == 2 and stretches[0].startswith("name one key:   name two key:   x x") and stretches[1].endswith("x   key:   end")
+    assert not any(w in near for _, _, near in found for w in (b"abcdefghijk", b"hunter2"))
+
+
 def test_mixture(spark, documents):
     got = result(spark, "op2_mixture")
     assert (got.taken <= 2 * got["size"]).all() and (got.taken >= 0).all()
