@@ -19,6 +19,7 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}  # a text without it has no match
 BYTE_PART = "^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])$"
 TERM = r"\p{L}{4,}"
+PIECE = 256  # characters of a text in which terms are located at a time
 SPAN = "struct<start:int,kind:int,stop:int,value:string>"
 
 
@@ -94,6 +95,36 @@ def sanitised(text: Column, spans: Column) -> Column:
     return F.concat(made["out"], F.substring(text, made["at"] + 1, F.length(text)))
 
 
+def lowered(text: Column) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower)
+
+
+def surroundings_of_terms(docs: DataFrame, text: str, terms: DataFrame, around: int) -> DataFrame:
+    """(term, context) of every occurrence of the ``terms`` in different texts; a context is the hash of what is ``around``.
+
+    Only texts that hold one of the terms are looked at closely, copies of a text once.  They are cut into pieces of
+    256 characters; what starts in a piece is located in the piece and its two neighbours.
+    """
+    texts = docs.select(F.xxhash64(text).alias("copy"), F.col(text).alias("_text"))
+    holders = texts.select("copy", F.explode(F.array_distinct(lowered(F.col("_text")))).alias("term")).join(terms, "term", "left_semi").select("copy").distinct()
+    held = texts.groupBy("copy").agg(F.min("_text").alias("_text")).join(holders, "copy", "left_semi")
+    pieces = held.select(F.regexp_extract_all("_text", F.lit("(?s).{1,%d}" % PIECE), F.lit(0)).alias("all"))
+    trio = F.transform("all", lambda p, k: F.struct(
+        F.when(k > 0, F.get("all", k - 1)).otherwise(F.lit("")).alias("before"), p.alias("piece"), F.coalesce(F.get("all", k + 1), F.lit("")).alias("after"),
+    ))
+    pieces = pieces.select(F.explode(trio).alias("p")).select(F.concat("p.before", "p.piece", "p.after").alias("wide"), F.length("p.before").alias("low"), F.length("p.piece").alias("size"))
+    # terms are located only where one of them is near
+    pieces = pieces.select("*", F.explode(F.array_distinct(lowered(F.col("wide")))).alias("term")).join(terms, "term", "left_semi")
+    found = pieces.select("term", "wide", "low", "size", F.explode(located(F.col("wide"), TERM, 4)).alias("t"))
+    found = found.where((F.lower("t.value") == F.col("term")) & (F.col("t.start") >= F.col("low")) & (F.col("t.start") < F.col("low") + F.col("size")))
+    return found.select("term", context(F.col("wide"), F.col("t.start"), F.col("t.stop"), around).alias("context"))
+
+
+def context(text: Column, start: Column, stop: Column, around: int) -> Column:
+    low = F.greatest(start - around, F.lit(0))
+    return F.xxhash64(F.substring(text, low + 1, stop + around - low))
+
+
 def find_personal_data(
     docs: DataFrame, keep: list[str], text: str = "text", around: int = 80, least_windows: int = 3, least_share: float = 0.5, least_bits: float = 6.0
 ) -> DataFrame:
@@ -102,8 +133,9 @@ def find_personal_data(
     The base spans are the valid matches of the fixed patterns (code points, end exclusive).  Each distinct value of
     one is a protected entity.  Terms are lower-cased words of four letters or more within ``around`` characters of
     an entity and outside base spans.  The corpus tells what a term gives away: of the windows around entities,
-    different ones only (copies of a passage count once), n(t, e) hold term and entity; n(t) texts hold the term.
-    A term is reported near an entity if n(t, e) reaches ``least_windows``, n(t, e) / n(t) ``least_share``, and the
+    different ones only (copies of a passage count once), ``least_windows`` must hold term and entity.  What is
+    ``around`` an occurrence of a term is its context; n(t) different contexts hold the term, with the entity near it
+    n(t, e) of them.  A term is reported near an entity if n(t, e) / n(t) reaches ``least_share``, and the
     term makes the entity 2 ** ``least_bits`` times likelier than it is in any window.
 
     ``sanitised`` replaces spans.  Counts are partial aggregates over all texts; nothing is collected.  Null and
@@ -121,13 +153,16 @@ def find_personal_data(
     def window(s):
         low = F.greatest(s["start"] - around, F.lit(0))
         near = F.substring(F.col("_text"), low + 1, s["stop"] - low + around)
+        back = F.greatest(s["start"] - 2 * around, F.lit(0))
+        wide = F.substring(F.col("_text"), back + 1, s["stop"] - back + 2 * around)
         terms = F.filter(
             located(near, TERM, 4),
             lambda t: ~F.exists("base", lambda b: (b["start"] < t["stop"] + low) & (t["start"] + low < b["stop"])),
         )
         return F.struct(
             entity(s["kind"], s["value"]).alias("entity"), F.xxhash64(near).alias("window"),
-            F.transform(terms, lambda t: F.struct((t["start"] + low).alias("start"), (t["stop"] + low).alias("stop"), F.lower(t["value"]).alias("term"))).alias("terms"),
+            F.transform(terms, lambda t: F.struct((t["start"] + low).alias("start"), (t["stop"] + low).alias("stop"), F.lower(t["value"]).alias("term"),
+                context(wide, t["start"] + low - back, t["stop"] + low - back, around).alias("context"))).alias("terms"),
         )
 
     rows = store(
@@ -137,13 +172,17 @@ def find_personal_data(
     windows = rows.select("row", F.explode("windows").alias("w")).select("row", "w.entity", "w.window", "w.terms")
     of_entity = windows.groupBy("entity").agg(F.count_distinct("window").alias("n_entity"))
     total = windows.select(F.count_distinct("entity", "window")).first()[0]
-    near = windows.select("row", "entity", "window", F.explode("terms").alias("t")).select("row", "entity", "window", "t.term", "t.start", "t.stop")
-    together = store(near.groupBy("entity", "term").agg(F.count_distinct("window").alias("n_both")).where(F.col("n_both") >= least_windows), "together")
+    near = windows.select("row", "entity", "window", F.explode("terms").alias("t")).select("row", "entity", "window", "t.term", "t.context", "t.start", "t.stop")
+    both_near = near.groupBy("entity", "term").agg(F.count_distinct("window").alias("n_windows"), F.count_distinct("context").alias("n_both"))
+    # no more than all contexts near entities can be those of one entity: this leaves out most common words
+    of_near = near.groupBy("term").agg(F.count_distinct("context").alias("n_near"))
+    together = store(
+        both_near.where(F.col("n_windows") >= least_windows).join(of_near, "term").where(F.col("n_both") / F.col("n_near") >= least_share).drop("n_near"), "together"
+    )
     if together.isEmpty():
         revealed = None
     else:
-        words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TERM), F.lit(0)))).alias("term"))
-        of_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+        of_term = surroundings_of_terms(docs, text, together.select("term").distinct(), around).groupBy("term").agg(F.count_distinct("context").alias("n_term"))
         share = F.least(F.col("n_both") / F.col("n_term"), F.lit(1.0))
         told = together.join(of_term, "term").join(of_entity, "entity").where(
             (share >= least_share) & (F.log2(share * F.lit(float(total)) / F.col("n_entity")) >= least_bits)

@@ -1,5 +1,8 @@
 """Every operator against its plain version on the smallest given tables."""
 
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -264,6 +267,35 @@ def test_terms_that_give_entities_away(spark):
     assert all(got[100 + k].n_term == 0 for k in range(1000))
 
 
+def test_terms_in_copied_passages(spark):
+    """Hundreds of copies of one passage, as texts and inside different texts, neither hide a term nor give away a common word."""
+    from episodica.llm.pii import find_personal_data
+
+    window = "call number {} from zanzibar harbour to boss@firm.example about paper"
+    rows = [(k, window.format(k)) for k in range(3)]
+    rows += [(100 + k, window.format(0)) for k in range(300)]
+    rows += [(1000 + k, f"{k} is the first. " + "so it goes on, " * 12 + window.format(1) + " and so it ends" * 12 + f" with {k}") for k in range(300)]
+    rows += [(2000 + k, f"call number {k} to person{k}@other.example about paper") for k in range(1000)]
+    got = {r.doc.doc_id: r for r in find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).collect()}
+    for k, text in rows[:603]:
+        terms = [text[f.start : f.stop] for f in got[k].found if f.kind == 4]
+        assert {"from", "zanzibar", "harbour"} <= set(terms) and not {"call", "number", "about", "paper"} & set(terms)
+    assert all(got[2000 + k].n_term == 0 for k in range(1000))
+
+
+def test_surroundings_of_terms(spark):
+    from episodica.llm.pii import surroundings_of_terms
+
+    rng = np.random.default_rng(6)
+    texts = ["".join(rng.choice(list("ab é\n1"), 3000)) + " word " * n for n in (0, 90, 200)] + [None, ""]
+    texts += texts[:1]
+    words = {w for t in texts if t for w in re.findall("[^\\W\\d_]{4,}", t)}
+    want = {(w, t[max(0, m.start() - 80) : m.end() + 80]) for t in texts if t for m in re.finditer("[^\\W\\d_]{4,}", t) for w in [m.group()] if w != "aaaa"}
+    terms = spark.createDataFrame([(w,) for w in words - {"aaaa"}], "term string")
+    found = surroundings_of_terms(spark.createDataFrame([(t,) for t in texts], "t string"), "t", terms, 80).distinct().groupBy("term").count().collect()
+    assert {r.term: r["count"] for r in found} == dict(Counter(w for w, _ in want))
+
+
 def test_language(spark):
     want = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "n_chars").toPandas()
     got = QUERIES["op9_language"](spark, "/root/testdata/sf0.01").toPandas().merge(want, on="doc_id")
