@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodica.llm import mixture
+from episodica.llm import divergence, mixture
 from episodica.llm.arrow import pick
 from episodica.llm.decontaminate import find_contamination
+from episodica.llm.hard_negatives import mine_negatives
 from episodica.llm.language import identify_language
 from episodica.llm.lm import score_texts
 from episodica.llm.near_duplicates import find_near_duplicates
@@ -17,6 +18,7 @@ from episodica.llm.neighbours import nearest
 from episodica.llm.pii import find_personal_data
 from episodica.llm.quality import score_quality
 from episodica.llm.secrets import scan_secrets
+from episodica.llm.simhash import find_simhash_groups
 from episodica.llm.substrings import remove_repeated_strings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +123,35 @@ def op9_language(spark, sf_dir):
 @query
 def op10_lm_score(spark, sf_dir):
     return score_texts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_source_divergence"] = divergence.ORACLE
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+ORACLE["op12_hard_negatives"] = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, CAST(list_sum([a.v[i] * r.v[i] FOR i IN range(1, len(r.v) + 1)]) AS BIGINT) AS score
+  FROM r a JOIN r ON r.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+  s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id WHERE NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) <= 10
+"""
+
+
+@query
+def op13_simhash_groups(spark, sf_dir):
+    return find_simhash_groups(table(spark, sf_dir, "documents"))
