@@ -35,7 +35,7 @@ class Packing:
         """One integer per component and run of ``fields`` candidates: their biased components side by side."""
         biased = self.whole(candidates) + self.bias
         short = -len(biased) % self.fields
-        biased = np.concatenate([biased, np.zeros((short, biased.shape[1]), biased.dtype)]).reshape(-1, self.fields, biased.shape[1])
+        biased = np.concatenate([biased, np.zeros((short, biased.shape[1]), biased.dtype)]).reshape((len(biased) + short) // self.fields, self.fields, biased.shape[1])
         shifts = np.array([1 << (self.width * f) for f in range(self.fields)], object)
         shifts = shifts.astype(np.float64) if self.plain else shifts
         return (biased * shifts[None, :, None]).sum(axis=1)
