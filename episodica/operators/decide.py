@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from episodica.functions import scalars as S
 from episodica.functions.ordered import null_safe_join
+from episodica.operators.isotonic import fit_isotonic_curve
+from episodica.operators.linear import fit_logistic
 from episodica.operators.metrics import metric_panel, score_counts
 from episodica.roles import ScoreRoles
 
@@ -127,9 +126,7 @@ class Calibrator:
         if self.method == "uncalibrated":
             return df
         if self.method == "isotonic":
-            out = self.model.transform(df.withColumn("_cal_x", F.col(score).cast("double")))
-            fitted = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_cal_p")))
-            return out.withColumn(score, fitted).drop("_cal_x", "_cal_p")
+            return self.model.apply(df, score)
         # two parameters only, so the fitted curve is a plain expression
         slope, shift = float(self.model.coefficients[0]), float(self.model.intercept)
         return df.withColumn(score, S.sigmoid(F.col(score) * slope + shift))
@@ -137,27 +134,17 @@ class Calibrator:
 
 def fit_isotonic(df: DataFrame, roles: ScoreRoles = ScoreRoles()) -> Calibrator:
     """Isotonic fit on one weighted row per distinct score, which gives the same curve as all rows."""
-    points = score_counts(df, roles).select(
-        F.col(roles.score).alias("_cal_x"), (F.col("pos") / F.col("n")).alias("_rate"), F.col("n").cast("double").alias("_w")
-    )
-    fit = IsotonicRegression(featuresCol="_cal_x", labelCol="_rate", weightCol="_w", predictionCol="_cal_p")
-    return Calibrator("isotonic", fit.fit(points))
+    return Calibrator("isotonic", fit_isotonic_curve(score_counts(df, roles), roles.score))
 
 
 def fit_platt(df: DataFrame, roles: ScoreRoles = ScoreRoles(), c: float = 1e6) -> Calibrator:
-    """Logistic curve on the raw score with a nearly absent penalty."""
-    counts = score_counts(df, roles)
-    stacked = counts.select(
-        F.col(roles.score).cast("double").alias("_x"),
+    """Logistic curve on the raw score with a nearly absent penalty, fitted on two weighted rows per distinct score."""
+    stacked = score_counts(df, roles).select(
+        F.array(F.col(roles.score).cast("double")).alias("_x"),
         F.inline(F.array(F.struct(F.lit(1.0).alias("_y"), F.col("pos").cast("double").alias("_w")),
                          F.struct(F.lit(0.0).alias("_y"), F.col("neg").cast("double").alias("_w")))),
     ).where("_w > 0")
-    n = counts.agg(F.sum("n")).first()[0]
-    vectors = VectorAssembler(inputCols=["_x"], outputCol="_v").transform(stacked)
-    model = LogisticRegression(
-        featuresCol="_v", labelCol="_y", weightCol="_w", regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-9
-    ).fit(vectors)
-    return Calibrator("platt", model)
+    return Calibrator("platt", fit_logistic(stacked, "_x", "_y", "_w", c))
 
 
 def calibrate(calib: DataFrame, test: DataFrame, roles: ScoreRoles = ScoreRoles()):

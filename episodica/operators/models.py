@@ -10,17 +10,16 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
-    LogisticRegression,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from episodica.operators.decide import probability
 from episodica.operators.encode import FittedEncoder, fit_encoder
+from episodica.operators.linear import LinearModel, LogisticNewton, fit_logistic
 from episodica.operators.metrics import metric_panel, pr_curve, ranking_scores, roc_curve
 from episodica.operators.splits import assign_folds, hold_out, sample_entities
 from episodica.roles import FeatureSpec, ScoreRoles
@@ -31,9 +30,9 @@ logger = logging.getLogger(__name__)
 SEED = 42
 
 
-def logistic_regression(n_rows: int, C: float = 1.0, **params):
-    """L2 with strength 1/C on the summed loss; Spark averages the loss, hence the division by the rows."""
-    return LogisticRegression(**{"regParam": 1.0 / (C * n_rows), "standardization": False, "maxIter": 200, **params})
+def logistic_regression(n_rows: int, **params):
+    """L2 with strength 1/C on the summed loss, by Newton steps."""
+    return LogisticNewton(**params)
 
 
 def random_forest(n_rows: int, **params):
@@ -52,15 +51,45 @@ REGISTRY = {
 }
 
 
+# classifiers that are kept as tables; any other is a model of Spark ML
+TABLES = {"linear": LinearModel}
+
+
+class VectorModel:
+    """The stages that make the vector ``features``, and a classifier on it that adds the probability ``p``."""
+
+    def __init__(self, stages: PipelineModel, classifier):
+        self.stages, self.classifier = stages, classifier
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        out = self.classifier.transform(self.stages.transform(df))
+        return out if isinstance(self.classifier, tuple(TABLES.values())) else out.withColumn("p", probability())
+
+    def save(self, spark, path: str) -> None:
+        kind = next((k for k, c in TABLES.items() if isinstance(self.classifier, c)), "spark")
+        self.stages.write().overwrite().save(f"{path}/stages")
+        if kind == "spark":
+            PipelineModel(stages=[self.classifier]).write().overwrite().save(f"{path}/{kind}")
+        else:
+            self.classifier.save(spark, f"{path}/{kind}")
+        spark.createDataFrame([(kind,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/kind")
+
+    @classmethod
+    def load(cls, spark, path: str) -> "VectorModel":
+        kind = spark.read.text(f"{path}/kind").first()[0]
+        stages = PipelineModel.load(f"{path}/stages")
+        return cls(stages, TABLES[kind].load(spark, f"{path}/{kind}") if kind in TABLES else PipelineModel.load(f"{path}/{kind}").stages[0])
+
+
 @dataclass
 class TrainedModel:
     name: str
     encoder: FittedEncoder
-    model: PipelineModel
+    model: VectorModel
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Rows with the vector, raw output, and probability ``p``."""
-        return self.model.transform(self.encoder.prepare(df)).withColumn("p", probability())
+        """Rows with the vector and the probability ``p``."""
+        return self.model.transform(self.encoder.prepare(df))
 
     def score(self, df: DataFrame) -> DataFrame:
         """``(key, label, model, p)``: scores are keyed rows, never positions."""
@@ -70,11 +99,11 @@ class TrainedModel:
 
     def save(self, spark, path: str) -> None:
         self.encoder.save(spark, f"{path}/encoder")
-        self.model.write().overwrite().save(f"{path}/model")
+        self.model.save(spark, f"{path}/model")
 
     @classmethod
     def load(cls, spark, path: str, name: str = "loaded", spec: FeatureSpec = FeatureSpec()) -> "TrainedModel":
-        return cls(name, FittedEncoder.load(spark, f"{path}/encoder", spec), PipelineModel.load(f"{path}/model"))
+        return cls(name, FittedEncoder.load(spark, f"{path}/encoder", spec), VectorModel.load(spark, f"{path}/model"))
 
 
 def train_model(
@@ -93,11 +122,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(parts, key)
 
 
-def _fit(encoder: FittedEncoder, estimator, prepared: DataFrame, spec: FeatureSpec) -> PipelineModel:
-    labelled = prepared.withColumn("label", F.col(spec.label).cast("double"))
-    stages = encoder.stages(prepared.sparkSession)
-    needed = ["label", *[c for c in labelled.columns if c.startswith(("num__", "bin__", "cat_low__", "cat_high__"))]]
-    return Pipeline(stages=[*stages, estimator]).fit(labelled.select(*needed))
+def _fit(encoder: FittedEncoder, estimator, prepared: DataFrame, spec: FeatureSpec) -> VectorModel:
+    needed = [c for c in prepared.columns if c.startswith(("num__", "bin__", "cat_low__", "cat_high__"))]
+    labelled = prepared.select(F.col(spec.label).cast("double").alias("label"), *needed)
+    stages = Pipeline(stages=encoder.stages(prepared.sparkSession)).fit(labelled)
+    return VectorModel(stages, estimator.fit(stages.transform(labelled).select("features", "label")))
 
 
 def benchmark(
@@ -225,7 +254,7 @@ def search(
                 scored = None
                 for i, (encoder, n_rows, train, val) in enumerate(frames):
                     model = _fit(encoder, REGISTRY[name](n_rows, **params), train, spec)
-                    part = model.transform(val).select(spec.key, spec.label, probability().alias("p"), F.lit(i).alias("fold"))
+                    part = model.transform(val).select(spec.key, spec.label, "p", F.lit(i).alias("fold"))
                     scored = part if scored is None else scored.unionByName(part)
                 value, state = ranking_scores(scored, roles, by=["fold"]).agg(F.avg("pr_auc")).first()[0], "COMPLETE"
             except Exception as error:  # noqa: BLE001 - a failed trial is recorded, not raised
@@ -320,7 +349,7 @@ def train_neural_net(
         if best_value is None or value > best_value:
             best, best_value = net, value
     vectors.unpersist()
-    return TrainedModel("neural_net", encoder, PipelineModel(stages=[*stages.stages, best]))
+    return TrainedModel("neural_net", encoder, VectorModel(stages, best))
 
 
 def align_scores(scores: DataFrame, models, key: str = "claim_id", label: str = "y") -> DataFrame:
@@ -335,13 +364,10 @@ def soft_vote(scores: DataFrame, key: str = "claim_id", label: str = "y") -> Dat
 
 def stack(calib: DataFrame, test: DataFrame, models, label: str = "y"):
     """Logistic regression on aligned base scores: ``(scored test rows, coefficient per model, intercept)``."""
-    n = calib.count()
-    assemble = VectorAssembler(inputCols=list(models), outputCol="_v")
-    learn = assemble.transform(calib.dropna(subset=list(models))).withColumn("label", F.col(label).cast("double"))
-    fitted = LogisticRegression(featuresCol="_v", regParam=1.0 / n, standardization=False, maxIter=2000, probabilityCol="_pr", rawPredictionCol="_rw", predictionCol="_pd").fit(learn)
-    scored = fitted.transform(assemble.transform(test.dropna(subset=list(models)))).withColumn("p", probability("_pr"))
-    coefficients = dict(zip(models, [float(c) for c in fitted.coefficients]))
-    return scored.drop("_v", "_pr", "_rw", "_pd"), coefficients, float(fitted.intercept)
+    aligned = F.array(*[F.col(m).cast("double") for m in models])
+    fitted = fit_logistic(calib.dropna(subset=list(models)).select(aligned.alias("_v"), label), "_v", label)
+    scored = fitted.transform(test.dropna(subset=list(models)).withColumn("_v", aligned), "_v").drop("_v")
+    return scored, dict(zip(models, fitted.coefficients)), fitted.intercept
 
 
 def ensemble_report(scores: DataFrame, models, entity: str, key: str = "claim_id", label: str = "y", half: str = "half", curves_path: str | None = None):

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import json
 
-from pyspark.ml.classification import LogisticRegressionModel
-from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from episodica.functions import scalars as S
 from episodica.operators.decide import Calibrator
+from episodica.operators.isotonic import IsotonicCurve
+from episodica.operators.linear import LinearModel
 from episodica.operators.models import TrainedModel
 from episodica.roles import CONDITION_FLAGS, FeatureSpec, require_columns
 
@@ -110,14 +110,14 @@ class Scorer:
     def save(self, spark: SparkSession, path: str) -> None:
         self.trained.save(spark, path)
         if self.calibrator.model is not None:
-            self.calibrator.model.write().overwrite().save(f"{path}/calibrator")
+            self.calibrator.model.save(spark, f"{path}/calibrator")
         facts = {"model": self.trained.name, "calibrator": self.calibrator.method, "threshold": self.threshold, "ranges": self.ranges}
         spark.createDataFrame([(json.dumps(facts),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/decision")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, spec: FeatureSpec = FeatureSpec()) -> "Scorer":
         facts = json.loads(spark.read.text(f"{path}/decision").first()[0])
-        kinds = {"isotonic": IsotonicRegressionModel, "platt": LogisticRegressionModel}
+        kinds = {"isotonic": IsotonicCurve, "platt": LinearModel}
         kind = kinds.get(facts["calibrator"])
-        model = kind.load(f"{path}/calibrator") if kind else None
+        model = kind.load(spark, f"{path}/calibrator") if kind else None
         return cls(TrainedModel.load(spark, path, facts["model"], spec), Calibrator(facts["calibrator"], model), facts["threshold"], facts["ranges"])

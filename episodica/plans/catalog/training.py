@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import functions as F
 
 from episodica.operators import explain as X
@@ -233,10 +232,9 @@ def stream_scores(spark, sf):
 # ---------------------------------------------------------------- explanations
 def _linear(spark, sf):
     trained = _model(spark, sf, "logistic_regression")
-    fitted = next(s for s in trained.model.stages if isinstance(s, LogisticRegressionModel))
     rows = trained.transform(_val(spark, sf))
     means = X.vector_mean(trained.transform(_train(spark, sf)))
-    return X.linear_attributions(rows, fitted, trained.encoder.feature_names(), means, "claim_id")
+    return X.linear_attributions(rows, trained.model.classifier, trained.encoder.feature_names(), means, "claim_id")
 
 
 def _phi(spark, sf):
@@ -245,7 +243,7 @@ def _phi(spark, sf):
     def build():
         trained = _model(spark, sf, "boosted_trees")
         rows = trained.transform(_val(spark, sf))
-        phi, base = X.tree_attributions(rows, trained.model.stages[-1], trained.encoder.feature_names(), "claim_id")
+        phi, base = X.tree_attributions(rows, trained.model.classifier, trained.encoder.feature_names(), "claim_id")
         return store(phi, "attributions"), base
 
     return _once(spark, sf, "phi", build)
