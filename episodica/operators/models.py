@@ -8,11 +8,7 @@ import time
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    MultilayerPerceptronClassifier,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,6 +17,7 @@ from episodica.operators.decide import probability
 from episodica.operators.encode import FittedEncoder, fit_encoder
 from episodica.operators.linear import LinearModel, LogisticNewton, fit_logistic
 from episodica.operators.metrics import metric_panel, pr_curve, ranking_scores, roc_curve
+from episodica.operators.trees import DeepForest, TreeEnsemble
 from episodica.operators.splits import assign_folds, hold_out, sample_entities
 from episodica.roles import FeatureSpec, ScoreRoles
 from episodica.sources.files import write_curves
@@ -36,7 +33,12 @@ def logistic_regression(n_rows: int, **params):
 
 
 def random_forest(n_rows: int, **params):
-    return RandomForestClassifier(**{"numTrees": 40, "maxDepth": 8, "minInstancesPerNode": 20, "seed": SEED, **params})
+    return DeepForest(**{"trees": 200, "depth": 20, "leaf": 50, "seed": SEED, **params})
+
+
+def extra_trees(n_rows: int, **params):
+    """As a random forest, but every tree sees all rows, and a feature has one cut, drawn at random."""
+    return random_forest(n_rows, **{"random_cuts": True, "bootstrap": False, **params})
 
 
 def boosted_trees(n_rows: int, **params):
@@ -47,12 +49,13 @@ def boosted_trees(n_rows: int, **params):
 REGISTRY = {
     "logistic_regression": logistic_regression,
     "random_forest": random_forest,
+    "extra_trees": extra_trees,
     "boosted_trees": boosted_trees,
 }
 
 
 # classifiers that are kept as tables; any other is a model of Spark ML
-TABLES = {"linear": LinearModel}
+TABLES = {"linear": LinearModel, "trees": TreeEnsemble}
 
 
 class VectorModel:
@@ -184,9 +187,9 @@ SPACES = {
         "maxBins": ("choice", (32, 64, 128)),
     },
     "random_forest": {
-        "numTrees": ("int", 20, 80, 20),
-        "maxDepth": ("int", 6, 10, 1),
-        "minInstancesPerNode": ("int", 20, 200, 10),
+        "trees": ("int", 100, 300, 50),
+        "depth": ("int", 10, 20, 2),
+        "leaf": ("int", 20, 200, 10),
     },
     "logistic_regression": {"C": ("log", 0.01, 100.0)},
 }
