@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from episodica.functions import scalars as S
 from episodica.functions.ordered import exact_quantiles, global_cumsum, null_safe_join, shuffle_rank
 from episodica.operators.encode import filled_text
+from episodica.operators.linear import as_array
+from episodica.operators.trees import KINDS, TreeEnsemble
 from episodica.sources.shared import shared_path, store
 
 PHI_SCHEMA = "feature string, value double, phi double"
@@ -55,6 +57,16 @@ def tree_nodes(model) -> tuple[dict[int, pd.DataFrame], dict[int, float], bool]:
     return {t: g.sort_values("id").reset_index(drop=True) for t, g in rows.groupby("treeID")}, weights, votes
 
 
+def ensemble_nodes(model: TreeEnsemble) -> dict[int, pd.DataFrame]:
+    """The node tables of our own ensembles, with the names of a saved ML ensemble."""
+    out = {}
+    for r in model.table.collect():
+        t = {n: np.frombuffer(r[n], k) for n, k in KINDS.items()}
+        splits = [{"featureIndex": int(f), "leftCategoriesOrThreshold": [float(c)]} for f, c in zip(t["feature"], t["cut"], strict=True)]
+        out[r.tree] = pd.DataFrame({"id": np.arange(len(t["cut"])), "leftChild": t["low"], "rightChild": t["high"], "split": splits, "prediction": t["value"], "rawCount": t["cover"]})
+    return out
+
+
 def leaf_paths(nodes: pd.DataFrame, weight: float, votes: bool) -> list[tuple[float, list[tuple[int, float, float, float]]]]:
     """Every leaf as ``(value, conditions)``; a condition is (feature, low, high, share of the cover).
 
@@ -67,7 +79,7 @@ def leaf_paths(nodes: pd.DataFrame, weight: float, votes: bool) -> list[tuple[fl
         at, path = todo.pop()
         node = by_id[at]
         if node.leftChild < 0:
-            stats = np.asarray(node.impurityStats, dtype=float)
+            stats = np.asarray(node.impurityStats, dtype=float) if votes else None
             value = stats[1] / stats.sum() if votes else float(node.prediction)
             out.append((weight * value, [(f, *c) for f, c in path.items()]))
             continue
@@ -115,11 +127,15 @@ def tree_attributions(df: DataFrame, model, names, key: str, features: str = "fe
     Boosted trees are explained on the log-odds, forests on the probability of the positive class.  The
     paths are broadcast once; rows stream through in Arrow batches.
     """
-    spark = df.sparkSession
-    nodes, weights, votes = tree_nodes(model)
-    scale = (lambda w: w / sum(weights.values())) if votes else (lambda w: 2.0 * w)
-    leaves = [leaf for t, table in nodes.items() for leaf in leaf_paths(table, scale(weights[t]), votes)]
-    base = float(sum(v * float(np.prod([c[3] for c in conds])) if conds else v for v, conds in leaves))
+    spark, start = df.sparkSession, 0.0
+    if isinstance(model, TreeEnsemble):
+        start = model.start
+        leaves = [leaf for table in ensemble_nodes(model).values() for leaf in leaf_paths(table, model.scale, False)]
+    else:
+        nodes, weights, votes = tree_nodes(model)
+        scale = (lambda w: w / sum(weights.values())) if votes else (lambda w: 2.0 * w)
+        leaves = [leaf for t, table in nodes.items() for leaf in leaf_paths(table, scale(weights[t]), votes)]
+    base = start + float(sum(v * float(np.prod([c[3] for c in conds])) if conds else v for v, conds in leaves))
     shared = spark.sparkContext.broadcast((leaves, list(names)))
 
     def explain(batches):
@@ -135,7 +151,7 @@ def tree_attributions(df: DataFrame, model, names, key: str, features: str = "fe
             )
 
     key_type = df.schema[key].dataType.simpleString()
-    arrays = df.select(key, vector_to_array(features).alias("_x"))
+    arrays = df.select(key, as_array(df, features).alias("_x"))
     return arrays.mapInPandas(explain, f"{key} {key_type}, {PHI_SCHEMA}"), base
 
 

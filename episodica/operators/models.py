@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from episodica.operators.boosting import LeafwiseBoosting
 from episodica.operators.decide import probability
 from episodica.operators.encode import FittedEncoder, fit_encoder
 from episodica.operators.linear import LinearModel, LogisticNewton, fit_logistic
 from episodica.operators.metrics import metric_panel, pr_curve, ranking_scores, roc_curve
-from episodica.operators.trees import DeepForest, TreeEnsemble
 from episodica.operators.splits import assign_folds, hold_out, sample_entities
+from episodica.operators.trees import DeepForest, TreeEnsemble
 from episodica.roles import FeatureSpec, ScoreRoles
 from episodica.sources.files import write_curves
 from episodica.sources.shared import store
@@ -41,6 +42,11 @@ def extra_trees(n_rows: int, **params):
     return random_forest(n_rows, **{"random_cuts": True, "bootstrap": False, **params})
 
 
+def leafwise_boosting(n_rows: int, **params):
+    """Up to 300 rounds of trees with up to 63 leaves; held-out rows stop it earlier."""
+    return LeafwiseBoosting(**{"rounds": 300, "rate": 0.05, "leaves": 63, "leaf": 50, "seed": SEED, **params})
+
+
 def boosted_trees(n_rows: int, **params):
     defaults = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.9, "maxBins": 64, "seed": SEED}
     return GBTClassifier(**{**defaults, **params})
@@ -51,6 +57,7 @@ REGISTRY = {
     "random_forest": random_forest,
     "extra_trees": extra_trees,
     "boosted_trees": boosted_trees,
+    "leafwise_boosting": leafwise_boosting,
 }
 
 
@@ -191,6 +198,13 @@ SPACES = {
         "depth": ("int", 10, 20, 2),
         "leaf": ("int", 20, 200, 10),
     },
+    "leafwise_boosting": {
+        "rounds": ("int", 200, 800, 50),
+        "rate": ("log", 0.01, 0.2),
+        "leaves": ("int", 15, 127, 8),
+        "leaf": ("int", 20, 200, 10),
+        "l2": ("log", 0.001, 10.0),
+    },
     "logistic_regression": {"C": ("log", 0.01, 100.0)},
 }
 

@@ -100,6 +100,17 @@ def boosted_trees(spark, sf):
     return _model(spark, sf, "boosted_trees").score(_val(spark, sf))
 
 
+@query("l3_leafwise_boosting")
+def leafwise_boosting(spark, sf):
+    """Best-leaf-first boosting from gradient histograms, with early stop."""
+    return _model(spark, sf, "leafwise_boosting").score(_val(spark, sf))
+
+
+@query("l2_extra_trees")
+def extra_trees(spark, sf):
+    return _model(spark, sf, "extra_trees").score(_val(spark, sf))
+
+
 @query("l4_neural_net")
 def neural_net(spark, sf):
     trained = _once(spark, sf, "net", lambda: L.train_neural_net(_train(spark, sf), SPEC))
