@@ -8,8 +8,11 @@ distributed and meet the rows through a join that spreads frequent levels.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from episodica.functions.joins import key_counts, salted_join
@@ -102,6 +105,40 @@ def cross_target_table(train: DataFrame, columns, label: str, fold: str) -> Data
     return joined.select("feature", "level", "fold", encoded.alias("encoded"))
 
 
+def ordered_target(train: DataFrame, columns, label: str, key: str, weight: float = 1.0, seed=42) -> DataFrame:
+    """``(key, feature, level, n_before, encoded)``: the smoothed label mean of a level over the rows before each row.
+
+    Rows stand in seeded md5 order of the unique ``key``, the same for all columns.  A row's own label never enters its
+    code, nor do those behind it: (sum before + ``weight`` * overall mean) / (rows before + ``weight``).  Sums run inside
+    cells of a hash prefix, which are equally full; cells start from the sums of the earlier ones, so a level with most
+    of the rows is spread over all cells.  NULL is a level like others; rows with a NULL label get a code and add nothing.
+    """
+    cells_wanted = 16 * int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    prefix = max(1, math.ceil(math.log2(cells_wanted) / 4))
+    hashed = shuffle_hash(key, seed)
+    keep = [F.col(key), F.col(label).cast("double").alias("_y"), hashed.alias("_hash"), F.substring(hashed, 1, prefix).alias("_cell")]
+    long = _long(train, columns, filled_text, *keep)
+    cell = ["feature", "level", "_cell"]
+    counted, summed = F.count("_y"), F.coalesce(F.sum("_y"), F.lit(0.0))
+    sums = store(long.groupBy(*cell).agg(counted.alias("_n"), summed.alias("_s")), "level-cells")
+    earlier = W.partitionBy("feature", "level").orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sums.select(*cell, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("_n", "_s")])
+    inside = W.partitionBy(*cell).orderBy("_hash", key).rowsBetween(W.unboundedPreceding, -1)
+    n = F.col("_n_before") + F.count("_y").over(inside)
+    total = F.col("_s_before") + F.coalesce(F.sum("_y").over(inside), F.lit(0.0))
+    overall = train.select(F.coalesce(F.avg(F.col(label).cast("double")), F.lit(0.0))).scalar()
+    placed = long.join(offsets, cell).select(key, "feature", "level", n.alias("n_before"), total.alias("_total"))
+    return placed.select(key, "feature", "level", "n_before", ((F.col("_total") + weight * overall) / (F.col("n_before") + weight)).alias("encoded"))
+
+
+def level_target(train: DataFrame, columns, label: str, weight: float = 1.0) -> DataFrame:
+    """``(feature, level, n, encoded)`` for rows that the codes were not made on: the same mean over all rows of a level."""
+    long = _long(train, columns, filled_text, F.col(label).cast("double").alias("_y"))
+    overall = train.select(F.coalesce(F.avg(F.col(label).cast("double")), F.lit(0.0))).scalar()
+    sums = long.groupBy("feature", "level").agg(F.count("_y").alias("n"), F.coalesce(F.sum("_y"), F.lit(0.0)).alias("_s"))
+    return sums.select("feature", "level", "n", ((F.col("_s") + weight * overall) / (F.col("n") + weight)).alias("encoded"))
+
+
 def apply_target(df: DataFrame, table: DataFrame, columns, default: dict[str, float], key: str, fold: str | None = None) -> DataFrame:
     """Add ``cat_high__<column>``; levels that the table does not hold get the default."""
     out = df

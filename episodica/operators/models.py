@@ -18,7 +18,7 @@ from episodica.operators.decide import probability
 from episodica.operators.encode import FittedEncoder, fit_encoder
 from episodica.operators.linear import LinearModel, LogisticNewton, fit_logistic
 from episodica.operators.metrics import metric_panel, pr_curve, ranking_scores, roc_curve
-from episodica.operators.splits import assign_folds, hold_out, sample_entities
+from episodica.operators.splits import assign_balanced_folds, hold_out, sample_entities
 from episodica.operators.trees import DeepForest, TreeEnsemble
 from episodica.roles import FeatureSpec, ScoreRoles
 from episodica.sources.files import write_curves
@@ -228,7 +228,7 @@ def draw(space: dict, rng: random.Random) -> dict:
 
 def _cv_frames(df: DataFrame, spec: FeatureSpec, k: int, seed: int):
     """Per fold: encoder, prepared training rows and prepared validation rows.  Fitted once for all trials."""
-    folded = store(assign_folds(df, spec.entity, spec.key, spec.label, k, seed), "folds")
+    folded = store(assign_balanced_folds(df, spec.entity, spec.key, spec.label, k, seed), "folds")
     frames = []
     for i in range(k):
         train, val = folded.where(F.col("fold") != i), folded.where(F.col("fold") == i)

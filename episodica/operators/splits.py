@@ -82,6 +82,60 @@ def assign_folds(df: DataFrame, entity: str, key: str, label: str = "y", k: int
     return _label_rows(df, folds, entity, key)
 
 
+def coarse(n: Column) -> Column:
+    """A count with six significant bits, so that counts of any size have few values; up to 63 it stays as it is."""
+    shift = F.greatest(F.length(F.bin(n)) - 6, F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", n, shift), shift)
+
+
+def deal_profiles(profiles: list[tuple[int, int, int]], k: int) -> list[tuple[int, int, list[int]]]:
+    """``(rows, positives, entities)`` to ``(rows, positives, running count of entities up to each fold)``.
+
+    Entities are dealt one by one, heavy profiles first, always to the lightest fold (the first of equals).  Rows and
+    positives weigh the same in all: a share of the rows plus a share of the positives.  A profile's entities go in one
+    step: those given to a fold of load l start at l, l + w, l + 2 w ..., and the lowest starts come first.
+    """
+    all_rows, all_positives = (sum(p[i] * p[2] for p in profiles) for i in (0, 1))
+    weigh = {p: p[0] * max(all_positives, 1) + p[1] * all_rows for p in profiles}
+    loads, out = [0] * k, []
+    for p in sorted(profiles, key=lambda q: (-weigh[q], q)):
+        rows, positives, n = p
+        w = weigh[p]
+
+        def below(level, w=w):
+            return [max(0, -((load - level) // w)) for load in loads]
+
+        low, high = min(loads), max(loads) + w * (n + 1)
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if sum(below(middle)) <= n else (low, middle - 1)
+        given = below(low)
+        # what is left starts at the same load everywhere
+        for f in sorted(range(k), key=lambda f: (loads[f] + w * given[f], f))[: n - sum(given)]:
+            given[f] += 1
+        loads = [load + w * c for load, c in zip(loads, given, strict=True)]
+        out.append((rows, positives, [sum(given[: f + 1]) for f in range(k)]))
+    return out
+
+
+def assign_balanced_folds(df: DataFrame, entity: str, key: str, label: str = "y", k: int = 3, seed=42) -> DataFrame:
+    """Add ``fold`` in 0..k-1: whole entities, with rows and positives spread evenly even if entities differ much.
+
+    Entities are counted by profile (rows and positives, six significant bits each): a histogram of bounded size,
+    which is dealt heaviest first to the lightest fold, see :func:`deal_profiles`.  Within a profile the seeded order
+    decides.  No fold outweighs another by more than its last entity.  NULL labels count as 0; a NULL entity is one.
+    """
+    counts = df.groupBy(entity).agg(F.count(F.lit(1)).alias("_rows"), F.coalesce(F.sum(F.col(label).cast("bigint")), F.lit(0)).alias("_positives"))
+    entities = store(counts.select(entity, coarse(F.col("_rows")).alias("_rows"), coarse(F.col("_positives")).alias("_positives")), "entities")
+    profile = ["_rows", "_positives"]
+    histogram = entities.groupBy(*profile).agg(F.count(F.lit(1)).alias("n")).collect()
+    dealt = deal_profiles([(r[0], r[1], r.n) for r in histogram], k)
+    plan = df.sparkSession.createDataFrame(dealt, "_rows long, _positives long, _upto array<long>")
+    ranked = shuffle_rank(entities, entity, seed, profile).join(plan, profile)
+    folds = ranked.select(entity, F.size(F.filter("_upto", lambda u: F.col("shuffle_rank") > u)).alias("fold"))
+    return salted_join(df, folds, [entity], "left", key, null_safe=True)
+
+
 def keep_entities(df: DataFrame, chosen: DataFrame, entity: str, key: str) -> DataFrame:
     """All rows of the chosen entities."""
     return salted_join(df, chosen.select(entity), [entity], "left_semi", key)

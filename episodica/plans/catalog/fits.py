@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from episodica.functions.ordered import value_counts
+from episodica.operators import encode as E
 from episodica.operators import isotonic as I
 from episodica.operators import linear as N
-from episodica.plans.catalog.decisions import _MIX, TRAIN, _mixed, _train
+from episodica.operators import splits as P
+from episodica.plans import views as V
+from episodica.plans.catalog.decisions import _MIX, _TEXT, SPEC, TRAIN, _all, _mixed, _train
 from episodica.plans.catalog.registry import query, rnd
 
 # ---------------------------------------------------------------- one Newton step of a logistic model at given coefficients
@@ -49,3 +52,66 @@ def isotonic_blocks(spark, sf):
     """Pooled blocks of every model's calibration curve."""
     counts = value_counts(_mixed(spark, sf), "p", ["model"], pos=F.sum(F.col("y").cast("bigint")))
     return I.isotonic_blocks(counts, by=["model"], per_range=256)
+
+
+# ---------------------------------------------------------------- label means of the rows before each row
+_ORDERED = " UNION ALL ".join(f"SELECT claim_id, '{c}' AS feature, {_TEXT.format(c=c)} AS level, y::DOUBLE AS y, md5(claim_id || '|42') AS h FROM train" for c in SPEC.cat_high)
+_BEFORE = "OVER (PARTITION BY feature, level ORDER BY h, claim_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+
+@query(
+    "l3_ordered_target",
+    f"WITH {TRAIN}, o AS ({_ORDERED}), b AS (SELECT claim_id, feature, level, count(*) {_BEFORE} AS n_before, coalesce(sum(y) {_BEFORE}, 0) AS s FROM o) "
+    f"SELECT claim_id, feature, level, n_before, {rnd('(s + (SELECT avg(y::DOUBLE) FROM train)) / (n_before + 1)', 'encoded')} FROM b",
+)
+def ordered_target(spark, sf):
+    """Ordered target statistics of the high-cardinality columns over the training rows."""
+    return E.ordered_target(_train(spark, sf), SPEC.cat_high, "y", "claim_id")
+
+
+@query(
+    "l3_level_target",
+    f"WITH {TRAIN}, o AS ({_ORDERED}) SELECT feature, level, count(*) AS n, {rnd('(sum(y) + (SELECT avg(y::DOUBLE) FROM train)) / (count(*) + 1)', 'encoded')} FROM o GROUP BY feature, level",
+)
+def level_target(spark, sf):
+    return E.level_target(_train(spark, sf), SPEC.cat_high, "y")
+
+
+# ---------------------------------------------------------------- folds with even rows and positives
+def _coarse(n: str) -> str:
+    return f"(({n} >> greatest(length(bin({n})) - 6, 0)) << greatest(length(bin({n})) - 6, 0))"
+
+
+_FOLDS = f"""{V.SPLIT}, ent AS (SELECT beneficiary_id AS e, count(*) AS n, sum(y)::BIGINT AS p FROM feats GROUP BY 1),
+rough AS (SELECT e, {_coarse('n')} AS n, {_coarse('p')} AS p FROM ent),
+hist AS (SELECT n, p, count(*) AS m FROM rough GROUP BY n, p),
+allof AS (SELECT sum(n * m)::HUGEINT AS tn, greatest(sum(p * m), 1)::HUGEINT AS tp FROM hist),
+heavy AS (SELECT n, p, m, n * tp + p * tn AS w FROM hist, allof),
+inside AS (SELECT e, n, p, m, w, row_number() OVER (PARTITION BY n, p ORDER BY md5(e || '|42'), e) AS place FROM rough JOIN heavy USING (n, p)),
+line AS (SELECT n, p, w, row_number() OVER (ORDER BY w DESC, n, p, m, place) AS i FROM inside),
+deal AS (
+  SELECT 0::BIGINT AS i, NULL::BIGINT AS n, NULL::BIGINT AS p, NULL::INTEGER AS fold, [{{'load': 0::HUGEINT, 'fold': 0}}, {{'load': 0::HUGEINT, 'fold': 1}}, {{'load': 0::HUGEINT, 'fold': 2}}] AS folds
+  UNION ALL
+  SELECT l.i, l.n, l.p, d.folds[1].fold, list_sort([{{'load': d.folds[j].load + CASE WHEN j = 1 THEN l.w ELSE 0 END, 'fold': d.folds[j].fold}} FOR j IN range(1, 4)]) FROM deal d JOIN line l ON l.i = d.i + 1),
+given AS (SELECT n, p, f.fold, (SELECT count(*) FROM deal d WHERE d.n = h.n AND d.p = h.p AND d.fold <= f.fold) AS upto FROM heavy h, (VALUES (0), (1), (2)) f(fold)),
+folds AS (SELECT e, count(*) FILTER (WHERE place > upto) AS fold FROM inside JOIN given USING (n, p) GROUP BY e)"""
+
+
+@query(
+    "h7_balanced_folds",
+    f"WITH RECURSIVE {_FOLDS} SELECT claim_id, beneficiary_id, fold::BIGINT AS fold FROM feats JOIN folds ON e = beneficiary_id",
+)
+def balanced_folds(spark, sf):
+    return P.assign_balanced_folds(_all(spark, sf), "beneficiary_id", "claim_id").select("claim_id", "beneficiary_id", "fold")
+
+
+@query(
+    "g3_planted_leak",
+    f"WITH {V.SPLIT}, two AS (SELECT beneficiary_id, split FROM feats UNION ALL SELECT beneficiary_id, 'late' FROM feats WHERE length(claim_id) % 2 = 0 AND right(claim_id, 1) = '7') "
+    "SELECT beneficiary_id, count(DISTINCT split) AS n_parts FROM two GROUP BY beneficiary_id HAVING count(DISTINCT split) > 1",
+)
+def planted_leak(spark, sf):
+    """Entities whose later rows were given to a part of their own: all of them are found."""
+    rows = _all(spark, sf)
+    late = rows.where("length(claim_id) % 2 = 0 and right(claim_id, 1) = '7'").withColumn("split", F.lit("late"))
+    return P.leaking_entities(rows.select("beneficiary_id", "split").union(late.select("beneficiary_id", "split")), "beneficiary_id")
