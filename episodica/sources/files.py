@@ -68,6 +68,17 @@ def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("file_name")
 
 
+def stack_years(spark: SparkSession, folders: dict[int, str], columns, pattern: str = "*.csv") -> DataFrame:
+    """Yearly text files of one folder a year in long form, with ``year``; raises for a year without files."""
+    out = None
+    for year, folder in sorted(folders.items()):
+        part = read_text_csv(spark, folder, pattern, columns).drop("file_name").withColumn("year", F.lit(int(year)))
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise FileNotFoundError("no year to stack")
+    return out
+
+
 def sample_numbers(spark: SparkSession, first: int, last: int | None = None) -> DataFrame:
     """``(sample)``: the numbers from ``first`` to ``last``, or ``first`` alone."""
     return spark.range(first, (first if last is None else last) + 1).select(F.col("id").cast("int").alias("sample"))
