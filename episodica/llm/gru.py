@@ -143,14 +143,14 @@ class Adam:
         weights -= self.rate * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.v / (1 - 0.99**self.t)) + 1e-8)
 
 
-def train(flat: np.ndarray, segments: np.ndarray, window: int, lanes: int, least_steps: int, rate: float, seed: int, passes: int = 3) -> np.ndarray:
+def train(flat: np.ndarray, segments: np.ndarray, window: int, lanes: int, least_steps: int, rate: float, seed: int, passes: int = 3, optimiser=None) -> np.ndarray:
     """Weights after passes over ``segments`` (rows of symbols, -1 as padding): one, or up to ``passes`` until ``least_steps`` steps.
 
     A segment is cut into windows; the state is carried from one to the next, the gradient is not.
-    Every segment begins at an empty state.
+    Every segment begins at an empty state.  An ``optimiser`` goes on where it was.
     """
-    flat = flat.copy()
-    p, optimiser, rng, steps = unpack(flat), Adam(rate), np.random.default_rng(seed), 0
+    flat, optimiser = flat.copy(), optimiser or Adam(rate)
+    p, rng, steps = unpack(flat), np.random.default_rng(seed), 0
     for _ in range(passes):
         if steps >= least_steps:
             break

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from episodica.llm import gru
 from episodica.llm.arrow import annotate, fold
-from episodica.llm.words import SPACED, U, mix, text_words
+from episodica.llm.words import SPACED, U, text_words
 from episodica.sources.shared import store
 
 END = U(1)  # stands for the end of a text; no word is expected to hash to it
@@ -24,45 +24,39 @@ def with_ends(words) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
-def counts_and_segments(docs: DataFrame, text: str, one_in: int) -> DataFrame:
-    """Rows (``hash``, ``n``) of tokens counted per task, and rows with a ``segment`` of tokens to train on.
-
-    Texts are cut into segments of 64 tokens; one in ``one_in``, chosen by a hash of its tokens, is given out.
-    """
+def token_counts(docs: DataFrame, text: str) -> DataFrame:
+    """``hash`` and ``n`` of all tokens: counted per task first, then added up."""
 
     def run(batches):
         for batch in batches:
-            held, size, segments = [], 0, []
+            held, size = [], 0
 
             def counted():
                 values, n = np.unique(np.concatenate(held), return_counts=True)
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(values.view(np.int64)), pa.array(n.astype(np.int64)), pa.nulls(len(values), pa.list_(pa.int64()))],
-                    names=["hash", "n", "segment"],
-                )
+                return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], names=["hash", "n"])
 
             for _, words in text_words(batch.column("_text"), SPACED):
-                tokens, first = with_ends(words)
+                tokens, _ = with_ends(words)
                 held.append(tokens)
                 size += len(tokens)
-                row_of = np.repeat(np.arange(words.rows), np.diff(first))
-                heads = np.flatnonzero((np.arange(len(tokens)) - first[row_of]) % SEGMENT == 0)
-                if len(heads):
-                    marks = mix(np.add.reduceat(tokens, heads)) % U(one_in) == 0
-                    stops = np.append(heads[1:], len(tokens))
-                    segments += [tokens[a:b].view(np.int64) for a, b in zip(heads[marks], stops[marks], strict=True)]
                 if size > 4_000_000:
                     yield counted()
                     held, size = [], 0
             if held:
                 yield counted()
-            if segments:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(segments), pa.int64()), pa.nulls(len(segments), pa.int64()), pa.array(segments, pa.list_(pa.int64()))],
-                    names=["hash", "n", "segment"],
-                )
 
-    return docs.select(F.col(text).alias("_text")).mapInArrow(run, "hash long, n long, segment array<long>")
+    found = docs.select(F.col(text).alias("_text")).mapInArrow(run, "hash long, n long")
+    return found.groupBy("hash").agg(F.sum("n").alias("n"))
+
+
+def segments_of(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Texts cut into runs of 64 tokens, one a row, -1 behind their end; ``first`` is where each text starts."""
+    lengths = np.diff(first)
+    runs = -(-lengths // SEGMENT)
+    heads = np.repeat(first[:-1], runs) + SEGMENT * (np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs))
+    left = np.repeat(first[1:], runs) - heads
+    at = heads[:, None] + np.arange(SEGMENT)
+    return np.where(np.arange(SEGMENT) < left[:, None], tokens[np.minimum(at, len(tokens) - 1)], -1)
 
 
 def most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -101,49 +95,56 @@ def vocabulary(hashes: np.ndarray, counts: np.ndarray, total: int) -> tuple[np.n
     return symbols, sizes
 
 
-def fit(spark: SparkSession, segments: DataFrame, known, symbols: np.ndarray, weights: np.ndarray, rounds: int, per_task: int, least_steps: int, rate: float) -> np.ndarray:
-    """Rounds of training on all segments: every task trains a copy on its share, the copies are averaged.
+def fit(docs: DataFrame, text: str, known, symbols: np.ndarray, weights: np.ndarray, rounds: int, chunk: int, lanes: int, least_steps: int, rate: float) -> np.ndarray:
+    """Rounds of training over all texts: every task trains a copy on the texts of its partition, the copies are averaged.
 
+    Of a task's segments, every ``rounds``-th belongs to a round, so each segment of the table is learned from once.
+    Texts stay where they are read: no copy of a text meets its like in one task, and a task holds ``chunk`` segments.
     A copy has ``gru.SIZE`` numbers; they are averaged by a distributed aggregate, so the driver gets one model.
     """
-    n = segments.count()
-    if not n:
-        return weights
-    tasks = -(-n // per_task)
     for turn in range(rounds):
-        shared = spark.sparkContext.broadcast((known, symbols, weights))
+        shared = docs.sparkSession.sparkContext.broadcast((known, symbols, weights))
 
         def run(batches, shared=shared, turn=turn):
-            rows = []
-            table, names, start = shared.value
+            table, names, made = shared.value
+            optimiser, held, size, learned, seen = gru.Adam(rate), [], 0, 0, 0
+
+            def trained():
+                steps = least_steps if not learned else 1
+                return gru.train(made, np.concatenate(held), 32, lanes, steps, rate, turn, optimiser=optimiser)
+
             for batch in batches:
-                column = batch.column("segment")
-                flat = look_up(table, column.flatten().to_numpy().view(np.uint64))
-                flat = np.where(flat >= 0, names[flat], gru.OTHER).astype(np.int16)
-                at = np.append(0, np.cumsum(column.value_lengths().to_numpy()))
-                for k in range(batch.num_rows):
-                    rows.append(np.pad(flat[at[k] : at[k + 1]], (0, SEGMENT - (at[k + 1] - at[k])), constant_values=-1))
-            if rows:
-                # equal shares hold equal rows in any order; sorting makes the result depend on the rows alone
-                rows = np.stack(rows)
-                rows = rows[np.lexsort(rows.T)]
-                made = gru.train(start, rows, 32, 128, least_steps, rate, turn)
+                for _, words in text_words(batch.column("_text"), SPACED):
+                    tokens, first = with_ends(words)
+                    place = look_up(table, tokens)
+                    rows = segments_of(np.where(place >= 0, names[place] if len(names) else 0, gru.OTHER).astype(np.int16), first)
+                    mine = rows[(seen + np.arange(len(rows))) % rounds == turn]
+                    seen += len(rows)
+                    held.append(mine)
+                    size += len(mine)
+                    if size >= chunk:
+                        made = trained()
+                        learned, held, size = learned + size, [], 0
+            if size:
+                made = trained()
+                learned += size
+            if learned:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(gru.SIZE, dtype=np.int32)), pa.array(made.astype(np.float64) * len(rows)), pa.array(np.full(gru.SIZE, len(rows), np.int64))],
+                    [pa.array(np.arange(gru.SIZE, dtype=np.int32)), pa.array(made.astype(np.float64) * learned), pa.array(np.full(gru.SIZE, learned, np.int64))],
                     names=["place", "weighted", "rows"],
                 )
 
-        dealt = segments.withColumn("share", F.pmod(F.xxhash64("segment", F.lit(turn)), F.lit(tasks)))
-        copies = dealt.repartition(tasks, "share").select("segment").mapInArrow(run, "place int, weighted double, rows long")
+        copies = docs.select(F.col(text).alias("_text")).mapInArrow(run, "place int, weighted double, rows long")
         mean = copies.groupBy("place").agg((F.sum("weighted") / F.sum("rows")).alias("mean")).toPandas()
-        weights = mean.sort_values("place")["mean"].to_numpy().astype(np.float32)
+        if len(mean):
+            weights = mean.sort_values("place")["mean"].to_numpy().astype(np.float32)
         shared.destroy()
     return weights
 
 
 def score_texts(
     docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, held: int = 0,
-    table_words: int = 1 << 19, one_in: int = 16, rounds: int = 3, per_task: int = 4096, least_steps: int = 48, rate: float = 0.01,
+    table_words: int = 1 << 19, rounds: int = 3, chunk: int = 8192, lanes: int = 512, least_steps: int = 48, rate: float = 0.01,
 ) -> DataFrame:
     """Per row: the key, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
 
@@ -153,24 +154,23 @@ def score_texts(
     ``score`` is log10 of the probability that a gated recurrent network gives to the whole text, its state carried
     from the first token to the last.  It predicts 1,023 symbols, the most frequent words and the end, and one for
     all other words, which share its probability in proportion to their smoothed counts.  It is trained by
-    truncated backpropagation on one segment of 64 tokens in ``one_in`` of all training texts, so what it learns
-    from grows with the input; tasks train copies that are averaged after each of ``rounds`` rounds.
+    truncated backpropagation on all training texts, in segments of 64 tokens; tasks train copies on their partitions'
+    texts, which are averaged after each of ``rounds`` rounds.  Each segment is learned from in one round.
 
     Counts of up to ``table_words`` frequent words are broadcast (8 MB); the counts of all rarer ones are joined, so
     that no frequent word becomes a hot key.  Null texts count as empty (an end only).  A null key is neither held
-    out nor learned from.  Repeated rows give repeated results.  With nothing to learn from all counts are 0.
+    out nor learned from.  Repeated rows give repeated results.  With nothing to learn from all counts are 0, and
+    ``score`` is that of the untrained network, which gives all symbols the same share.
     """
     spark = docs.sparkSession
-    gathered = store(counts_and_segments(docs.where(fold(docs[key], folds) != held), text, one_in), "tokens")
-    counts = store(gathered.where("hash is not null").groupBy("hash").agg(F.sum("n").alias("n")), "counts")
+    learned = docs.where(fold(docs[key], folds) != held)
+    counts = store(token_counts(learned, text), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     known, sizes, least = most_frequent(counts, table_words)
     symbols, symbol_sizes = vocabulary(known, sizes, total)
     inside = symbols != gru.OTHER
     weights = gru.untrained(symbol_sizes)
-    weights = fit(
-        spark, gathered.where("segment is not null").select("segment"), known[inside], symbols[inside], weights, rounds, per_task, least_steps, rate
-    )
+    weights = fit(learned, text, known[inside], symbols[inside], weights, rounds, chunk, lanes, least_steps, rate)
     size = total + 0.1 * (distinct + 1)
     other_mass = 1 - float((sizes[inside] + 0.1).sum()) / size
     tables = spark.sparkContext.broadcast((known, np.log10(sizes + 0.1), symbols, weights))

@@ -2,6 +2,7 @@
 
 import collections
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -249,3 +250,27 @@ def test_simhash_hard_rows(hard, nothing):
     assert find_simhash_groups(nothing).count() == 0 and find_simhash_groups(hard.where("doc_id is null")).first().component_id is None
     with pytest.raises(ValueError):
         near_prints(nothing, 3)
+
+
+def test_segments_cover_every_token():
+    from episodica.llm.lm import SEGMENT, segments_of
+
+    lengths = [1, 64, 65, 3, 200]
+    first = np.append(0, np.cumsum(lengths))
+    tokens = np.arange(first[-1]).astype(np.int16)
+    rows = segments_of(tokens, first)
+    assert rows.shape == (sum(-(-n // SEGMENT) for n in lengths), SEGMENT) and sorted(rows[rows >= 0].tolist()) == tokens.tolist()
+    assert [int((r >= 0).sum()) for r in rows] == [1, 64, 64, 1, 3, 64, 64, 64, 8]
+
+
+def test_language_model_learns_from_all_parts_and_from_nothing(spark):
+    """Two kinds of text in different partitions: both are learned, copies or not; without learners the score is defined."""
+    from episodica.llm.lm import score_texts
+
+    rows = [(k, ("one two three four " if k % 2 else "red green blue black ") * 40) for k in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = score_texts(frame).collect()
+    assert len(got) == 200 and all(r.score > r.base_score + 20 for r in got)
+    held = [k for k in range(300) if zlib.crc32(str(k).encode()) % 10 == 0][:3]
+    only = score_texts(spark.createDataFrame([(k, "a b c") for k in held], "doc_id long, text string")).collect()
+    assert [(r.n_known, r.train_tokens, r.held_out) for r in only] == [(0, 0, True)] * 3 and all(np.isfinite(r.score) and r.score < 0 for r in only)
