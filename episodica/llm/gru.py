@@ -47,44 +47,68 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def forward(p: dict, symbols: np.ndarray, keep: np.ndarray, h: np.ndarray, trace: list | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """States before each symbol of a window (steps x lanes) and the state after it; ``keep`` is 0 where a text starts."""
+    """States before each symbol of a window (steps x lanes) and the state after it; ``keep`` is 0 where a text starts.
+
+    Inside, units are rows and lanes are columns, so that a gate is one stretch of memory.
+    """
     steps, lanes = symbols.shape
-    states = np.empty((steps, lanes, HIDDEN), np.float32)
-    gates = slice(0, 2 * HIDDEN)
+    states = np.empty((steps, HIDDEN, lanes), np.float32)
+    inputs, recur, h = np.ascontiguousarray(p["inputs"].T), np.ascontiguousarray(p["recur"].T), np.ascontiguousarray(h.T)
     for t in range(steps):
-        h = h * keep[t][:, None]
+        h = h * keep[t]
         states[t] = h
-        given, back = p["inputs"][symbols[t]], h @ p["recur"]
-        gate = sigmoid(given[:, gates] + back[:, gates])
-        z, r = gate[:, :HIDDEN], gate[:, HIDDEN:]
-        new = np.tanh(given[:, 2 * HIDDEN :] + r * back[:, 2 * HIDDEN :])
+        given, back = np.take(inputs, symbols[t], axis=1), recur @ h
+        gate = sigmoid(given[: 2 * HIDDEN] + back[: 2 * HIDDEN])
+        z, r = gate[:HIDDEN], gate[HIDDEN:]
+        new = np.tanh(given[2 * HIDDEN :] + r * back[2 * HIDDEN :])
         if trace is not None:
-            trace.append((z, r, new, back[:, 2 * HIDDEN :]))
+            trace.append((z, r, new, back[2 * HIDDEN :], h))
         h = new + z * (h - new)
-    return states, h
+    return states.transpose(0, 2, 1), h.T
 
 
-def by_class(symbols: np.ndarray):
-    """(class, places) for the classes that occur."""
+def by_class(symbols: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """Places ordered by class, and per class that occurs its slice of them."""
     groups = (symbols // PER_CLASS).astype(np.int8)
     order = np.argsort(groups, kind="stable")
-    cuts = np.searchsorted(groups[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if cuts[c + 1] > cuts[c]:
-            yield c, order[cuts[c] : cuts[c + 1]]
+    cuts = np.searchsorted(groups[order], np.arange(CLASSES + 1)).tolist()
+    return order, [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c + 1] > cuts[c]]
+
 
+def softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of each row and the log of what they were divided by; overwrites ``x`` with values less their row's top.
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    One top serves all rows; rows that lie so far below it that nothing is left of them get their own.
+    """
+    x -= x.max(initial=-np.inf)
+    e = np.exp(x)
+    total = e @ np.ones(x.shape[1], x.dtype)
+    low = total < 1e-30
+    if low.any():
+        x[low] -= x[low].max(axis=1, keepdims=True)
+        e[low] = np.exp(x[low])
+        total[low] = e[low].sum(axis=1)
+    return e / total[:, None], np.log(total)
+
+
+def word_logits(p: dict, states: np.ndarray, groups: list[tuple[int, slice]]) -> np.ndarray:
+    """Per state, ordered by class, the values of the words of its symbol's class."""
+    out = np.empty((len(states), PER_CLASS), np.float32)
+    for c, at in groups:
+        out[at] = states[at] @ p["word_w"][c] + p["word_b"][c]
+    return out
 
 
 def log_probabilities(p: dict, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     """Natural log probability of each symbol: that of its class, then that of the symbol within the class."""
-    out = log_softmax(states @ p["class_w"] + p["class_b"])[np.arange(len(symbols)), symbols // PER_CLASS]
-    for c, at in by_class(symbols):
-        words = log_softmax(states[at] @ p["word_w"][c] + p["word_b"][c])
-        out[at] += words[np.arange(len(at)), symbols[at] % PER_CLASS]
+    order, groups = by_class(symbols)
+    rows = np.arange(len(symbols))
+    classes = states @ p["class_w"] + p["class_b"]
+    _, total = softmax(classes)
+    out = classes[rows, symbols // PER_CLASS] - total
+    words = word_logits(p, states[order], groups)
+    _, total = softmax(words)
+    out[order] += words[rows, symbols[order] % PER_CLASS] - total
     return out
 
 
@@ -95,38 +119,43 @@ def window_gradient(p: dict, symbols: np.ndarray, keep: np.ndarray, weight: np.n
     steps, lanes = symbols.shape
     flat = np.zeros(SIZE, np.float32)
     g = unpack(flat)
-    s, x, w = states.reshape(-1, HIDDEN), symbols.reshape(-1), weight.reshape(-1, 1)
-    rows = np.arange(len(x))
-    classes = log_softmax(s @ p["class_w"] + p["class_b"])
-    loss = -classes[rows, x // PER_CLASS]
-    d = np.exp(classes)
-    d[rows, x // PER_CLASS] -= 1
+    s, x, w = states.reshape(-1, HIDDEN), symbols.reshape(-1).astype(np.intp), weight.reshape(-1, 1)
+    rows, group = np.arange(len(x)), x // PER_CLASS
+    classes = s @ p["class_w"] + p["class_b"]
+    d, total = softmax(classes)
+    loss = total - classes[rows, group]
+    d[rows, group] -= 1
     d *= w
     g["class_w"][:], g["class_b"][:] = s.T @ d, d.sum(axis=0)
     ds = d @ p["class_w"].T
-    for c, at in by_class(x):
-        words = log_softmax(s[at] @ p["word_w"][c] + p["word_b"][c])
-        own = np.arange(len(at))
-        loss[at] -= words[own, x[at] % PER_CLASS]
-        d = np.exp(words)
-        d[own, x[at] % PER_CLASS] -= 1
-        d *= w[at]
-        g["word_w"][c], g["word_b"][c] = s[at].T @ d, d.sum(axis=0)
-        ds[at] += d @ p["word_w"][c].T
-    ds = ds.reshape(steps, lanes, HIDDEN)
-    dgiven = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
-    after = np.zeros((lanes, HIDDEN), np.float32)
+    order, groups = by_class(x)
+    sorted_s, word = s[order], x[order] % PER_CLASS
+    words = word_logits(p, sorted_s, groups)
+    d, total = softmax(words)
+    loss[order] += total - words[rows, word]
+    d[rows, word] -= 1
+    d *= w[order]
+    back_s = np.empty_like(sorted_s)
+    for c, at in groups:
+        g["word_w"][c], g["word_b"][c] = sorted_s[at].T @ d[at], d[at].sum(axis=0)
+        back_s[at] = d[at] @ p["word_w"][c].T
+    ds[order] += back_s
+    ds = np.ascontiguousarray(ds.reshape(steps, lanes, HIDDEN).transpose(0, 2, 1))
+    dgiven = np.empty((3 * HIDDEN, steps, lanes), np.float32)
+    after, dback = np.zeros((HIDDEN, lanes), np.float32), np.empty((3 * HIDDEN, lanes), np.float32)
+    recur, drecur = p["recur"], np.zeros((3 * HIDDEN, HIDDEN), np.float32)
     for t in range(steps - 1, -1, -1):
-        z, r, new, back = trace[t]
-        h = states[t]
+        z, r, new, back, h = trace[t]
         dnew = after * (1 - z) * (1 - new * new)
-        dz = after * (h - new) * z * (1 - z)
-        dr = dnew * back * r * (1 - r)
-        dback = np.concatenate([dz, dr, dnew * r], axis=1)
-        dgiven[t] = np.concatenate([dz, dr, dnew], axis=1)
-        g["recur"] += h.T @ dback
-        after = (after * z + dback @ p["recur"].T + ds[t]) * keep[t][:, None]
-    np.add.at(g["inputs"], x, dgiven.reshape(-1, 3 * HIDDEN))
+        dback[:HIDDEN] = after * (h - new) * z * (1 - z)
+        dback[HIDDEN : 2 * HIDDEN] = dnew * back * r * (1 - r)
+        dback[2 * HIDDEN :] = dnew * r
+        dgiven[: 2 * HIDDEN, t], dgiven[2 * HIDDEN :, t] = dback[: 2 * HIDDEN], dnew
+        drecur += dback @ h.T
+        after = (after * z + recur @ dback + ds[t]) * keep[t]
+    g["recur"][:] = drecur.T
+    for k, column in enumerate(dgiven.reshape(3 * HIDDEN, -1)):
+        g["inputs"][:, k] = np.bincount(x, weights=column, minlength=SYMBOLS)
     return float((loss * w[:, 0]).sum()), flat, last
 
 
