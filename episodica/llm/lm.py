@@ -95,33 +95,49 @@ def vocabulary(hashes: np.ndarray, counts: np.ndarray, total: int) -> tuple[np.n
     return symbols, sizes
 
 
-def fit(docs: DataFrame, text: str, known, symbols: np.ndarray, weights: np.ndarray, rounds: int, chunk: int, lanes: int, least_steps: int, rate: float) -> np.ndarray:
-    """Rounds of training over all texts: every task trains a copy on the texts of its partition, the copies are averaged.
+def segment_table(docs: DataFrame, text: str, known, symbols: np.ndarray, rounds: int) -> DataFrame:
+    """``turn`` and ``segments`` (rows of 64 symbols of two bytes): the texts as the network reads them, each read once.
 
     Of a task's segments, every ``rounds``-th belongs to a round, so each segment of the table is learned from once.
-    Texts stay where they are read: no copy of a text meets its like in one task, and a task holds ``chunk`` segments.
-    A copy has ``gru.SIZE`` numbers; they are averaged by a distributed aggregate, so the driver gets one model.
+    A table row holds the segments of one block of texts; texts stay in the task that reads them.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((known, symbols))
+
+    def run(batches):
+        (table, names), seen = shared.value, 0
+        for batch in batches:
+            for _, words in text_words(batch.column("_text"), SPACED):
+                tokens, first = with_ends(words)
+                place = look_up(table, tokens)
+                rows = segments_of(np.where(place >= 0, names[place] if len(names) else 0, gru.OTHER).astype(np.int16), first)
+                parts = [rows[(seen + np.arange(len(rows))) % rounds == turn].astype("<i2").tobytes() for turn in range(rounds)]
+                seen += len(rows)
+                yield pa.RecordBatch.from_arrays([pa.array(range(rounds), pa.int32()), pa.array(parts, pa.binary())], names=["turn", "segments"])
+
+    return store(docs.select(F.col(text).alias("_text")).mapInArrow(run, "turn int, segments binary"), "segments")
+
+
+def fit(segments: DataFrame, weights: np.ndarray, rounds: int, chunk: int, lanes: int, least_steps: int, rate: float) -> np.ndarray:
+    """Rounds of training over all segments: every task trains a copy on its share, the copies are averaged.
+
+    No segment is moved to its like: hot copies stay where their texts were read.  A task holds ``chunk`` segments and
+    a table row more.  A copy has ``gru.SIZE`` numbers; they are averaged by a distributed aggregate, so the driver
+    gets one model.
     """
     for turn in range(rounds):
-        shared = docs.sparkSession.sparkContext.broadcast((known, symbols, weights))
+        shared = segments.sparkSession.sparkContext.broadcast(weights)
 
         def run(batches, shared=shared, turn=turn):
-            table, names, made = shared.value
-            optimiser, held, size, learned, seen = gru.Adam(rate), [], 0, 0, 0
+            made, optimiser, held, size, learned = shared.value, gru.Adam(rate), [], 0, 0
 
             def trained():
                 steps = least_steps if not learned else 1
                 return gru.train(made, np.concatenate(held), 32, lanes, steps, rate, turn, optimiser=optimiser)
 
             for batch in batches:
-                for _, words in text_words(batch.column("_text"), SPACED):
-                    tokens, first = with_ends(words)
-                    place = look_up(table, tokens)
-                    rows = segments_of(np.where(place >= 0, names[place] if len(names) else 0, gru.OTHER).astype(np.int16), first)
-                    mine = rows[(seen + np.arange(len(rows))) % rounds == turn]
-                    seen += len(rows)
-                    held.append(mine)
-                    size += len(mine)
+                for part in batch.column("segments"):
+                    held.append(np.frombuffer(part.as_buffer(), "<i2").reshape(-1, SEGMENT))
+                    size += len(held[-1])
                     if size >= chunk:
                         made = trained()
                         learned, held, size = learned + size, [], 0
@@ -134,7 +150,7 @@ def fit(docs: DataFrame, text: str, known, symbols: np.ndarray, weights: np.ndar
                     names=["place", "weighted", "rows"],
                 )
 
-        copies = docs.select(F.col(text).alias("_text")).mapInArrow(run, "place int, weighted double, rows long")
+        copies = segments.where(F.col("turn") == turn).select("segments").mapInArrow(run, "place int, weighted double, rows long")
         mean = copies.groupBy("place").agg((F.sum("weighted") / F.sum("rows")).alias("mean")).toPandas()
         if len(mean):
             weights = mean.sort_values("place")["mean"].to_numpy().astype(np.float32)
@@ -170,7 +186,8 @@ def score_texts(
     symbols, symbol_sizes = vocabulary(known, sizes, total)
     inside = symbols != gru.OTHER
     weights = gru.untrained(symbol_sizes)
-    weights = fit(learned, text, known[inside], symbols[inside], weights, rounds, chunk, lanes, least_steps, rate)
+    segments = segment_table(learned, text, known[inside], symbols[inside], rounds)
+    weights = fit(segments, weights, rounds, chunk, lanes, least_steps, rate)
     size = total + 0.1 * (distinct + 1)
     other_mass = 1 - float((sizes[inside] + 0.1).sum()) / size
     tables = spark.sparkContext.broadcast((known, np.log10(sizes + 0.1), symbols, weights))
