@@ -22,11 +22,13 @@ PATTERNS = (
 )
 # places where a credential may stand: a sensitive word, up to 24 other characters, a string without spaces
 SENSITIVE = re.compile(
-    r"""(?:credential|private|bearer|authorization|auth|access|key|pass|pwd|secret|token|login|session|signature)"""
+    r"""(credential|private|bearer|authorization|auth|access|key|pass|pwd|secret|token|login|session|signature)"""
     r"""[A-Za-z_-]{0,16}["']?[\x20\t]{0,3}[:=\x20][\x20\t"']{0,3}([A-Za-z0-9+/_.=~-]{12,})""", re.I | re.A,
 )
 IDENTIFIER = re.compile("[A-Za-z_][A-Za-z0-9_.-]{2,}")
-DIGIT = re.compile("[0-9]")
+# what no word in one case has: a digit, or a capital after a small letter
+UNWORDLY = re.compile("[0-9]|[a-z][A-Z]")
+REACH = 40  # a sensitive word, what may follow it and the gap before a string are shorter
 AROUND = 256
 
 
@@ -67,11 +69,17 @@ def sensitive_strings(text: str, base: list[tuple[int, int, int]]) -> tuple[list
 
     All such strings and all base spans are cut out of every surrounding.  Surroundings that overlap are one stretch.
     """
-    found = []
-    for m in SENSITIVE.finditer(text):
-        start, end = m.span(1)
-        if DIGIT.search(text, start, end) and not any(s < end and start < e for s, _, e in base):
+    found, at = [], 0
+    fixed = merged([(s, e) for s, _, e in base])
+    while m := SENSITIVE.search(text, at):
+        start, end = m.span(2)
+        first = bisect_right(fixed, start, key=lambda c: c[1])
+        if UNWORDLY.search(text, start, end) and not (first < len(fixed) and fixed[first][0] < end):
             found.append((start, end))
+            at = end
+        else:
+            # a refused string may hold the next sensitive word; if that is far from its end, what follows the word is refused too
+            at = max(m.end(1), end - REACH)
     cuts = merged([*found, *((s, e) for s, _, e in base)])
     out = []
     for start, end in found:
@@ -102,8 +110,8 @@ def scan_secrets(
 ) -> DataFrame:
     """Per row ``doc`` (struct of ``keep``), counts per base kind, ``n_novel``, ``base_sha256``, ``spans`` and ``found``.
 
-    The fixed patterns give the base spans.  Beyond them, every string of 12 characters or more with a digit after
-    a sensitive word is a candidate: it is reported as ``novel`` if its marginal compressed bytes, against
+    The fixed patterns give the base spans.  Beyond them, every string of 12 characters or more after a sensitive
+    word is a candidate, unless it reads as a word (no digit, no capital after a small letter): it is reported as ``novel`` if its marginal compressed bytes, against
     its surroundings and a dictionary of identifiers, reach ``least_share`` of its length.  The dictionary holds the
     identifiers that occur in ``least_rows`` or more different stretches around candidates of the table, most frequent
     last (closest to the string), up to ``dictionary_bytes``: that bounds what is broadcast.  Base spans and all
