@@ -9,19 +9,20 @@ from pyspark.sql import functions as F
 BLOCK = 4096
 
 
-def sample_dictionaries(docs: DataFrame, key: Column, text: Column, label: Column, size: int = 1 << 17, pieces: int = 512, most: int = 256) -> dict[str, bytes]:
+def sample_dictionaries(docs: DataFrame, key: Column, text: Column, label: Column, size: int = 1 << 17, pieces: int = 512, total: int = 1 << 25) -> dict[str, bytes]:
     """Up to ``size`` bytes of text per label: a bounded sample of labelled rows for fitting.
 
     The keys of each label fall into ``pieces`` hash buckets, the smallest hash of each bucket is taken (one
     partial aggregation, no text read), and a slice of the chosen texts at a hash-chosen place is collected.
-    Of more than ``most`` labels the most frequent ones are learned.  The driver receives at most ``size`` characters
-    a label, and all labels share 16,384 pieces.
+    Every label is learned.  ``total`` bounds the bytes of all dictionaries, which a task holds: with more than 256
+    labels each gets an equal share, down to 1 KB.  All labels share 16,384 pieces, with four or more a label.
     """
     spread = F.xxhash64(key.cast("string"), F.lit("dictionary"))
     rows = docs.select(text.alias("text"), label.cast("string").alias("label"), spread.alias("spread"))
-    names = [r.label for r in rows.where(F.col("label").isNotNull()).groupBy("label").count().orderBy(F.desc("count"), "label").limit(most).collect()]
-    pieces = max(16, min(pieces, 16384 // max(len(names), 1)))
-    rows = rows.where(F.col("label").isin(names))
+    rows = rows.where(F.col("label").isNotNull())
+    labels = max(rows.select("label").distinct().count(), 1)
+    pieces = max(4, min(pieces, 16384 // labels))
+    size = max(1 << 10, min(size, total // labels))
     firsts = (
         rows.groupBy("label", F.pmod("spread", F.lit(pieces)).alias("bucket"))
         .agg(F.min("spread").alias("spread")).collect()
