@@ -20,22 +20,48 @@ NEEDS = {"email": "@", "ip": ".", "phone": "+"}  # a text without it has no matc
 BYTE_PART = "^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])$"
 TERM = r"\p{L}{4,}"
 PIECE = 256  # characters of a text in which terms are located at a time
+RUN = 256  # matches located at a time
 SPAN = "struct<start:int,kind:int,stop:int,value:string>"
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also where it stands inside a lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def located(text: Column, pattern: str, kind: int) -> Column:
-    """All matches as structs (start, kind, stop, value): starts are sums of the lengths of what lies between and of the matches."""
+    """All matches as structs (start, kind, stop, value): starts are sums of the lengths of what lies between and of the matches.
+
+    Matches are taken in runs of 256: sums of runs give where each begins, so that no array grows match by match.
+    """
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     pairs = F.arrays_zip(F.slice(between, F.lit(1), F.size(found)).alias("gap"), found.alias("hit"))
     nothing = F.array().cast(f"array<{SPAN}>")
 
     def add(done, pair):
-        start = F.when(F.size(done) > 0, F.element_at(done, -1)["stop"]).otherwise(F.lit(0)) + F.length(pair["gap"])
+        start = F.element_at(done, -1)["stop"] + F.length(pair["gap"])
         one = F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + F.length(pair["hit"])).alias("stop"), pair["hit"].alias("value"))
         return F.concat(done, F.array(one.cast(SPAN)))
 
+    def spans_of(run, offset):
+        """The spans of one run; a first element that only holds the offset is left out again."""
+        head = F.struct(F.lit(0).alias("start"), F.lit(kind).alias("kind"), offset.alias("stop"), F.lit("").alias("value")).cast(SPAN)
+        return F.slice(F.aggregate(run, F.array(head), add), F.lit(2), F.size(run))
+
+    def runs_of(all_pairs):
+        return F.transform(F.sequence(F.lit(1), F.size(all_pairs), F.lit(RUN)), lambda at: F.slice(all_pairs, at, F.lit(RUN)))
+
+    def length_of(run):
+        return F.aggregate(run, F.lit(0), lambda n, pair: n + F.length(pair["gap"]) + F.length(pair["hit"]))
+
+    def offsets_of(runs):
+        return F.aggregate(runs, F.array(F.lit(0)), lambda done, run: F.concat(done, F.array(F.element_at(done, -1) + length_of(run))))
+
+    def all_spans(runs):
+        return bound(offsets_of(runs), lambda offsets: F.flatten(F.transform(runs, lambda run, i: spans_of(run, F.get(offsets, i)))))
+
     pairs = pairs.cast("array<struct<gap:string,hit:string>>")
-    return F.when(F.size(found) > 0, F.aggregate(pairs, nothing, add)).otherwise(nothing)
+    return F.when(F.size(found) > 0, bound(pairs, lambda p: bound(runs_of(p), all_spans))).otherwise(nothing)
 
 
 def luhn(digits: Column) -> Column:
