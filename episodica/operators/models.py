@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import logging
 import random
+import statistics
 import time
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
+from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
+from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,6 +24,7 @@ from episodica.operators.decide import probability
 from episodica.operators.encode import FittedEncoder, fit_encoder
 from episodica.operators.linear import LinearModel, LogisticNewton, fit_logistic
 from episodica.operators.metrics import metric_panel, pr_curve, ranking_scores, roc_curve
+from episodica.operators.net import FeedForward, NetSettings, fit_net
 from episodica.operators.splits import assign_balanced_folds, hold_out, sample_entities
 from episodica.operators.trees import DeepForest, TreeEnsemble
 from episodica.roles import FeatureSpec, ScoreRoles
@@ -62,7 +69,9 @@ REGISTRY = {
 
 
 # classifiers that are kept as tables; any other is a model of Spark ML
-TABLES = {"linear": LinearModel, "trees": TreeEnsemble}
+TABLES = {"linear": LinearModel, "trees": TreeEnsemble, "net": FeedForward}
+# what a model that can't be built or fitted on given rows raises; any other error is a fault of the program
+REFUSALS = (PySparkException, Py4JJavaError, ValueError, ArithmeticError)
 
 
 class VectorModel:
@@ -154,12 +163,15 @@ def benchmark(
     models, timings = {}, []
     for name in names:
         started = time.time()
+        if name not in REGISTRY:
+            logger.warning("%s is not in the registry", name)
+            continue
         try:
             estimator = REGISTRY[name](n_rows, **((params or {}).get(name, {})))
             trained = TrainedModel(name, encoder, _fit(encoder, estimator, prepared, spec))
             fitted = time.time()
             trained.score(val).drop("model").write.mode("overwrite").parquet(f"{scores_path}/model={name}")
-        except Exception as error:  # noqa: BLE001 - one failing model must not end the benchmark
+        except REFUSALS as error:  # one failing model must not end the benchmark
             logger.warning("%s failed: %s", name, error)
             continue
         models[name] = trained
@@ -238,6 +250,36 @@ def _cv_frames(df: DataFrame, spec: FeatureSpec, k: int, seed: int):
     return frames
 
 
+def concurrently(spark, work: list[Callable], at_once: int) -> list:
+    """Results of calls that start Spark jobs, ``at_once`` at a time, in the order given.
+
+    Each slot has a scheduler pool of its own, so with ``spark.scheduler.mode`` FAIR they share the executors evenly.
+    The threads have the caller's job settings.
+    """
+    if at_once <= 1 or len(work) <= 1:
+        return [call() for call in work]
+
+    def run(call, slot):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial-{slot}")
+        return call()
+
+    with ThreadPoolExecutor(at_once) as threads:
+        return list(threads.map(inheritable_thread_target(run), work, [i % at_once for i in range(len(work))]))
+
+
+def fold_value(frame, name: str, params: dict, spec: FeatureSpec, train: DataFrame | None = None, n_rows: int | None = None) -> float | None:
+    """Average precision on a fold's held-out rows of a model fitted on its other rows; None if it can't be fitted."""
+    _, rows, prepared, val = frame
+    try:
+        model = _fit(frame[0], REGISTRY[name](n_rows or rows, **params), prepared if train is None else train, spec)
+        scored = model.transform(val).select(spec.key, spec.label, "p")
+        found = ranking_scores(scored, ScoreRoles(spec.key, spec.label, "p")).first()
+    except REFUSALS as error:
+        logger.warning("%s %s failed: %s", name, params, error)
+        return None
+    return found.pr_auc if found else None
+
+
 def search(
     df: DataFrame,
     names,
@@ -248,40 +290,116 @@ def search(
     budget_seconds: float | None = None,
     spaces: dict | None = None,
     sample: int | None = None,
+    at_once: int = 4,
+    least: int = 5,
 ) -> DataFrame:
-    """Seeded random search with grouped, stratified folds, maximising average precision.
-
-    Returns the trial history ``(model, number, params, value, seconds, state)``.  The families take turns; with a
-    budget in seconds no further trial begins when the time is over, but each family gets one.  All statistics are
-    refitted inside each fold.  ``sample`` bounds the rows of the search: whole entities are drawn.
+    """Seeded random search with grouped, stratified folds, maximising average precision; ``at_once`` fits run side by side.
+
+    Returns the trial history ``(model, number, params, value, seconds, state)``.  All statistics are refitted inside
+    each fold.  The trials of a family go through the folds together.  After each fold but the last those whose mean
+    so far is below the family's median end as ``PRUNED`` (``value`` is that mean), if at least ``least`` are left to
+    compare; so the outcome does not depend on how many run side by side.  A trial that can't be fitted is ``FAIL``.
+    With a budget in seconds no further trial begins when the time is over, but each family gets one.
+    ``sample`` bounds the rows of the search: whole entities are drawn.
     """
     spark, spaces = df.sparkSession, spaces or SPACES
     if sample is not None:
         df = sample_entities(df, sample, spec.entity, spec.key, spec.label, seed)
-    frames = _cv_frames(df, spec, k, seed)
+    frames, started = _cv_frames(df, spec, k, seed), time.time()
     rngs = {name: random.Random(f"{name}|{seed}") for name in names}
-    roles = ScoreRoles(spec.key, spec.label, "p")
-    history, started = [], time.time()
-    for number in range(n_trials):
+    trials = [{"name": name, "number": n, "params": draw(spaces[name], rngs[name]), "values": [], "seconds": 0.0, "state": None} for n in range(n_trials) for name in names]
+
+    def run(trial, fold):
+        begun = time.time()
+        if fold == 0 and trial["number"] and budget_seconds is not None and begun - started > budget_seconds:
+            return "LATE", 0.0
+        return fold_value(frames[fold], trial["name"], trial["params"], spec), time.time() - begun
+
+    for fold in range(k):
+        going = [t for t in trials if t["state"] is None]
+        for trial, (value, seconds) in zip(going, concurrently(spark, [lambda t=t: run(t, fold) for t in going], at_once), strict=True):
+            trial["seconds"] += seconds
+            if value is None or value == "LATE":
+                trial["state"] = value or "FAIL"
+            else:
+                trial["values"].append(value)
         for name in names:
-            if budget_seconds is not None and number and time.time() - started > budget_seconds:
-                break
-            params, begun = draw(spaces[name], rngs[name]), time.time()
-            try:
-                scored = None
-                for i, (encoder, n_rows, train, val) in enumerate(frames):
-                    model = _fit(encoder, REGISTRY[name](n_rows, **params), train, spec)
-                    part = model.transform(val).select(spec.key, spec.label, "p", F.lit(i).alias("fold"))
-                    scored = part if scored is None else scored.unionByName(part)
-                value, state = ranking_scores(scored, roles, by=["fold"]).agg(F.avg("pr_auc")).first()[0], "COMPLETE"
-            except Exception as error:  # noqa: BLE001 - a failed trial is recorded, not raised
-                logger.warning("trial %s/%s failed: %s", name, number, error)
-                value, state = None, "FAIL"
-            history.append((name, number, {k_: str(v) for k_, v in params.items()}, value, time.time() - begun, state))
+            alive = [t for t in going if t["name"] == name and t["state"] is None]
+            if fold < k - 1 and len(alive) >= least:
+                middle = statistics.median(statistics.fmean(t["values"]) for t in alive)
+                for t in alive:
+                    t["state"] = "PRUNED" if statistics.fmean(t["values"]) < middle else None
+    history = [
+        (t["name"], t["number"], {p: str(v) for p, v in t["params"].items()}, statistics.fmean(t["values"]) if t["values"] and t["state"] != "FAIL" else None,
+         t["seconds"], t["state"] or "COMPLETE")
+        for t in trials if t["state"] != "LATE"
+    ]
     schema = "model string, number int, params map<string,string>, value double, seconds double, state string"
     return spark.createDataFrame(history, schema)
 
 
+def budgeted_search(
+    df: DataFrame, names, budget_rows: int, spec: FeatureSpec = FeatureSpec(), k: int = 3, seed: int = SEED, rungs: int = 3, spaces: dict | None = None
+) -> DataFrame:
+    """Search over several families until ``budget_rows`` rows have been trained on, on nested samples of entities.
+
+    Rung r of ``rungs`` trains on a share 2^(r + 1 - rungs) of a fold's entities; as a hash chooses them, each rung
+    holds the one below, and entities stay whole.  All rungs are scored on the fold's whole held-out rows.  A family
+    either begins a trial on rung 0, or, as soon as a rung has two finished trials for each one that left it and one
+    more to leave, lets its best go one rung up.  The next family is one without a trial, then the one that last gained
+    most average precision per row trained (the least trained one on a tie).  A step that the budget can't pay is not
+    made, and a family that can't pay any step is out.  Everything is counted in rows, so reruns make the same steps.
+
+    Returns the history ``(model, number, rung, params, value, rows, seconds, state)``, one row a trial and rung;
+    ``COMPLETE`` is a trial's state on the top rung, ``RUNG`` below it, ``FAIL`` if it can't be fitted.
+    """
+    spark, spaces = df.sparkSession, spaces or SPACES
+    frames, steps = _cv_frames(df, spec, k, seed), 1 << 20
+    dealt = F.pmod(F.xxhash64(F.col(spec.entity).cast("string"), F.lit(seed)), F.lit(steps))
+    sampled = []
+    for rung in range(rungs):
+        some = [f[2].where(dealt < (steps >> (rungs - 1 - rung))) for f in frames]
+        sampled.append([(rows, rows.count()) for rows in some])
+    cost = [sum(n for _, n in of_rung) for of_rung in sampled]
+    rngs = {name: random.Random(f"{name}|{seed}") for name in names}
+    arms = {name: {"done": [[] for _ in range(rungs)], "left": [set() for _ in range(rungs)], "best": 0.0, "gain": None, "rows": 0, "open": True} for name in names}
+    history, spent, params_of = [], 0, {}
+    while True:
+        choice = sorted((a["gain"] is not None, -(a["gain"] or 0.0), a["rows"], i) for i, a in enumerate(arms.values()) if a["open"])
+        if not choice:
+            break
+        name = list(names)[choice[0][3]]
+        arm, number, rung = arms[name], None, 0
+        for r in range(rungs - 2, -1, -1):
+            waiting = [(value, -n) for value, n in arm["done"][r] if n not in arm["left"][r]]
+            if waiting and len(arm["done"][r]) >= 2 * (len(arm["left"][r]) + 1):
+                number, rung = -max(waiting)[1], r + 1
+                break
+        if spent + cost[rung] > budget_rows:
+            arm["open"] = False
+            continue
+        if number is None:
+            number = sum(key[0] == name for key in params_of)
+            params_of[name, number] = draw(spaces[name], rngs[name])
+        else:
+            arm["left"][rung - 1].add(number)
+        begun, params = time.time(), params_of[name, number]
+        calls = [lambda f=f, rows=rows, n=n: fold_value(f, name, params, spec, rows, n) for f, (rows, n) in zip(frames, sampled[rung], strict=True)]
+        values = concurrently(spark, calls, k)
+        spent, arm["rows"] = spent + cost[rung], arm["rows"] + cost[rung]
+        value = None if None in values else statistics.fmean(values)
+        arm["gain"] = max(0.0, (value or 0.0) - arm["best"]) / max(cost[rung], 1)
+        if value is not None:
+            arm["best"] = max(arm["best"], value)
+            arm["done"][rung].append((value, number))
+        state = "FAIL" if value is None else "COMPLETE" if rung == rungs - 1 else "RUNG"
+        history.append((name, number, rung, {p: str(v) for p, v in params.items()}, value, cost[rung], time.time() - begun, state))
+        if cost[rung] == 0:
+            arm["open"] = False
+    schema = "model string, number int, rung int, params map<string,string>, value double, rows long, seconds double, state string"
+    return spark.createDataFrame(history, schema)
+
+
 def refit_best(
     trials: DataFrame, train: DataFrame, val: DataFrame, scores_path: str, spec: FeatureSpec = FeatureSpec(), spaces: dict | None = None
 ) -> tuple[dict[str, TrainedModel], DataFrame]:
@@ -338,35 +456,13 @@ def rank_metrics(panel: DataFrame, metrics, lower_is_better=("brier", "log_loss"
     return long.withColumn("rank", F.rank().over(W.partitionBy("metric").orderBy(signed)))
 
 
-def balanced_copies(df: DataFrame, label: str = "y") -> DataFrame:
-    """Repeat positive rows so that both classes weigh about the same."""
-    shares = df.agg((F.count_if(F.col(label) == 0) / F.greatest(F.count_if(F.col(label) == 1), F.lit(1))).alias("r")).scalar()
-    copies = F.when(F.col(label) == 1, F.greatest(F.lit(1), F.round(shares).cast("int"))).otherwise(F.lit(1))
-    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
-
-
-def train_neural_net(
-    train: DataFrame, spec: FeatureSpec = FeatureSpec(), hidden=(64, 32), max_iter=(15, 30), block_size: int = 256
-) -> TrainedModel:
-    """Feed-forward net on class-balanced rows.  Rows held out at random choose among the iteration limits."""
+def train_neural_net(train: DataFrame, spec: FeatureSpec = FeatureSpec(), **settings) -> TrainedModel:
+    """Feed-forward net with weighted positives; a tenth of the rows, held out at random, ends the training early."""
     encoder = fit_encoder(train, spec)
-    prepared = hold_out(spread(encoder.prepare_train(train), spec.key), spec.key).withColumn("label", F.col(spec.label).cast("double"))
+    prepared = spread(hold_out(encoder.prepare_train(train), spec.key), spec.key).withColumn("label", F.col(spec.label).cast("double"))
     stages = Pipeline(stages=encoder.stages(train.sparkSession)).fit(prepared)
-    vectors = stages.transform(prepared).select(spec.key, spec.label, "label", "features", "is_validation").persist()
-    layers = [len(encoder.feature_names()), *hidden, 2]
-    learn, held = balanced_copies(vectors.where(~F.col("is_validation")), spec.label), vectors.where("is_validation")
-    best, best_value = None, None
-    for limit in max_iter:
-        net = MultilayerPerceptronClassifier(layers=layers, maxIter=limit, blockSize=block_size, seed=SEED).fit(learn)
-        if len(max_iter) == 1:
-            best = net
-            break
-        scored = net.transform(held).withColumn("p", probability())
-        value = ranking_scores(scored, ScoreRoles(spec.key, spec.label, "p")).first().pr_auc or 0.0
-        if best_value is None or value > best_value:
-            best, best_value = net, value
-    vectors.unpersist()
-    return TrainedModel("neural_net", encoder, VectorModel(stages, best))
+    rows = stages.transform(prepared).select("features", "label", "is_validation")
+    return TrainedModel("neural_net", encoder, VectorModel(stages, fit_net(rows, NetSettings(**settings))))
 
 
 def align_scores(scores: DataFrame, models, key: str = "claim_id", label: str = "y") -> DataFrame:

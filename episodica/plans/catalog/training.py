@@ -124,7 +124,8 @@ def benchmark(spark, sf):
 
 def _trials(spark, sf):
     def build():
-        return L.search(_train(spark, sf), ["boosted_trees", "logistic_regression"], 2, SPEC)
+        names = ["logistic_regression", "boosted_trees"]
+        return L.search(_train(spark, sf), names, 8, SPEC)
 
     return _once(spark, sf, "trials", build)
 
@@ -180,9 +181,10 @@ def best_trial(spark, sf):
 
 @query("l9_budgeted_search")
 def budgeted_search(spark, sf):
-    """Families take turns until the budget is over; each gets one trial, which is all that this budget allows anywhere."""
-    trials = L.search(_train(spark, sf), ["logistic_regression", "boosted_trees"], 50, SPEC, budget_seconds=0.0)
-    return trials.groupBy("model", "state").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("best_value"))
+    """Families compete for a budget of six times the training rows, on nested samples of entities."""
+    rows = _train(spark, sf)
+    trials = L.budgeted_search(rows, ["logistic_regression", "boosted_trees"], 6 * rows.count(), SPEC)
+    return trials.groupBy("model", "rung", "state").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("best_value"), F.sum("rows").alias("rows"))
 
 
 def _base_scores(spark, sf):
