@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from episodica.operators.compiled import CompiledScorer
 from episodica.operators.score import Scorer
 
 
@@ -27,3 +28,15 @@ def score_stream(requests: DataFrame, scorer: Scorer, out: str, checkpoint: str,
 
     writer = requests.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def score_compiled(requests: DataFrame, scorer: CompiledScorer, out: str, checkpoint: str, trigger=None) -> list[StreamingQuery]:
+    """The same two outputs for a scorer that is an expression: two plain streams into files, ``scored`` and ``quarantine``.
+
+    No batch function runs on the driver; the file sink's own log makes each batch count once.
+    """
+    parts = {"scored": scorer.score(requests), "quarantine": scorer.checked(requests)[1]}
+    return [
+        part.writeStream.format("parquet").option("checkpointLocation", f"{checkpoint}/{name}").trigger(**(trigger or {"availableNow": True})).start(f"{out}/{name}")
+        for name, part in parts.items()
+    ]
