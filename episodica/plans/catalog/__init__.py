@@ -2,4 +2,4 @@
 
 from episodica.plans.catalog.registry import ORACLE, QUERIES  # noqa: F401  (filled by the imports below)
 from episodica.plans.catalog import cohort, decisions, evaluation, fits, fixed, rates, splits, training  # noqa: F401
-from episodica.plans.catalog import inputs  # noqa: F401  (reuses queries of the others)
+from episodica.plans.catalog import given, inputs  # noqa: F401  (reuse queries of the others)
