@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from episodica.functions import scalars as S
+from episodica.functions.joins import salted_join
 from episodica.functions.ordered import (
     exact_quantiles,
     global_cumsum,
@@ -18,6 +19,7 @@ from episodica.functions.ordered import (
     shuffle_rank,
     value_counts,
 )
+from episodica.functions.sketch import approx_quantiles
 from episodica.roles import ScoreRoles
 from episodica.sources.shared import store
 
@@ -231,19 +233,28 @@ def quantile_reliability(
     n_bins: int = 15,
     upper_side: bool = True,
     digits: int | None = 9,
+    approx: bool = False,
 ) -> DataFrame:
     """``(by, bin, mean_pred, frac_pos, n)`` over quantile bins; empty bins do not appear.
 
     A score equal to an inner edge belongs to the bin above it (``upper_side``) or below it.  Edges
-    and scores are compared after rounding to ``digits`` so that interpolation noise moves no row.
+    and scores are compared after rounding to ``digits`` so that interpolation noise moves no row.  With ``approx``
+    the edges come from a sketch per group, off by a bounded rank: the rows are read twice and never put in order.
     """
     by = list(by)
-    counts = score_counts(df, roles, by)
     names = {f"_e{i}": i / n_bins for i in range(1, n_bins)}
     rounded = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
-    quantiles = exact_quantiles(counts, roles.score, names, by, weight="n")
+    if approx:
+        counts = df.where(F.col(roles.score).isNotNull()).select(*by, roles.key, roles.score, F.lit(1).alias("n"), F.col(roles.label).cast("bigint").alias("pos"))
+        quantiles = approx_quantiles(df, roles.score, names, by)
+    else:
+        counts = score_counts(df, roles, by)
+        quantiles = exact_quantiles(counts, roles.score, names, by, weight="n")
     edges = quantiles.select(*by, F.array(*[rounded(F.col(c)) for c in names]).alias("_edges"))
-    if by:
+    if by and approx:
+        # rows, not counts: a group may have most of them
+        joined = salted_join(counts, edges, by, "inner", roles.key, null_safe=True)
+    elif by:
         joined = null_safe_join(counts, edges, by)
     else:
         joined = counts.withColumn("_edges", edges.select("_edges").scalar())

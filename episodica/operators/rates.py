@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from episodica.functions import scalars as S
 from episodica.functions.joins import salted_join
 from episodica.functions.ordered import average_ranks, exact_quantiles, null_safe_join
+from episodica.functions.sketch import approx_quantiles
 from episodica.sources.shared import store
 
 
@@ -146,7 +147,12 @@ def spearman(df: DataFrame, columns) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
-def percentile_caps(df: DataFrame, columns, low: float = 0.05, high: float = 0.95) -> DataFrame:
-    """Lower and upper percentile of each column: ``(feature, low, high)`` from the distinct values."""
+def percentile_caps(df: DataFrame, columns, low: float = 0.05, high: float = 0.95, approx: bool = False) -> DataFrame:
+    """Lower and upper percentile of each column: ``(feature, low, high)`` from the distinct values.
+
+    With ``approx`` they come from a sketch per column, in one pass and off by a bounded rank.
+    """
     stacks = F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns]))
+    if approx:
+        return approx_quantiles(df.select(stacks), "value", {"low": low, "high": high}, ["feature"]).drop("n")
     return exact_quantiles(df.select(stacks), "value", {"low": low, "high": high}, ["feature"])

@@ -6,13 +6,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from episodica.functions import scalars as S
-from episodica.functions.ordered import average_ranks
+from episodica.functions.ordered import average_ranks, null_safe_join
+from episodica.functions.sketch import merge_sketches, quantile_sketches, rank_error, rank_is_close, sketch_quantiles
 from episodica.operators import metrics as M
 from episodica.operators import rates as R
 from episodica.plans import views as V
 from episodica.plans.catalog.cohort import wilson_sql
 from episodica.plans.catalog.registry import query, rnd
 from episodica.roles import CONDITION_FLAGS
+from episodica.sources.shared import store
 
 RATE = f"k, n, {rnd('k::DOUBLE / n', 'rate')}, {wilson_sql()}"
 
@@ -221,3 +223,28 @@ def label_encoding(spark, sf):
     from episodica.operators.explain import label_encoding
 
     return label_encoding(V.cohort(spark, sf), ("sex", "race", "age_bin", "admit_dx_chapter", "admit_dx_code", "drg_code"))
+
+
+# ---------------------------------------------------------------- sketches per ship day, merged over the days of a year
+_SKETCHED = "l_extendedprice"
+
+
+@query(
+    "d22_sketch_caps",
+    f"SELECT l_returnflag, CAST(year(l_shipdate) AS BIGINT) AS year, count({_SKETCHED}) AS n, TRUE AS low_is_close, TRUE AS high_is_close FROM lineitem GROUP BY ALL HAVING count({_SKETCHED}) > 0",
+)
+def sketch_caps(spark, sf):
+    """Percentile caps from sketches of single days, merged per year: their true ranks are within the error of a sketch."""
+    rows = V.table(spark, sf, "lineitem").select("l_returnflag", "l_shipdate", F.year("l_shipdate").alias("year"), F.col(_SKETCHED).cast("double").alias("v"))
+    daily = store(quantile_sketches(rows, "v", ["l_returnflag", "l_shipdate"]), "daily-sketches")
+    yearly = merge_sketches(daily.withColumn("year", F.year("l_shipdate")), ["l_returnflag", "year"])
+    group = ["l_returnflag", "year"]
+    caps = store(sketch_quantiles(yearly, {"low": 0.05, "high": 0.95}, group), "caps")
+    # one row a group and value, so that no group meets its caps row by row
+    counts = rows.groupBy(*group, "v").agg(F.count(F.lit(1)).alias("_c"))
+    ranks = null_safe_join(counts, caps, group).groupBy(*group, "n").agg(
+        *[F.sum(F.when(test, F.col("_c")).otherwise(0)).alias(f"{c}_{side}") for c in ("low", "high") for side, test in (("below", F.col("v") < F.col(c)), ("upto", F.col("v") <= F.col(c)))]
+    )
+    # three times the error at 99 % confidence
+    close = [rank_is_close(F.col(f"{c}_below"), F.col(f"{c}_upto"), F.col("n"), p, 3 * rank_error()).alias(f"{c}_is_close") for c, p in (("low", 0.05), ("high", 0.95))]
+    return ranks.select(*group, "n", *close)
