@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from episodica.functions.joins import salted_join
 from episodica.llm.arrow import annotate
 from episodica.llm.components import components, renamed
 from episodica.llm.words import SPACED, U, Words, mix, text_words, window_hashes
@@ -75,8 +76,8 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.n
     return (equal - chance) / (1 - chance)
 
 
-def sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Per row ``doc`` (the key), the set's fingerprint ``f1``, ``f2``, ``n_shingles`` and ``bands`` (null without words)."""
+def sketch(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
+    """Per row ``doc`` (the kept columns), the set's fingerprint ``f1``, ``f2``, ``n_shingles`` and ``bands`` (null without words)."""
 
     def start():
         def work(batch):
@@ -90,14 +91,19 @@ def sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
 
         return work
 
-    return annotate(docs, [key], {"_text": F.col(text)}, "f1 long, f2 long, n_shingles long, bands array<long>", start)
+    return annotate(docs, keep, {"_text": F.col(text)}, "f1 long, f2 long, n_shingles long, bands array<long>", start)
 
 
-def set_table(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
-    """``id`` and ``members`` (the full sorted set) of nodes, from a document that has the node's fingerprint."""
-    wanted = nodes.select("id", "f1", "f2", F.col("first_key").alias("_key"))
-    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    texts = texts.join(wanted, texts["_key"].eqNullSafe(wanted["_key"])).select("id", "f1", "f2", "_text")
+def set_table(docs: DataFrame, nodes: DataFrame, text: str) -> DataFrame:
+    """``id`` and ``members`` (the full sorted set) of nodes, from a document that has the node's fingerprint.
+
+    A node knows the key and the text's hash of one of its documents, so rows that share a key (or have none) meet the
+    nodes of their own text only.
+    """
+    wanted = nodes.select("id", "f1", "f2", F.col("source.key").alias("_key"), F.col("source.hash").alias("_hash"))
+    texts = docs.select(F.col("key").alias("_key"), F.col("hash").alias("_hash"), F.col(text).alias("_text"))
+    same = texts["_key"].eqNullSafe(wanted["_key"]) & (texts["_hash"] == wanted["_hash"])
+    texts = texts.join(wanted, same).select("id", "f1", "f2", "_text")
 
     def start():
         def work(batch):
@@ -121,7 +127,8 @@ def set_table(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFra
 def likely(pairs: DataFrame, nodes: DataFrame, floor: float) -> DataFrame:
     """Pairs (a, b) whose estimated similarity reaches ``floor``."""
     side = nodes.select("id", "bands", "n_shingles")
-    joined = pairs.join(side.toDF("a", "bands_a", "n_a"), "a").join(side.toDF("b", "bands_b", "n_b"), "b")
+    # a hub may have most of the pairs
+    joined = salted_join(pairs, side.toDF("a", "bands_a", "n_a"), ["a"], "inner", "b").join(side.toDF("b", "bands_b", "n_b"), "b")
 
     def run(batches):
         for batch in batches:
@@ -188,7 +195,7 @@ def across_parts(groups: DataFrame, nodes: DataFrame, sets: DataFrame, percent:
     """
     size = groups.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
     size = store(size.where("low != high").withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).drop("high"), "split")
-    crowd = groups.join(size, "hub")
+    crowd = salted_join(groups, size, ["hub"], "inner", "id")
     own, others = F.pmod(F.hash("id"), F.col("blocks")), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     asking = crowd.where("label != low").select("hub", "id", "label", F.lit(True).alias("asks"), own.alias("x"), others.alias("y"))
     asked = crowd.select("hub", "id", "label", F.lit(False).alias("asks"), others.alias("x"), own.alias("y"))
@@ -237,23 +244,29 @@ def find_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     most bands with others.  A hub around which all nodes then have one label is finished.  Around the others,
     nodes that share a band and have different labels are compared too (``across_parts``), so no link is lost.
 
+    Keys and buckets that hold many rows are spread over tasks by ``salted_join``.
+
     Texts without words (null, empty) have an empty set and are linked with nothing.  Rows with the same key are one
-    document to ``kept``.  Null keys can be linked, but a group's id is null only if all its keys are.
+    document to ``kept``; they are told apart by their texts' hashes.  Null keys can be linked, but a group's id is null only if all its keys are.
     """
-    docs = docs.select(key, text)
-    rows = store(sketch(docs, key, text).select(F.col("doc")[key].alias("key"), "f1", "f2", "n_shingles", "bands"), "sketches")
+    docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
+    rows = store(sketch(docs, ["key", "hash"], "text").select("doc.key", "doc.hash", "f1", "f2", "n_shingles", "bands"), "sketches")
     nodes = store(
         rows.where("n_shingles > 0").groupBy("f1", "f2")
-        .agg(F.min("key").alias("first_key"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+        .agg(
+            F.min("key").alias("first_key"), F.first(F.struct("key", "hash")).alias("source"),
+            F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
+        )
         .withColumn("id", F.monotonically_increasing_id()), "nodes",
     )
     banded = nodes.select("id", F.posexplode("bands").alias("band", "value"))
     buckets = store(banded.groupBy("band", "value").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
-    crowd = store(banded.join(buckets, ["band", "value"]).select("band", "value", "id", "size"), "crowd")
+    bucket, sizes = ["band", "value"], buckets.withColumnRenamed("size", "_n")
+    crowd = store(salted_join(banded, buckets, bucket, "inner", "id", sizes).select(*bucket, "id", "size"), "crowd")
     popular = store(crowd.groupBy("id").agg(F.sum("size").alias("weight")), "popular")
-    sets = store(set_table(docs, nodes.join(popular, "id", "left_semi"), key, text), "sets")
-    hubs = store(crowd.join(popular, "id").groupBy("band", "value").agg(F.max_by("id", "weight").alias("hub")), "hubs")
-    pairs = crowd.join(hubs, ["band", "value"]).where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    sets = store(set_table(docs, nodes.join(popular, "id", "left_semi"), "text"), "sets")
+    hubs = store(crowd.join(popular, "id").groupBy(*bucket).agg(F.max_by("id", "weight").alias("hub")), "hubs")
+    pairs = salted_join(crowd, hubs, bucket, "inner", "id", sizes).where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     pairs = store(pairs, "pairs")
     links = store(confirmed(store(likely(pairs, nodes, floor), "likely"), sets, percent), "confirmed")
     labels = store(renamed(popular.select("id", F.col("id").alias("label")), components(links)), "labels")

@@ -7,6 +7,7 @@ from episodica.llm.decontaminate import find_contamination
 from episodica.llm.language import identify_language
 from episodica.llm.lm import score_texts
 from episodica.llm.mixture import mix_sources
+from episodica.llm import near_duplicates
 from episodica.llm.near_duplicates import find_near_duplicates
 from episodica.llm.pii import find_personal_data
 from episodica.llm.quality import score_quality
@@ -52,6 +53,24 @@ def test_null_ids_in_a_group(spark):
     assert keyed((r.doc_id, r.component_id, r.kept) for r in got) == keyed([(None, 3, False), (7, 3, False), (3, 3, True)])
 
 
+def test_many_rows_under_one_id(spark, monkeypatch):
+    """Rows without an id, and rows of one id, meet the nodes of their own text: no product of rows and nodes."""
+    texts = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(400)]
+    rows = [(i, t + end) for t in texts for i in (None, 5) for end in ("", " more")]
+    taken = []
+    whole = near_duplicates.annotate
+
+    def counted(df, *rest):
+        if "members binary" in rest[2]:
+            taken.append(df.count())
+        return whole(df, *rest)
+
+    monkeypatch.setattr(near_duplicates, "annotate", counted)
+    got = find_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 1600 and {r.component_id for r in got} == {5} and sum(r.kept for r in got) == 800
+    assert taken == [800]
+
+
 def test_quality(spark, hard, nothing):
     none = spark.createDataFrame([], LABELS)
     assert {r.score for r in score_quality(hard, none, hard.columns).collect()} == {0.5}
