@@ -97,33 +97,34 @@ def top_fraction(spark, sf):
     return M.top_rows(V.scores(spark, sf), ROLES, ["model"]).select("model", "claim", "y")
 
 
-def _points(m: str, points: str, x: str, y: str) -> str:
-    return f"""lastp AS (SELECT max(idx) AS last FROM {points}),
-slots AS (SELECT j, CASE WHEN last < 200 THEN j ELSE j * last // 199 END AS pos_at FROM lastp, range(0, 200) t(j) WHERE last >= 200 OR j <= last)
-SELECT '{m}' AS model, j AS idx, {rnd(x, x)}, {rnd(y, y)} FROM slots JOIN {points} ON {points}.idx = pos_at"""
+def _points(points: str, x: str, y: str) -> str:
+    return f"""lastp AS (SELECT model, max(idx) AS last FROM {points} GROUP BY model),
+slots AS (SELECT model, j, CASE WHEN last < 200 THEN j ELSE j * last // 199 END AS pos_at FROM lastp, range(0, 200) t(j) WHERE last >= 200 OR j <= last)
+SELECT s.model, j AS idx, {rnd(x, x)}, {rnd(y, y)} FROM slots s JOIN {points} ON {points}.model = s.model AND {points}.idx = pos_at"""
+
+
+EACH = f"{V.SCORES}, g AS (SELECT model, p, count(*) AS n, sum(y)::BIGINT AS pos, (count(*) - sum(y))::BIGINT AS neg FROM scores GROUP BY model, p), tot AS (SELECT model, count(*) AS points, sum(pos)::DOUBLE AS pos, sum(neg)::DOUBLE AS neg FROM g GROUP BY model)"
 
 
 @query(
     "i6_pr_curve",
-    f"""WITH {ONE}, c AS (SELECT p, sum(n) OVER w AS cn, sum(pos) OVER w AS cp, count(*) OVER () - row_number() OVER w AS idx FROM g WINDOW w AS (ORDER BY p DESC)),
- pts AS (SELECT idx, cp::DOUBLE / (SELECT sum(pos) FROM g) AS recall, cp::DOUBLE / cn AS "precision" FROM c
-   UNION ALL SELECT (SELECT count(*) FROM g), 0.0, 1.0), {_points('m1', 'pts', 'recall', '"precision"').replace('AS "precision"', 'AS "precision"')}""",
+    f"""WITH {EACH}, c AS (SELECT model, p, sum(n) OVER w AS cn, sum(pos) OVER w AS cp, count(*) OVER (PARTITION BY model) - row_number() OVER w AS idx FROM g WINDOW w AS (PARTITION BY model ORDER BY p DESC)),
+ pts AS (SELECT c.model, idx, cp::DOUBLE / tot.pos AS recall, cp::DOUBLE / cn AS "precision" FROM c JOIN tot ON tot.model = c.model
+   UNION ALL SELECT model, points, 0.0, 1.0 FROM tot), {_points('pts', 'recall', '"precision"')}""",
 )
 def pr_curve(spark, sf):
-    rows = V.scores(spark, sf).where("model = 'm1'")
-    return M.pr_curve(rows, ROLES, ["model"], max_points=200)
+    return M.pr_curve(V.scores(spark, sf), ROLES, ["model"], max_points=200)
 
 
 @query(
     "i6_roc_curve",
-    f"""WITH {ONE}, c AS (SELECT p, pos, neg, sum(neg) OVER w AS cf, sum(pos) OVER w AS cp, lead(pos) OVER w AS np, lead(neg) OVER w AS nn, row_number() OVER w AS r FROM g WINDOW w AS (ORDER BY p DESC)),
- kept AS (SELECT *, row_number() OVER (ORDER BY p DESC) AS idx FROM c WHERE r = 1 OR np IS NULL OR np <> pos OR nn <> neg),
- pts AS (SELECT idx, cf::DOUBLE / (SELECT sum(neg) FROM g) AS fpr, cp::DOUBLE / (SELECT sum(pos) FROM g) AS tpr FROM kept UNION ALL SELECT 0, 0.0, 0.0),
- {_points('m1', 'pts', 'fpr', 'tpr')}""",
+    f"""WITH {EACH}, c AS (SELECT model, p, pos, neg, sum(neg) OVER w AS cf, sum(pos) OVER w AS cp, lead(pos) OVER w AS np, lead(neg) OVER w AS nn, row_number() OVER w AS r FROM g WINDOW w AS (PARTITION BY model ORDER BY p DESC)),
+ kept AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY p DESC) AS idx FROM c WHERE r = 1 OR np IS NULL OR np <> pos OR nn <> neg),
+ pts AS (SELECT k.model, idx, cf::DOUBLE / tot.neg AS fpr, cp::DOUBLE / tot.pos AS tpr FROM kept k JOIN tot ON tot.model = k.model UNION ALL SELECT model, 0, 0.0, 0.0 FROM tot),
+ {_points('pts', 'fpr', 'tpr')}""",
 )
 def roc_curve(spark, sf):
-    rows = V.scores(spark, sf).where("model = 'm1'")
-    return M.roc_curve(rows, ROLES, ["model"], max_points=200)
+    return M.roc_curve(V.scores(spark, sf), ROLES, ["model"], max_points=200)
 
 
 def _edges(n_bins: int, by: str) -> str:
