@@ -56,7 +56,7 @@ def test_run(spark):
 
 def test_sql(spark):
     con = duckdb.connect()
-    for name in ("documents", "benchmark"):
+    for name in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     for name, sql in ORACLE.items():
         want, got = con.execute(sql).fetchdf(), QUERIES[name](spark, SF).toPandas()
