@@ -127,3 +127,32 @@ def test_cut_points_are_quantiles(spark):
     for f in (0, 3):
         shares = np.searchsorted(np.sort(x[:, f]), edges[f], "right") / 20000
         assert np.abs(shares - np.arange(1, 255) / 255).max() < 3 / 1020
+
+
+def test_handed_rows_are_bits_and_cuts_stay_the_same():
+    rng = np.random.default_rng(5)
+    bins = (rng.random((3000, 19)) < 0.2).astype(np.uint8)
+    bins[:, [0, 7]] = rng.integers(0, 200, (3000, 2))
+    bins[:, 4] = 0
+    small = T.slim(bins, [0, 7])
+    assert small.shape == (3000, 2 + 3) and (T.full(small, [0, 7], 19) == bins).all()
+    weight, labels = rng.integers(1, 4, 3000).astype(float), (rng.random(3000) < 0.3).astype(float)
+    marks, shape = np.stack([weight, weight * labels]), (19, 200)
+    cells = (bins + np.arange(19) * 200).ravel()
+    sums = [np.bincount(cells, np.repeat(m, 19), 19 * 200).reshape(shape) for m in marks]
+    for units in (None, rng.random(19)):
+        for some in (np.arange(19), np.array([1, 2, 4, 9]), np.array([0, 7]), np.array([4])):
+            want = T.gini_split(*[s[some] for s in sums], 50, units=None if units is None else units[some])
+            got = T.best_cut(bins.T[some], marks, bins.max(axis=0)[some], marks[0].sum(), marks[1].sum(), 50, None if units is None else units[some])
+            assert got == (want and want[1:3])
+
+
+def test_a_task_gives_out_its_sums_once(table, spark):
+    df, _, _ = table
+    settings = T.ForestSettings(trees=2, leaf=8)
+    edges = T.bin_edges(df, 5)
+    packed = T.pack_rows(df.coalesce(1), edges).cache()
+    levels = max(len(e) for e in edges) + 1
+    found = T.split_tops(packed.union(packed).coalesce(1), {0: {}, 1: {}}, [(0, 0), (1, 0)], settings, 5, levels)
+    once = T.split_tops(packed, {0: {}, 1: {}}, [(0, 0), (1, 0)], settings, 5, levels)
+    assert {k: (r.feature, r.cut, r.total) for k, r in found.items()} == {k: (r.feature, r.cut, 2 * r.total) for k, r in once.items()}
