@@ -277,7 +277,7 @@ def year_join(spark, sf):
     claims = P.parse_claims(V.raw_claims(spark, sf)).select("claim_id", "beneficiary_id", "sample", "admit_year")
     snaps = P.parse_snapshots(V.raw_snapshots(spark, sf)).withColumn("matched", F.lit(True))
     side = snaps.select("beneficiary_id", "sample", F.col("snapshot_year").alias("admit_year"), "birth_date", "state_code", "matched")
-    joined = salted_join(claims, side, ["beneficiary_id", "sample", "admit_year"], "left", "claim_id")
+    joined = salted_join(claims, side, ["beneficiary_id", "sample", "admit_year"], "left", "claim_id", shuffled=True)
     return joined.select("claim_id", "birth_date", "state_code", F.coalesce("matched", F.lit(False)).alias("matched"))
 
 

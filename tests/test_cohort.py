@@ -82,6 +82,25 @@ def test_snapshot_fallback(spark):
     assert C.duplicate_snapshots(snaps, ["id", "syear"]).count() == 0
 
 
+def test_snapshots_are_not_broadcast(spark):
+    """Spark takes packed years for small; they grow with the entities and must not pass through the driver."""
+    facts = spark.range(2000).selectExpr("id % 50 as id", "id as claim", "cast(2000 + id % 3 as int) as year")
+    snaps = spark.range(150).selectExpr("id % 50 as id", "cast(2000 + id div 50 as int) as syear", "if(id % 7 = 0, null, string(id)) as birth", "string(id) as attr")
+    got = attach(facts, snaps)
+    assert "SortMergeJoin" in got._jdf.queryExecution().executedPlan().toString()
+    born = {(i % 50, 2000 + i // 50): (str(i) if i % 7 else None, str(i)) for i in range(150)}
+    for r in got.collect():
+        own = born[r.id, r.year]
+        assert (r.birth, r.attr) == (own if own[0] else born[r.id, 2002])
+
+
+def test_year_join_is_not_broadcast(spark):
+    from episodica.plans.catalog import QUERIES
+
+    got = QUERIES["c2_year_join"](spark, "/root/testdata/sf0.001")
+    assert "SortMergeJoin" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_exclusions_are_three_valued(spark):
     day = lambda n: DAY0 + dt.timedelta(n)
     rows = [
