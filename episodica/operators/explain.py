@@ -1,6 +1,6 @@
 """Attributions: exact for linear models, path-dependent Shapley values for tree models, local surrogates.
 
-Row-wise Python runs only inside Arrow batches that Spark partitions (``mapInPandas``) or on small
+Row-wise Python runs only inside Arrow batches that Spark partitions (``mapInArrow``) or on small
 fixed-size groups (``applyInPandas``); everything that summarises attributions is plain DataFrame work.
 """
 
@@ -10,6 +10,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,11 +20,10 @@ from pyspark.sql import functions as F
 from episodica.functions import scalars as S
 from episodica.functions.ordered import exact_quantiles, global_cumsum, null_safe_join, shuffle_rank
 from episodica.operators.encode import filled_text
-from episodica.operators.linear import as_array
+from episodica.operators.linear import as_array, matrix
 from episodica.operators.trees import KINDS, TreeEnsemble
 from episodica.sources.shared import shared_path, store
 
-PHI_SCHEMA = "feature string, value double, phi double"
 
 
 def vector_mean(df: DataFrame, features: str = "features") -> list[float]:
@@ -92,22 +92,14 @@ def leaf_paths(nodes: pd.DataFrame, weight: float, votes: bool) -> list[tuple[fl
     return out
 
 
-def leaf_shapley(x: np.ndarray, value: float, conditions, phi: np.ndarray) -> float:
-    """Add one leaf's Shapley values to ``phi`` (rows x features); returns the leaf's share of the base value.
-
-    With a subset S of the path's features known, the leaf is worth value * prod(inside_f, f in S) *
-    prod(cover_f, f not in S).  The average over all orders follows from the coefficients of
-    prod(cover_j + inside_j * t) over the other features, weighted by k! (d-1-k)! / d!.
-    """
+def condition_values(inside: np.ndarray, value: float, conditions) -> np.ndarray:
+    """Shapley value of each condition (columns) of a leaf, for rows that say which conditions are met."""
     d = len(conditions)
-    base = value * float(np.prod([c[3] for c in conditions])) if d else value
-    if d == 0:
-        return base
-    inside = np.stack([((x[:, f] > lo) & (x[:, f] <= hi)).astype(float) for f, lo, hi, _ in conditions], axis=1)
     cover = np.array([c[3] for c in conditions])
     order = [math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d) for k in range(d)]
-    for i, (f, *_rest) in enumerate(conditions):
-        poly = np.zeros((len(x), d))
+    out = np.empty(inside.shape)
+    for i in range(d):
+        poly = np.zeros((len(inside), d))
         poly[:, 0] = 1.0
         size = 1
         for j in range(d):
@@ -117,7 +109,34 @@ def leaf_shapley(x: np.ndarray, value: float, conditions, phi: np.ndarray) -> fl
             poly[:, :size] *= cover[j]
             poly[:, 1 : size + 1] += shifted
             size += 1
-        phi[:, f] += value * (inside[:, i] - cover[i]) * (poly @ np.array(order))
+        out[:, i] = value * (inside[:, i] - cover[i]) * (poly @ np.array(order))
+    return out
+
+
+def leaf_shapley(x: np.ndarray, value: float, conditions, phi: np.ndarray) -> float:
+    """Add one leaf's Shapley values to ``phi`` (rows x features); returns the leaf's share of the base value.
+
+    With a subset S of the path's features known, the leaf is worth value * prod(inside_f, f in S) *
+    prod(cover_f, f not in S).  The average over all orders follows from the coefficients of
+    prod(cover_j + inside_j * t) over the other features, weighted by k! (d-1-k)! / d!.
+    """
+    d = len(conditions)
+    base = value * float(np.prod([c[3] for c in conditions])) if d else value
+    if d == 0:
+        return base
+    met = [(x[:, f] > lo) & (x[:, f] <= hi) for f, lo, hi, _ in conditions]
+    if 1 << d <= len(x):
+        # rows differ only in which conditions they meet, so each way to meet them is worked out once
+        way = np.zeros(len(x), np.int32)
+        for i, m in enumerate(met):
+            way += m.astype(np.int32) << i
+        parts = condition_values(((np.arange(1 << d)[:, None] >> np.arange(d)) & 1).astype(float), value, conditions)
+        for i, (f, *_rest) in enumerate(conditions):
+            phi[:, f] += np.ascontiguousarray(parts[:, i]).take(way)
+    else:
+        parts = condition_values(np.stack(met, axis=1).astype(float), value, conditions)
+        for i, (f, *_rest) in enumerate(conditions):
+            phi[:, f] += parts[:, i]
     return base
 
 
@@ -136,23 +155,25 @@ def tree_attributions(df: DataFrame, model, names, key: str, features: str = "fe
         scale = (lambda w: w / sum(weights.values())) if votes else (lambda w: 2.0 * w)
         leaves = [leaf for t, table in nodes.items() for leaf in leaf_paths(table, scale(weights[t]), votes)]
     base = start + float(sum(v * float(np.prod([c[3] for c in conds])) if conds else v for v, conds in leaves))
-    shared = spark.sparkContext.broadcast((leaves, list(names)))
+    shared = spark.sparkContext.broadcast((leaves, len(names)))
 
     def explain(batches):
-        paths, labels = shared.value
+        paths, width = shared.value
         for batch in batches:
-            x = np.stack(batch["_x"].to_numpy()) if len(batch) else np.zeros((0, len(labels)))
-            phi = np.zeros(x.shape)
+            # column by column, as the leaves use them
+            x = np.asfortranarray(matrix(batch.column(1), width))
+            phi = np.zeros(x.shape, order="F")
             for value, conditions in paths:
                 leaf_shapley(x, value, conditions, phi)
-            n, m = x.shape
-            yield pd.DataFrame(
-                {key: np.repeat(batch[key].to_numpy(), m), "feature": labels * n, "value": x.ravel(), "phi": phi.ravel()}
-            )
+            ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * width)
+            lists = [pa.ListArray.from_arrays(ends, pa.array(cells.ravel())) for cells in (x, phi)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=[key, "_x", "_phi"])
 
     key_type = df.schema[key].dataType.simpleString()
-    arrays = df.select(key, as_array(df, features).alias("_x"))
-    return arrays.mapInPandas(explain, f"{key} {key_type}, {PHI_SCHEMA}"), base
+    arrays = df.select(key, as_array(df, features).alias("_x")).mapInArrow(explain, f"{key} {key_type}, _x array<double>, _phi array<double>")
+    # one row a feature is Spark's work: a row leaves Python as two arrays
+    labels = F.array(*[F.lit(n) for n in names])
+    return arrays.select(key, F.inline(F.arrays_zip(labels.alias("feature"), F.col("_x").alias("value"), F.col("_phi").alias("phi")))), base
 
 
 def importance(phi: DataFrame) -> DataFrame:

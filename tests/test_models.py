@@ -255,3 +255,16 @@ def test_validation_and_types(spark):
     assert {r.k: r.failed for r in rejected.collect()} == {2: ["age:required", "los:range"], 3: ["age:range"]}
     with pytest.raises(ValueError):
         O.to_feature_types(df, SPEC)
+
+
+def test_ways_to_meet_a_leaf_are_worked_out_once(monkeypatch):
+    """Many rows give what each gives alone, from one small table a leaf."""
+    rng, seen, real = np.random.default_rng(3), [], X.condition_values
+    monkeypatch.setattr(X, "condition_values", lambda inside, *rest: seen.append(len(inside)) or real(inside, *rest))
+    x, conditions = rng.normal(size=(500, 6)), [(1, -np.inf, 0.2, 0.4), (3, -0.5, np.inf, 0.7), (4, -1.0, 0.5, 0.25)]
+    phi, alone = np.zeros(x.shape), np.zeros(x.shape)
+    base = X.leaf_shapley(x, 1.5, conditions, phi)
+    assert seen == [8]
+    assert all(X.leaf_shapley(x[i : i + 1], 1.5, conditions, alone[i : i + 1]) == base for i in range(500))
+    met = np.all([(x[:, f] > lo) & (x[:, f] <= hi) for f, lo, hi, _ in conditions], axis=0)
+    assert np.allclose(phi, alone, atol=1e-12) and np.allclose(phi.sum(axis=1) + base, 1.5 * met, atol=1e-12)
