@@ -25,7 +25,6 @@ from episodica.operators.trees import KINDS, TreeEnsemble
 from episodica.sources.shared import shared_path, store
 
 
-
 def vector_mean(df: DataFrame, features: str = "features") -> list[float]:
     return [float(v) for v in df.select(Summarizer.mean(F.col(features))).first()[0]]
 
