@@ -106,3 +106,20 @@ def test_attributions_add_up_to_the_margin(table):
     total = {r.k: r.s + base for r in phi.groupBy("k").agg(F.sum("phi").alias("s")).collect()}
     for r in model.transform(df).collect():
         assert total[r.k] == pytest.approx(np.log(r.p / (1 - r.p)), abs=1e-9)
+
+
+@pytest.mark.parametrize("product", [1, 7, 1 << 14])
+def test_two_bin_features_are_summed_by_products(product, monkeypatch):
+    monkeypatch.setattr(B, "PRODUCT", product)
+    rng = np.random.default_rng(3)
+    sizes = np.array([2, 5, 1, 2, 2, 9])
+    firsts = np.append(0, np.cumsum(sizes))
+    for n in (0, 1, 40):
+        bins = np.column_stack([rng.integers(0, s, n) for s in sizes]).astype(np.uint8)
+        g, h = rng.normal(size=n), rng.random(n)
+        want = np.zeros((3, firsts[-1]))
+        for row, a, b in zip(bins, g, h, strict=True):
+            want[:, firsts[:-1] + row] += np.array([[1.0], [a], [b]])
+        found = B.histogram(bins, g, h, firsts)
+        assert np.array_equal(found[0], want[0])
+        assert np.allclose(found, want, atol=1e-12)
