@@ -1,9 +1,12 @@
 """Concurrent search with pruning against its serial form, and the budget in rows."""
 
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from episodica.operators import models as L
+from episodica.operators.encode import FittedEncoder
 from test_models import SCHEMA, SPEC, rows
 
 SPACES = {"logistic_regression": {"C": ("log", 1e-5, 10.0), "maxIter": ("choice", (4,))}}
@@ -63,3 +66,27 @@ def test_budget_decides_the_trials(train):
     first = {r.number: r.value for r in large.where("rung = 0").collect()}
     assert up and max(first[n] for n in up) == max(first[n] for n in sorted(first)[: 2 * len(up)])
     assert L.budgeted_search(train, names, 0, SPEC, k=2, rungs=2, spaces=SPACES).count() == 0
+
+
+def test_trials_share_the_stages_of_a_fold(train, monkeypatch):
+    made = []
+    inner = FittedEncoder.stages
+    monkeypatch.setattr(FittedEncoder, "stages", lambda *args: made.append(1) or inner(*args))
+    history = L.search(train, ["logistic_regression"], 3, SPEC, k=2, spaces=SPACES, at_once=2).collect()
+    assert len(history) == 3 and all(r.state == "COMPLETE" for r in history)
+    assert not made
+
+
+def test_rows_of_a_spark_estimator_are_made_once(spark):
+    rows_made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        rows_made.add(1)
+        return x
+
+    rows = spark.range(400).select((F.col("id") % 2).cast("double").alias("label"), counted(F.col("id").cast("double")).alias("x"))
+    stages = Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="features")]).fit(rows)
+    model = L.fit_vectors(L.boosted_trees(400, maxIter=2, maxDepth=2), stages, stages.transform(rows))
+    assert rows_made.value == 400
+    assert model.classifier.getNumTrees == 2
