@@ -14,6 +14,9 @@ from episodica.functions.ordered import average_ranks, exact_quantiles, null_saf
 from episodica.functions.sketch import approx_quantiles
 from episodica.sources.shared import store
 
+# distinct values of a column whose ranks are broadcast: a few MB
+LOOKUP_VALUES = 1 << 16
+
 
 def with_wilson(counts: DataFrame, hits: str = "k", total: str = "n") -> DataFrame:
     low, high = S.wilson_bounds(hits, total)
@@ -126,18 +129,23 @@ def box_summary(df: DataFrame, value: str, by: str, cap: int = 60) -> DataFrame:
 def spearman(df: DataFrame, columns) -> DataFrame:
     """Rank correlation of every pair of columns (complete rows): ``(column_a, column_b, r)``.
 
-    Ranks come from the distinct values of all columns in one pass and are looked up by value.
+    Ranks come from the distinct values of all columns in one pass and are looked up by value: columns with up to
+    ``LOOKUP_VALUES`` distinct values by broadcast, which moves no row, others by one salted join each.
     """
     columns = list(columns)
     complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
     cells = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]))
     ranks = store(average_ranks(complete.select(cells), "value", ["column"]), "ranks")
+    many = {r["column"] for r in ranks.groupBy("column").count().where(F.col("count") > LOOKUP_VALUES).collect()}
     ranked = complete
-    for c in columns:
+    for c in sorted(columns, key=lambda c: c in many):
         own = ranks.where(F.col("column") == c)
         side = own.select(F.col("value").alias(c), F.col("avg_rank").alias(f"_rk_{c}"))
-        other = next(o for o in columns if o != c)
-        ranked = salted_join(ranked, side, [c], "left", other, own.select(F.col("value").alias(c), F.col("n").alias("_n")))
+        if c in many:
+            other = next((o for o in ranked.columns if o != c), c)
+            ranked = salted_join(ranked, side, [c], "left", other, own.select(F.col("value").alias(c), F.col("n").alias("_n"))).drop(c)
+        else:
+            ranked = ranked.join(F.broadcast(side), c, "left").drop(c)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     one = ranked.agg(*[F.corr(f"_rk_{a}", f"_rk_{b}").alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     rows = []

@@ -122,3 +122,24 @@ def test_spearman_against_ml(spark):
     for i, x in enumerate("abc"):
         for j, y in enumerate("abc"):
             assert got[x, y] == pytest.approx(want[i, j], abs=1e-9)
+
+
+def test_spearman_moves_no_rows_for_columns_with_few_values(spark, monkeypatch):
+    rng = random.Random(6)
+    df = spark.createDataFrame([(rng.randrange(3), rng.randrange(40), rng.random()) for _ in range(400)], "a int, b int, c double")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        looked_up = R.spearman(df, ["a", "b", "c"])
+        assert "SortMergeJoin" not in looked_up._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(R, "LOOKUP_VALUES", 20)
+        mixed = R.spearman(df, ["a", "b", "c"])
+        assert mixed._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 2
+        monkeypatch.setattr(R, "LOOKUP_VALUES", 0)
+        joined = R.spearman(df, ["a", "b", "c"])
+        want = {(r.column_a, r.column_b): pytest.approx(r.r, abs=1e-12) for r in looked_up.collect()}
+        assert len(want) == 9
+        for other in (mixed, joined):
+            assert {(r.column_a, r.column_b): r.r for r in other.collect()} == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

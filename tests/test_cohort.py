@@ -52,6 +52,30 @@ def test_sequence_against_loops_with_a_hot_entity(spark, seed):
     assert compute(spark, rows) == brute(rows)
 
 
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_rows_of_small_entities_are_not_joined_back(spark):
+    rows = [(c % 60, c, c * 7 % 400, c * 7 % 400 + c % 12) for c in range(600)]
+    assert compute(spark, rows) == brute(rows)
+    assert "Join" not in final_plan(C.with_sequence(episodes(spark, rows), ROLES))
+    assert "Join" in final_plan(C.with_sequence(episodes(spark, [(0, c, a, d) for _, c, a, d in rows]), ROLES))
+
+
+def test_both_paths_agree_on_odd_rows(spark):
+    """NULL entities, keys and dates, repeated keys and stays."""
+    rng = random.Random(3)
+    maybe = lambda x: None if rng.random() < 0.1 else x
+    day = lambda n: DAY0 + dt.timedelta(n)
+    rows = [(maybe(rng.randrange(8)), maybe(rng.randrange(200)), maybe(day(a)), maybe(day(a + rng.randrange(3)))) for a in rng.choices(range(60), k=400)]
+    df = spark.createDataFrame(rows, "id int, claim int, a date, d date")
+    few, many = (sorted(map(str, f(df, ROLES, 20).collect())) for f in (C.sequence_of_few, C.sequence_of_hot))
+    assert few == many and len(few) == 400
+    assert sorted(map(str, C.with_sequence(df, ROLES, 20).collect())) == many
+
+
 def attach(facts, snaps):
     return C.attach_snapshot(facts, snaps, ["id"], "year", "syear", ["birth", "attr"], "birth", "claim")
 
@@ -94,6 +118,15 @@ def test_snapshots_are_not_broadcast(spark):
         assert (r.birth, r.attr) == (own if own[0] else born[r.id, 2002])
 
 
+def test_snapshots_are_packed_behind_the_shuffle(spark):
+    """Packed before it, they are sorted and spilled by the few tasks that read them."""
+    facts = spark.range(2000).selectExpr("id % 50 as id", "id as claim", "cast(2000 + id % 3 as int) as year")
+    snaps = spark.range(150).selectExpr("id % 50 as id", "cast(2000 + id div 50 as int) as syear", "string(id) as birth", "string(id) as attr")
+    plan = attach(facts, snaps)._jdf.queryExecution().executedPlan().toString().split("\n")
+    steps = [line.lstrip(" :+-").split("(")[0].split(" ")[0] for line in plan]
+    assert ("ObjectHashAggregate", "ObjectHashAggregate") in list(zip(steps, steps[1:]))
+
+
 def test_year_join_is_not_broadcast(spark):
     from episodica.plans.catalog import QUERIES
 
