@@ -214,6 +214,19 @@ def dependence_trend(phi: DataFrame, features=None, n_edges: int = 21, min_rows:
     return means.where(F.col("n") >= min_rows).withColumn("mid", (F.col("low") + F.col("high")) / 2)
 
 
+def trend_and_caps(phi: DataFrame, caps=(0.05, 0.95), more_than: int = 10, least_span: float = 1e-6) -> DataFrame:
+    """Value caps and dependence trend: ``(feature, low, high, bin_low, bin_high, mid, mean_phi, n)``, one row a bin.
+
+    A feature's values are clipped to ``low`` and ``high``; if the quantiles are equal, ``high`` is ``least_span`` above ``low``.
+    Features with at most ``more_than`` distinct values have no trend: one row without a bin.
+    """
+    found = exact_quantiles(phi, "value", {"low": caps[0], "high": caps[1]}, ["feature"])
+    found = found.withColumn("high", F.when(F.col("high") <= F.col("low"), F.col("low") + least_span).otherwise(F.col("high")))
+    many = phi.select("feature", "value").distinct().groupBy("feature").agg(F.count("value").alias("_v")).where(F.col("_v") > more_than)
+    trend = dependence_trend(phi).withColumnsRenamed({"low": "bin_low", "high": "bin_high"}).join(many, "feature", "left_semi")
+    return found.join(trend.select("feature", "bin_low", "bin_high", "mid", "mean_phi", "n"), "feature", "left")
+
+
 def extreme_rows(df: DataFrame, score: str, key: str, n: int = 3) -> DataFrame:
     """The ``n`` highest and ``n`` lowest scored rows with ``risk_bucket`` and ``rank`` from 0."""
     high = df.orderBy(F.desc(score), key).limit(n).withColumn("risk_bucket", F.lit("high"))

@@ -268,3 +268,15 @@ def test_ways_to_meet_a_leaf_are_worked_out_once(monkeypatch):
     assert all(X.leaf_shapley(x[i : i + 1], 1.5, conditions, alone[i : i + 1]) == base for i in range(500))
     met = np.all([(x[:, f] > lo) & (x[:, f] <= hi) for f, lo, hi, _ in conditions], axis=0)
     assert np.allclose(phi, alone, atol=1e-12) and np.allclose(phi.sum(axis=1) + base, 1.5 * met, atol=1e-12)
+def test_trend_comes_with_its_caps(spark):
+    values = [(float(i % 40), float(i % 40) * 2, "f") for i in range(1200)] + [(float(i % 10), 1.0, "few") for i in range(400)] + [(3.0, 1.0, "one")] * 30
+    phi = spark.createDataFrame(values, "value double, phi double, feature string")
+    got = X.trend_and_caps(phi).orderBy("bin_low").toPandas()
+    f = got[got.feature == "f"]
+    want = X.dependence_trend(phi.where("feature = 'f'")).orderBy("low").toPandas()
+    assert len(want) > 10 and (f[["bin_low", "bin_high", "mid", "mean_phi", "n"]].to_numpy() == want[["low", "high", "mid", "mean_phi", "n"]].to_numpy()).all()
+    assert set(f.low) == {np.quantile([v for v, *_ in values[:1200]], 0.05)} and set(f.high) == {np.quantile([v for v, *_ in values[:1200]], 0.95)}
+    rest = got[got.feature != "f"].set_index("feature")
+    assert sorted(rest.index) == ["few", "one"] and rest.mean_phi.isna().all() and rest.low["one"] == 3 and rest.high["one"] == 3 + 1e-6
+
+
