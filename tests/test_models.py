@@ -163,6 +163,19 @@ def test_ensembles(spark):
         L.ensemble_report(scores.where("model = 'a'"), ["a", "b"], "claim_id")
 
 
+def test_no_vote_without_the_score_of_every_model(spark):
+    data = [(k, k % 3 % 2, m, 0.1 * (k % 7) + 0.1 * i, "calib" if k % 2 else "test") for k in range(60) for i, m in enumerate("abc")]
+    schema = "claim_id int, y int, model string, p double, half string"
+    whole = spark.createDataFrame(data, schema)
+    assert {r.model for r in L.ensemble_report(whole, ["a", "b", "c"], "claim_id")[0].collect()} == {"a", "b", "c", "soft_vote", "stacking"}
+    assert L.soft_vote(whole, models=["a", "b", "c"]).where("p is null").count() == 0
+    assert sorted(map(tuple, L.soft_vote(whole, models=["a", "b", "c"]).collect())) == sorted(map(tuple, L.soft_vote(whole).collect()))
+    at = next(i for i, r in enumerate(data) if r[0] == 8 and r[2] == "b")
+    for lost in ([], [(*data[at][:3], None, "test")], [(*data[at][:3], float("nan"), "test")]):
+        with pytest.raises(Exception, match="without the score of every model; key 8"):
+            L.ensemble_report(spark.createDataFrame(data[:at] + data[at + 1 :] + lost, schema), ["a", "b", "c"], "claim_id")[0].collect()
+
+
 # ---------------------------------------------------------------- attributions
 @pytest.fixture(scope="module")
 def vectors(spark):
@@ -240,6 +253,18 @@ def test_dependence_trend(spark):
     assert np.allclose([(r.mid, r.mean_phi, r.n) for r in got], want)
 
 
+def test_trend_comes_with_its_caps(spark):
+    values = [(float(i % 40), float(i % 40) * 2, "f") for i in range(1200)] + [(float(i % 10), 1.0, "few") for i in range(400)] + [(3.0, 1.0, "one")] * 30
+    phi = spark.createDataFrame(values, "value double, phi double, feature string")
+    got = X.trend_and_caps(phi).orderBy("bin_low").toPandas()
+    f = got[got.feature == "f"]
+    want = X.dependence_trend(phi.where("feature = 'f'")).orderBy("low").toPandas()
+    assert len(want) > 10 and (f[["bin_low", "bin_high", "mid", "mean_phi", "n"]].to_numpy() == want[["low", "high", "mid", "mean_phi", "n"]].to_numpy()).all()
+    assert set(f.low) == {np.quantile([v for v, *_ in values[:1200]], 0.05)} and set(f.high) == {np.quantile([v for v, *_ in values[:1200]], 0.95)}
+    rest = got[got.feature != "f"].set_index("feature")
+    assert sorted(rest.index) == ["few", "one"] and rest.mean_phi.isna().all() and rest.low["one"] == 3 and rest.high["one"] == 3 + 1e-6
+
+
 def test_local_surrogate(spark, data, split):
     trained = L.train_model(split[0], "logistic_regression", SPEC, {"maxIter": 20})
     got = X.local_surrogate(split[1], trained, n_each=2, n_samples=200, n_features=4, background=split[0])
@@ -268,15 +293,3 @@ def test_ways_to_meet_a_leaf_are_worked_out_once(monkeypatch):
     assert all(X.leaf_shapley(x[i : i + 1], 1.5, conditions, alone[i : i + 1]) == base for i in range(500))
     met = np.all([(x[:, f] > lo) & (x[:, f] <= hi) for f, lo, hi, _ in conditions], axis=0)
     assert np.allclose(phi, alone, atol=1e-12) and np.allclose(phi.sum(axis=1) + base, 1.5 * met, atol=1e-12)
-def test_trend_comes_with_its_caps(spark):
-    values = [(float(i % 40), float(i % 40) * 2, "f") for i in range(1200)] + [(float(i % 10), 1.0, "few") for i in range(400)] + [(3.0, 1.0, "one")] * 30
-    phi = spark.createDataFrame(values, "value double, phi double, feature string")
-    got = X.trend_and_caps(phi).orderBy("bin_low").toPandas()
-    f = got[got.feature == "f"]
-    want = X.dependence_trend(phi.where("feature = 'f'")).orderBy("low").toPandas()
-    assert len(want) > 10 and (f[["bin_low", "bin_high", "mid", "mean_phi", "n"]].to_numpy() == want[["low", "high", "mid", "mean_phi", "n"]].to_numpy()).all()
-    assert set(f.low) == {np.quantile([v for v, *_ in values[:1200]], 0.05)} and set(f.high) == {np.quantile([v for v, *_ in values[:1200]], 0.95)}
-    rest = got[got.feature != "f"].set_index("feature")
-    assert sorted(rest.index) == ["few", "one"] and rest.mean_phi.isna().all() and rest.low["one"] == 3 and rest.high["one"] == 3 + 1e-6
-
-
