@@ -176,6 +176,26 @@ def test_no_vote_without_the_score_of_every_model(spark):
             L.ensemble_report(spark.createDataFrame(data[:at] + data[at + 1 :] + lost, schema), ["a", "b", "c"], "claim_id")[0].collect()
 
 
+def test_a_failed_family_shows(spark, split, tmp_path, monkeypatch):
+    from episodica.plans.catalog import QUERIES, training
+
+    def broken(n_rows, **params):
+        raise ValueError("singular")
+
+    path = str(tmp_path / "scores")
+    L.benchmark(*split, ["logistic_regression", "extra_trees"], path, SPEC, {"extra_trees": {"trees": 2}})
+    monkeypatch.setitem(L.REGISTRY, "extra_trees", broken)
+    # the scores of the earlier run are still there
+    models, board = L.benchmark(*split, ["logistic_regression", "extra_trees"], path, SPEC)
+    rows = L.leaderboard(board).collect()
+    assert set(models) == {"logistic_regression"} and [(r.model, r.state, r.error) for r in rows] == [("logistic_regression", "COMPLETE", None), ("extra_trees", "FAIL", "ValueError: singular")]
+    assert rows[0].pr_auc > 0 and rows[1].pr_auc is None
+    monkeypatch.setattr(training, "_bench", lambda spark, sf: (path, board, ["random_forest"]))
+    for name in ("l11_stacking", "l12_ensemble_report"):
+        with pytest.raises(RuntimeError, match="no scores of random_forest"):
+            QUERIES[name](spark, "/nowhere")
+
+
 # ---------------------------------------------------------------- attributions
 @pytest.fixture(scope="module")
 def vectors(spark):
