@@ -156,3 +156,50 @@ def test_a_task_gives_out_its_sums_once(table, spark):
     found = T.split_tops(packed.union(packed).coalesce(1), {0: {}, 1: {}}, [(0, 0), (1, 0)], settings, 5, levels)
     once = T.split_tops(packed, {0: {}, 1: {}}, [(0, 0), (1, 0)], settings, 5, levels)
     assert {k: (r.feature, r.cut, r.total) for k, r in found.items()} == {k: (r.feature, r.cut, 2 * r.total) for k, r in once.items()}
+
+
+@pytest.mark.parametrize("random_cuts", [False, True])
+def test_draws_of_many_nodes_are_those_of_each(random_cuts, monkeypatch):
+    nodes = [*range(40), *(int(v) for v in np.random.default_rng(4).integers(0, 1 << 32, 200)), (1 << 32) - 1]
+    for seed, tree, width, share in ((42, 0, 111, "sqrt"), (7, 199, 5, 1.0), (0, 3, 12, "sqrt"), (1 << 40, 3, 12, "sqrt")):
+        settings = T.ForestSettings(seed=seed, share=share, random_cuts=random_cuts)
+        for some in (nodes, [*nodes, 1 << 70]):
+            features, units = T.chosen_of_many(settings, tree, some, width)
+            for i, node in enumerate(some):
+                want, rng = settings.chosen(tree, node, width)
+                assert np.array_equal(features[i], want) and (units is None or np.array_equal(units[i], rng.random(len(want))))
+    asked = []
+    monkeypatch.setattr(T.ForestSettings, "chosen", lambda *a: asked.append(a))
+    T.chosen_of_many(T.ForestSettings(random_cuts=random_cuts), 1, nodes, 111)
+    assert not asked
+
+
+@pytest.mark.parametrize("random_cuts", [False, True])
+@pytest.mark.parametrize("leaf", [1, 30])
+def test_small_nodes_grow_together_as_they_grow_alone(random_cuts, leaf, monkeypatch):
+    rng = np.random.default_rng(6)
+    bins = (rng.random((9000, 19)) < 0.2).astype(np.uint8)
+    bins[:, [0, 7]] = rng.integers(0, 200, (9000, 2))
+    bins[:, 4], bins[:, 11] = 0, rng.integers(0, 3, 9000)
+    labels = (rng.random(9000) < 0.1 + 0.4 * (bins[:, 0] > 150) + 0.2 * bins[:, 2]).astype(float)
+    weight, settings = rng.integers(1, 5, 9000).astype(float), T.ForestSettings(leaf=leaf, depth=12, random_cuts=random_cuts)
+
+    def grown():
+        feature, cut, low, high, value, cover = (list(c) for c in zip(*T.grow_subtree(bins, labels, weight, settings, 5, 2, 1)))
+        return as_rules({"feature": feature, "cut": cut, "low": low, "high": high, "value": value, "cover": cover})
+
+    for small, rows_at_once in ((1 << 12, 1 << 16), (100, 1 << 16), (1 << 20, 500)):
+        monkeypatch.setattr(T, "SMALL", small)
+        monkeypatch.setattr(T, "TOGETHER", rows_at_once)
+        together = grown()
+        monkeypatch.setattr(T, "SMALL", 0)
+        assert together == grown()
+
+
+def test_tasks_add_up_histograms_before_they_meet(table, monkeypatch):
+    df, _, _ = table
+    settings, edges = T.ForestSettings(trees=2, leaf=8), T.bin_edges(df, 5)
+    packed, levels = T.pack_rows(df, edges), max(len(e) for e in edges) + 1
+    plain = T.split_tops(packed, {0: {}, 1: {}}, [(0, 0), (1, 0)], settings, 5, levels)
+    monkeypatch.setattr(T, "MEETING", 1)
+    assert T.split_tops(packed, {0: {}, 1: {}}, [(0, 0), (1, 0)], settings, 5, levels) == plain
